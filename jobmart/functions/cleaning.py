@@ -11,6 +11,8 @@ WORK_TYPES = ["Remote", "Hybrid", "In-Office"]
 NULL_WORD = "Null"
 DEFAULT_WORK_TYPE = "In-Office"
 
+WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
 
 def to_id(c: Column) -> Column:
     """Text id to BIGINT; text that is no number gives NULL, to be reported and not to fail the batch."""
@@ -43,7 +45,7 @@ def strip_code(region: Column) -> Column:
 
 def strip_space(c: Column) -> Column:
     """Drop leading and trailing whitespace of any kind; ``trim`` drops spaces only."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def last_part(c: Column, sep: str = ":") -> Column:

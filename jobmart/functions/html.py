@@ -1,13 +1,15 @@
 """Field extraction from HTML text as column expressions.
 
-A ``Selector`` names an element by tag and class. Extraction runs on regular expressions inside the
-JVM; nested blocks (a description with inner ``div``s) are closed by counting the tag's depth with a
+A ``Selector`` names an element by tag and class. Elements are passed on as HTML text, where the empty
+string means that there is none; values read from an absent element are NULL. Extraction runs on
+regular expressions inside the JVM; nested blocks (a description with inner ``div``s) are closed by counting the tag's depth with a
 fold over its pieces, so whole documents are read and no Python worker is involved.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -15,19 +17,21 @@ from pyspark.sql import functions as F
 
 from jobmart.functions.cleaning import last_part, strip_space
 
-# Entities that are also read without their semicolon (&amp; is handled last), and other
-# named entities that occur in job pages.
-MARKUP_ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "amp": "&"}
+# Named entities that occur in job pages; the first four are also read without their
+# semicolon.
 ENTITIES = {
-    "apos": "'", "nbsp": "\u00a0", "copy": "©", "middot": "·", "ndash": "–", "mdash": "—",
-    "hellip": "…", "bull": "•", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
-    "euro": "€", "aring": "å", "auml": "ä", "ouml": "ö", "Aring": "Å", "Auml": "Ä", "Ouml": "Ö",
-    "eacute": "é", "uuml": "ü",
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "©",
+    "middot": "·", "ndash": "–", "mdash": "—", "hellip": "…", "bull": "•", "lsquo": "‘",
+    "rsquo": "’", "ldquo": "“", "rdquo": "”", "euro": "€", "aring": "å", "auml": "ä", "ouml": "ö",
+    "Aring": "Å", "Auml": "Ä", "Ouml": "Ö", "eacute": "é", "uuml": "ü",
 }
+_REFERENCE = (
+    r"^(#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};|[a-zA-Z]{1,8};|(?:amp|lt|gt|quot)(?![a-zA-Z0-9=;]))"
+)
 
 _ATTRS = r"""[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*"""
-_TAG = r"(?s)</?[a-zA-Z][^>]*>"
-_UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+# What is not text: comments, scripts, styles, tags.
+_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|</?[a-z][^>]*>"
 
 
 @dataclass(frozen=True)
@@ -50,30 +54,43 @@ class Selector:
         return rf"<{self.tag}(?=\s)(?=[^>]*\sclass\s*=\s*{value}){_ATTRS}>"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def find(html: Column, sel: Selector) -> Column:
-    """The first matching element as HTML, up to its first closing tag; NULL if there is none."""
-    return F.regexp_substr(html, F.lit(rf"(?is){sel.opening}.*?</{sel.tag}\s*>"))
+    """The first matching element, up to its first closing tag."""
+    return F.regexp_extract(html, rf"(?is){sel.opening}.*?</{sel.tag}\s*>", 0)
+
+
+def find_opening(html: Column, sel: Selector) -> Column:
+    """The opening tag of the first matching element."""
+    return F.regexp_extract(html, rf"(?is){sel.opening}", 0)
 
 
 def find_block(html: Column, sel: Selector) -> Column:
-    """The first matching element as HTML, where the same tag may occur inside it."""
-    rest = F.regexp_substr(html, F.lit(rf"(?is){sel.opening}.*"))
-    pieces = F.split(rest, rf"(?i)(?=</?{sel.tag}(?=[\s>/]))")
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("pieces"), F.lit(False).alias("closed"))
+    """The first matching element, where the same tag may occur inside it."""
+    rest = F.regexp_extract(html, rf"(?is){sel.opening}.*", 0)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("inside"), F.lit(False).alias("closed"))
 
     def step(acc: Column, piece: Column) -> Column:
         depth = acc["depth"] + F.when(piece.startswith("</"), -1).otherwise(1)
+        closed = depth == 0
+        inside = acc["inside"] + F.when(closed, 0).otherwise(1)
         return F.when(acc["closed"], acc).otherwise(
-            F.struct(
-                depth.alias("depth"), (acc["pieces"] + 1).alias("pieces"), (depth == 0).alias("closed")
-            )
+            F.struct(depth.alias("depth"), inside.alias("inside"), closed.alias("closed"))
         )
 
-    fold = F.aggregate(pieces, start, step)
-    inside = fold["pieces"] - F.when(fold["closed"], 1).otherwise(0)
-    return F.when(
-        rest.isNotNull(), F.concat(F.array_join(F.slice(pieces, F.lit(1), inside), ""), F.lit(f"</{sel.tag}>"))
-    )
+    def join_inside(pieces: Column) -> Column:
+        inside = F.aggregate(pieces, start, step, lambda acc: acc["inside"])
+        return F.concat(F.array_join(F.slice(pieces, F.lit(1), inside), ""), F.lit(f"</{sel.tag}>"))
+
+    def close(r: Column) -> Column:
+        pieces = F.split(r, rf"(?i)(?=</?{sel.tag}(?=[\s>/]))")
+        return F.when(r == "", r).otherwise(_once(pieces, join_inside))
+
+    return _once(rest, close)
 
 
 def find_all(html: Column, sel: Selector) -> Column:
@@ -83,52 +100,58 @@ def find_all(html: Column, sel: Selector) -> Column:
 
 def attribute(element: Column, name: str) -> Column:
     """An attribute of the element's opening tag; NULL if it is not set."""
-    opening = F.regexp_substr(element, F.lit(rf"(?s)^<[a-zA-Z0-9]+{_ATTRS}>"))
-    setting = F.regexp_substr(opening, F.lit(rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""))
-    return unescape(F.regexp_replace(setting, rf"""(?is)^\s{name}\s*=\s*["']?|["']$""", ""))
+    opening = F.regexp_extract(element, rf"(?s)^<[a-zA-Z0-9]+{_ATTRS}>", 0)
+    setting = F.regexp_extract(opening, rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", 1)
+    return _once(setting, lambda v: F.when(v != "", unescape(F.regexp_replace(v, "^[\"']|[\"']$", ""))))
 
 
 def text(element: Column) -> Column:
     """Text of an element, pieces put together as they are, outer whitespace dropped."""
-    shown = F.regexp_replace(element, _UNSEEN, "")
-    return strip_space(unescape(F.regexp_replace(shown, _TAG, "")))
+    return _once(
+        element,
+        lambda e: F.when(e != "", strip_space(unescape(F.regexp_replace(e, _MARKUP, "")))),
+    )
 
 
 def spaced_text(element: Column) -> Column:
     """Text of an element with every piece stripped and one space between pieces."""
-    shown = F.regexp_replace(element, _UNSEEN, "")
-    pieces = F.transform(F.split(shown, _TAG), lambda p: strip_space(unescape(p)))
-    return F.array_join(F.filter(pieces, lambda p: p != ""), " ")
-
+    def read(e: Column) -> Column:
+        pieces = F.transform(F.split(e, _MARKUP), lambda p: strip_space(unescape(p)))
+        return F.when(e != "", F.array_join(F.filter(pieces, lambda p: p != ""), " "))
 
-def unescape(c: Column) -> Column:
-    """Entities to characters: the named ones above and every numeric one."""
-    plain = c
-    for name, char in ENTITIES.items():
-        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(char))
-    plain = F.when(F.contains(plain, F.lit("&#")), _numeric_entities(plain)).otherwise(plain)
-    for name, char in MARKUP_ENTITIES.items():
-        plain = F.regexp_replace(plain, rf"&{name}(?:;|(?![a-zA-Z0-9=]))", char)
-    return F.when(F.contains(c, F.lit("&")), plain).otherwise(c)
+    return _once(element, read)
 
 
-def _numeric_entities(c: Column) -> Column:
-    pieces = F.split(c, "&#")
+def unescape(c: Column) -> Column:
+    """Entities to characters, in one pass over what follows each ``&``."""
+    named = F.str_to_map(
+        F.lit("\t".join(f"{k}={v}" for k, v in ENTITIES.items())), F.lit("\t"), F.lit("=")
+    )
 
-    def decode(piece: Column) -> Column:
-        digits = F.regexp_extract(piece, "^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
+    def char_of(ref: Column) -> Column:
         code = F.when(
-            F.lower(digits).startswith("x"), F.conv(F.substr(digits, F.lit(2)), 16, 10)
-        ).otherwise(digits).try_cast("int")
+            F.rlike(ref, F.lit("^#[xX]")), F.conv(F.substr(ref, F.lit(3)), 16, 10)
+        ).otherwise(F.substr(ref, F.lit(2))).try_cast("int")
         valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.when(
+        numeric = F.when(
             valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        ).otherwise("�")
-        rest = F.substr(piece, F.length(digits) + 2)
-        return F.when(digits == "", F.concat(F.lit("&#"), piece)).otherwise(F.concat(char, rest))
+        ).otherwise("\ufffd")
+        return F.when(ref.startswith("#"), numeric).otherwise(F.try_element_at(named, ref))
+
+    def replaced(piece: Column) -> Column:
+        found = F.regexp_extract(piece, _REFERENCE, 1)
+        char = char_of(F.rtrim(found, F.lit(";")))
+        rest = F.substr(piece, F.length(found) + 1)
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+    def join(pieces: Column) -> Column:
+        tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda p: replaced(p))
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))
 
-    tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode)
-    return F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))
+    def read(v: Column) -> Column:
+        return F.when(F.contains(v, F.lit("&")), _once(F.split(v, "&"), join)).otherwise(v)
+
+    return _once(c, read)
 
 
 def item_count(html: Column) -> Column:
@@ -149,8 +172,7 @@ def list_blocks(html: Column) -> Column:
 def card_id(block: Column) -> Column:
     """Job id of one search-result item: last part of the urn of its card, a ``div`` or else an ``a``."""
     def urn(tag: str) -> Column:
-        opening = Selector(tag, "base-card").opening
-        return attribute(F.regexp_substr(block, F.lit(rf"(?is){opening}")), "data-entity-urn")
+        return attribute(find_opening(block, Selector(tag, "base-card")), "data-entity-urn")
 
     return last_part(F.coalesce(urn("div"), urn("a")))
 
@@ -168,18 +190,25 @@ DESCRIPTION = Selector("div", "show-more-less-html__markup")
 CRITERIA = Selector("ul", "description__job-criteria-list")
 CRITERION = Selector("span", "description__job-criteria-text")
 CRITERIA_FIELDS = ["SeniorityLevel", "EmploymentType", "JobFunction", "Industries"]
+TEXT_NAMES = [*TEXT_FIELDS, *CRITERIA_FIELDS]
 POST = Selector("li", "mb-1")
 
 
-def job_fields(html: Column) -> dict[str, Column]:
-    """The eleven fields of a job detail page; a field that is absent is NULL."""
-    fields = {name: text(find(html, sel)) for name, sel in TEXT_FIELDS.items()}
-    fields["CompanyLinkedinUrl"] = attribute(find(html, COMPANY_LINK), "href")
-    fields["JobDescription"] = spaced_text(find_block(html, DESCRIPTION))
+def job_texts(html: Column) -> Column:
+    """Array of the plain text fields of a job detail page, in the order of ``TEXT_NAMES``.
+
+    An absent field is NULL. The pieces are cut out first and cleaned in one go.
+    """
     items = list_blocks(find_block(html, CRITERIA))
-    for i, name in enumerate(CRITERIA_FIELDS):
-        fields[name] = text(find(nth(items, i), CRITERION))
-    return fields
+    criteria = _once(items, lambda found: F.array(*(nth(found, i) for i in range(len(CRITERIA_FIELDS)))))
+    pieces = F.concat(
+        F.array(*(find(html, sel) for sel in TEXT_FIELDS.values())),
+        F.coalesce(
+            F.transform(criteria, lambda item: find(item, CRITERION)),
+            F.array_repeat(F.lit(None).cast("string"), len(CRITERIA_FIELDS)),
+        ),
+    )
+    return F.transform(pieces, lambda piece: text(piece))
 
 
 def post_texts(html: Column) -> Column:
@@ -188,7 +217,6 @@ def post_texts(html: Column) -> Column:
 
 
 def meta_description(html: Column) -> Column:
-    tag = F.regexp_substr(
-        html, F.lit(rf"""(?is)<meta(?=\s)(?=[^>]*\sname\s*=\s*["']description["']){_ATTRS}>""")
-    )
-    return attribute(tag, "content")
+    """What a page says about itself in its head."""
+    named = rf"""(?is)<meta(?=\s)(?=[^>]*\sname\s*=\s*["']description["']){_ATTRS}>"""
+    return attribute(F.regexp_extract(html, named, 0), "content")

@@ -21,9 +21,16 @@ def job_ids(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
 def job_details(pages: DataFrame, seen: Column, html_col: str = "html") -> DataFrame:
     """Bronze rows from detail pages ``(JobId, html, …)`` fetched at ``seen``."""
-    fields = html.job_fields(F.col(html_col))
-    columns = fields | {"JobId": F.col("JobId"), "ExtractionDatetime": seen}
-    return pages.select(*(columns[f.name].alias(f.name) for f in JOB_BRONZE))
+    page = F.col(html_col)
+    found = pages.select(
+        "JobId",
+        seen.alias("ExtractionDatetime"),
+        html.attribute(html.find(page, html.COMPANY_LINK), "href").alias("CompanyLinkedinUrl"),
+        html.spaced_text(html.find_block(page, html.DESCRIPTION)).alias("JobDescription"),
+        html.job_texts(page).alias("_texts"),
+    )
+    texts = {n: F.get("_texts", F.lit(i)).alias(n) for i, n in enumerate(html.TEXT_NAMES)}
+    return found.select(*(texts.get(f.name, F.col(f.name)) for f in JOB_BRONZE))
 
 
 def company_followers(pages: DataFrame, seen: Column, html_col: str = "html") -> DataFrame:
