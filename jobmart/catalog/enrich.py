@@ -208,7 +208,7 @@ def enrich_lexicon_table(src: Inputs):
 # --- model calls ------------------------------------------------------------------------------
 
 
-def _stand_in_model():
+def stand_in_model():
     """A stand-in for a model client: refuses some texts and is busy once for others."""
     told_to_wait = set()
 
@@ -236,7 +236,7 @@ FROM job_descriptions WHERE JobId NOT IN (SELECT JobId FROM enriched_seed)"""
 
 def _called(src: Inputs):
     todo = jobs_flow.backlog(src.fixture("job_descriptions"), src.fixture("enriched_seed"))
-    return enrichment.call_model(todo, _stand_in_model())
+    return enrichment.call_model(todo, stand_in_model())
 
 
 @query("enrich_map_partitions", _CALLED)

@@ -268,14 +268,17 @@ def jobs_upsert(src: Inputs):
 TWO_RUNS = (datetime(2024, 1, 15), datetime(2024, 2, 4))
 
 
-@query("jobs_upsert_two_batches", f"""
+TWO_RUNS_SQL = f"""
 SELECT {SILVER} FROM (
   SELECT {SILVER} FROM {_first("SeenAt > TIMESTAMP '2024-01-04'")}
   UNION ALL
   SELECT {SILVER} FROM {_first("SeenAt < TIMESTAMP '2024-01-15'")}
   WHERE JobId NOT IN (
     SELECT JobId FROM jobs_clean WHERE JobId IS NOT NULL AND SeenAt > TIMESTAMP '2024-01-04'))
-WHERE ExtractionDatetime > TIMESTAMP '2024-01-04'""")
+WHERE ExtractionDatetime > TIMESTAMP '2024-01-04'"""
+
+
+@query("jobs_upsert_two_batches", TWO_RUNS_SQL)
 def jobs_upsert_two_batches(src: Inputs):
     raw = src.fixture("jobs_raw")
     first, second = TWO_RUNS

@@ -102,8 +102,8 @@ def job_detail_fields(src: Inputs):
     return rows.select(*JOB_BRONZE.fieldNames())
 
 
-_POST = r"TRY_CAST(array_to_string(regexp_extract_all(post_text, '\b\d+\b'), '') AS BIGINT)"
-_META = (
+POST_SQL = r"TRY_CAST(array_to_string(regexp_extract_all(post_text, '\b\d+\b'), '') AS BIGINT)"
+META_SQL = (
     r"TRY_CAST(array_to_string(regexp_extract_all("
     r"regexp_extract(meta_text, '\| (.*?) f', 1), '\d+'), '') AS BIGINT)"
 )
@@ -111,7 +111,7 @@ _META = (
 
 @query("company_followers_from_pages", f"""
 SELECT * FROM (
-  SELECT concat('https://jobs.example/c/', id) AS url, coalesce({_POST}, {_META}) AS Nbr_of_followers
+  SELECT concat('https://jobs.example/c/', id) AS url, coalesce({POST_SQL}, {META_SQL}) AS Nbr_of_followers
   FROM follower_text) WHERE Nbr_of_followers IS NOT NULL""")
 def company_followers_from_pages(src: Inputs):
     seen = F.lit("2024-01-30 23:00:00").cast("timestamp_ntz")
@@ -126,10 +126,10 @@ def id_from_urn(src: Inputs):
 
 
 @query("follower_count_parse", rf"""
-SELECT id, {_POST} AS all_numbers,
+SELECT id, {POST_SQL} AS all_numbers,
   TRY_CAST(regexp_replace(regexp_extract(post_text, '([0-9][0-9,. ]*) followers', 1), '[,. ]', '', 'g')
     AS BIGINT) AS number_before_word,
-  coalesce({_POST}, {_META}) AS followers FROM follower_text""")
+  coalesce({POST_SQL}, {META_SQL}) AS followers FROM follower_text""")
 def follower_count_parse(src: Inputs):
     post, meta = F.col("post_text"), F.col("meta_text")
     return src.fixture("follower_text").select(
@@ -140,7 +140,7 @@ def follower_count_parse(src: Inputs):
     )
 
 
-@query("follower_count_fallback", f"SELECT id, {_META} AS followers FROM follower_text")
+@query("follower_count_fallback", f"SELECT id, {META_SQL} AS followers FROM follower_text")
 def follower_count_fallback(src: Inputs):
     return src.fixture("follower_text").select(
         "id", followers.count_from_meta(F.col("meta_text")).alias("followers")

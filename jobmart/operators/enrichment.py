@@ -126,9 +126,9 @@ def dead_letters(answers: DataFrame) -> DataFrame:
     return answers.filter(F.col("status") != "ok")
 
 
-def tokens(text: Column) -> Column:
-    """Distinct lower-case words of the whole text."""
-    return F.array_distinct(F.split(F.lower(text), r"[\s,.;:!?()|]+"))
+def words(text: Column) -> Column:
+    """Lower-case words of the whole text."""
+    return F.split(F.lower(text), r"[\s,.;:!?()|]+")
 
 
 def match_lexicon(
@@ -137,13 +137,16 @@ def match_lexicon(
     """Which words of a short word list each description holds, and the work type they speak for.
 
     ``lexicon`` maps a list column or a work type to its words. It is a parameter and travels in the
-    plan, so matching is row-local: no join, no shuffle.
+    plan, so matching is row-local: one pass over the words of a text, no join, no shuffle.
     """
-    found = df.select(key, tokens(F.col(text)).alias("_t"))
+    def literal(items: list[str]) -> Column:
+        return F.array(*map(F.lit, items)).cast("array<string>")
+
+    known = literal(sorted({w for listed in lexicon.values() for w in listed}))
+    found = df.select(key, F.array_intersect(words(F.col(text)), known).alias("_found"))
 
     def hits(kind: str) -> Column:
-        words = F.array(*map(F.lit, lexicon.get(kind, []))).cast("array<string>")
-        return F.array_intersect(F.col("_t"), words)
+        return F.array_intersect(F.col("_found"), literal(lexicon.get(kind, [])))
 
     work_type = F.coalesce(*(F.when(F.size(hits(w)) > 0, F.lit(w)) for w in WORK_TYPES))
     return found.select(key, *(hits(n).alias(n) for n in LISTS), work_type.alias("WorkType"))
@@ -158,10 +161,12 @@ def match_lexicon_table(
     Common words would send most descriptions to one task, so each word is spread over ``salts``
     copies of its lexicon row.
     """
-    words = df.select(key, F.explode(tokens(F.col(text))).alias("token")).withColumn(
+    spoken = df.select(
+        key, F.explode(F.array_distinct(words(F.col(text)))).alias("token")
+    ).withColumn(
         "_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")
     )
     copies = lexicon.select("kind", "token").distinct().withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    return words.join(copies, ["token", "_salt"]).select(key, "kind", F.col("token").alias("value"))
+    return spoken.join(copies, ["token", "_salt"]).select(key, "kind", F.col("token").alias("value"))

@@ -20,7 +20,8 @@ def upsert(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
 
     The target meets only the source's keys, so a small batch is broadcast by size and the target is
     not shuffled. A source key that occurs twice and matches fails the job, as a merge would; NULL
-    keys match nothing.
+    keys match nothing. The source is read twice, for its keys and its rows: land it first if it is
+    costly to compute.
     """
     rows = align(source, target.columns)
     keys = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_hits"))

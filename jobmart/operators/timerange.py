@@ -13,15 +13,20 @@ def instant(df: DataFrame, ts: str, when: datetime) -> Column:
     return F.lit(when.isoformat(sep=" ")).cast(df.schema[ts].dataType)
 
 
-def in_hour(df: DataFrame, ts: str, as_of: datetime) -> DataFrame:
+def in_hour(df: DataFrame, ts: str, as_of: datetime, day: str | None = None) -> DataFrame:
     """Rows of the clock hour that ``as_of`` lies in."""
     start = as_of.replace(minute=0, second=0, microsecond=0)
-    return between(df, ts, start, start + timedelta(hours=1))
+    return between(df, ts, start, start + timedelta(hours=1), day)
 
 
-def between(df: DataFrame, ts: str, start: datetime, end: datetime) -> DataFrame:
-    """Rows with ``start <= ts < end``."""
-    return df.filter((F.col(ts) >= instant(df, ts, start)) & (F.col(ts) < instant(df, ts, end)))
+def between(
+    df: DataFrame, ts: str, start: datetime, end: datetime, day: str | None = None
+) -> DataFrame:
+    """Rows with ``start <= ts < end``; ``day`` names the day-partition column, if there is one."""
+    rows = df.filter((F.col(ts) >= instant(df, ts, start)) & (F.col(ts) < instant(df, ts, end)))
+    if day:
+        rows = rows.filter(F.col(day).between(F.lit(start.date()), F.lit(end.date())))
+    return rows
 
 
 def age_in_days(df: DataFrame, ts: str, as_of: datetime) -> Column:

@@ -54,10 +54,10 @@ def one_per_job(bronze: DataFrame, keep: str = "first") -> DataFrame:
     return dedup.keep_one(valid, KEY, SEEN, keep).drop(SEEN)
 
 
-def fresh_company_urls(bronze: DataFrame, as_of: datetime) -> DataFrame:
+def fresh_company_urls(bronze: DataFrame, as_of: datetime, day: str | None = None) -> DataFrame:
     """Company pages to look up: those of postings seen in the current hour."""
     return (
-        timerange.in_hour(bronze, TIME, as_of)
+        timerange.in_hour(bronze, TIME, as_of, day)
         .filter(F.col("CompanyLinkedinUrl").isNotNull() & (F.col("CompanyLinkedinUrl") != ""))
         .select(F.col("CompanyLinkedinUrl").alias("url"))
         .distinct()
@@ -69,8 +69,26 @@ def bronze_after(bronze: DataFrame, landed: DataFrame, as_of: datetime) -> DataF
     return timerange.retain(union_evolving(bronze, landed), TIME, as_of)
 
 
-def silver_jobs_after(silver: DataFrame, bronze: DataFrame, as_of: datetime) -> DataFrame:
-    """Upsert the first sightings, then retention by silver time."""
+def touched_jobs(landed: DataFrame, bronze_before: DataFrame, as_of: datetime) -> DataFrame:
+    """Job ids whose first sighting may have changed: newly landed ones, and those that lose a
+    sighting to retention in this run."""
+    gone = timerange.expired(bronze_before, TIME, as_of)
+    ids = landed.select("JobId").unionByName(gone.select("JobId"))
+    return ids.select(cleaning.to_id(F.col("JobId")).alias("JobId")).distinct()
+
+
+def silver_jobs_after(
+    silver: DataFrame, bronze: DataFrame, as_of: datetime, touched: DataFrame | None = None
+) -> DataFrame:
+    """Upsert the first sightings, then retention by silver time.
+
+    With ``touched`` only those jobs are deduplicated again; the others already stand in silver as
+    they would come out, so the run's shuffle follows the batch and not the whole of bronze.
+    """
+    if touched is not None:
+        job = cleaning.to_id(bronze["JobId"])
+        wanted = touched.select(F.col("JobId").alias("_job"))
+        bronze = bronze.join(wanted, job == F.col("_job"), "left_semi")
     return timerange.retain(merge.upsert(silver, one_per_job(bronze), KEY), TIME, as_of)
 
 

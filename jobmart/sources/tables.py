@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def land(df: DataFrame, path: str) -> DataFrame:
@@ -56,17 +57,50 @@ def swap_table(df: DataFrame, name: str, new_path: str) -> DataFrame:
     return spark.table(name)
 
 
+def ensure_table(
+    spark: SparkSession, name: str, schema: StructType, path: str, partition: str | None = None
+) -> None:
+    """Create the Parquet table unless it is there. ``NOT NULL`` is recorded, not enforced: see
+    ``operators.checks.require_not_null``."""
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema
+    )
+    by = f" PARTITIONED BY ({partition})" if partition else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{by} LOCATION '{path}'")
+
+
+def refresh_table(df: DataFrame, name: str) -> DataFrame:
+    """Replace the rows of a table by a query that does not read it; the schema stays."""
+    spark = df.sparkSession
+    df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    return spark.table(name)
+
+
+def append_to_table(df: DataFrame, name: str) -> DataFrame:
+    """Append by column name; columns the table does not have yet are added to it first."""
+    spark = df.sparkSession
+    have = {c.lower() for c in spark.table(name).columns}
+    new = [f"`{c}` {t}" for c, t in df.dtypes if c.lower() not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
+    table = spark.table(name)
+    aligned = table.limit(0).unionByName(df, allowMissingColumns=True)
+    aligned.write.insertInto(name)
+    return spark.table(name)
+
+
+def with_day(df: DataFrame, ts: str, day: str = "extraction_date") -> DataFrame:
+    return df.withColumn(day, F.to_date(ts))
+
+
 def write_by_day(df: DataFrame, name: str, path: str, ts: str, day: str = "extraction_date") -> DataFrame:
     """A table partitioned by day, so that retention prunes files instead of reading them.
 
-    Rows are hashed on day and a salt before the write: few files per day, and a day that holds
-    most rows still spreads over many tasks.
+    Rows are rebalanced on the day: Spark sizes the write tasks from what it finds and splits a day
+    that holds most rows over many of them.
     """
-    salted = df.withColumn(day, F.to_date(ts)).withColumn(
-        "_salt", F.pmod(F.xxhash64(*df.columns), F.lit(16))
-    )
     (
-        salted.repartition(day, "_salt").drop("_salt")
+        with_day(df, ts, day).hint("rebalance", F.col(day))
         .write.mode("overwrite").partitionBy(day).option("path", path).format("parquet")
         .saveAsTable(name)
     )

@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 from jobmart.operators import dedup
 from jobmart.plans import jobs_flow
+from jobmart.schemas import JOB_SILVER
 
 
 def landing_stream(
@@ -72,10 +73,14 @@ def start_job_upserts(stream: DataFrame, out: str, checkpoint: str) -> Streaming
     )
 
 
+def _batches(spark: SparkSession, out: str) -> DataFrame:
+    schema = StructType([*JOB_SILVER, StructField(jobs_flow.SEEN, TimestampNTZType())])
+    return spark.read.schema(schema).parquet(out).drop("batch_id")
+
+
 def current_jobs(spark: SparkSession, out: str) -> DataFrame:
     """Silver jobs from the batches under ``out``: the first sighting of every job, whichever batch."""
-    rows = spark.read.parquet(out).drop("batch_id")
-    return dedup.keep_one(rows, jobs_flow.KEY, jobs_flow.SEEN).drop(jobs_flow.SEEN)
+    return dedup.keep_one(_batches(spark, out), jobs_flow.KEY, jobs_flow.SEEN).drop(jobs_flow.SEEN)
 
 
 def compact_jobs(spark: SparkSession, out: str, new_out: str) -> DataFrame:
@@ -83,8 +88,6 @@ def compact_jobs(spark: SparkSession, out: str, new_out: str) -> DataFrame:
 
     ``SeenAt`` is kept, so later batches still compare with it.
     """
-    rows = spark.read.parquet(out).drop("batch_id")
-    dedup.keep_one(rows, jobs_flow.KEY, jobs_flow.SEEN).write.mode("errorifexists").parquet(
-        f"{new_out}/batch_id=-1"
-    )
+    first = dedup.keep_one(_batches(spark, out), jobs_flow.KEY, jobs_flow.SEEN)
+    first.write.mode("errorifexists").parquet(f"{new_out}/batch_id=-1")
     return current_jobs(spark, new_out)

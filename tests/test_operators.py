@@ -1,0 +1,321 @@
+"""Single operators on literal rows: the semantics that are easy to get wrong."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from jobmart.functions import cleaning, followers
+from jobmart.operators import checks, dedup, merge, timerange
+from jobmart.operators.population import SEX_COLUMNS, pivot_sum, population_table
+from jobmart.plans import jobs_flow, report
+from jobmart.schemas import FOLLOWERS, JOB_BRONZE, JOB_SILVER
+from jobmart.sources import readers, tables
+from jobmart.sources.mapping import ColumnMapping, map_columns
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def values(spark, texts, expr):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
+    return [r.v for r in df.select("i", expr(F.col("t")).alias("v")).orderBy("i").collect()]
+
+
+def at(text):
+    return datetime.fromisoformat(text)
+
+
+# --- cleaning ---------------------------------------------------------------------------------
+
+
+def test_city_and_applicants(spark):
+    assert values(spark, ["Lund, Region", "", None], cleaning.city_of) == ["Lund", "", None]
+    texts = ["25 applicants", "Over 200 applicants", "1,234 applicants", "", None]
+    assert values(spark, texts, cleaning.applicants_of) == [25, None, None, None, None]
+
+
+def test_ids_and_sentinels(spark):
+    assert values(spark, ["7", "007", "x7", "", None], cleaning.to_id) == [7, 7, None, None, None]
+    assert values(spark, ["N/A", "n/a", None], cleaning.sentinel_to_null) == [None, "n/a", None]
+
+
+def test_whitespace_of_any_kind_is_stripped(spark):
+    texts = ["\n\t a b  \r\n", " x", "  "]
+    assert values(spark, texts, cleaning.strip_space) == [t.strip() for t in texts]
+
+
+def test_work_type(spark):
+    texts = [None, "Null", "Remote", "odd"]
+    assert values(spark, texts, cleaning.work_type_or_default) == [
+        "In-Office", "In-Office", "Remote", "odd"
+    ]
+    assert values(spark, texts, cleaning.is_known_work_type) == [True, True, True, False]
+
+
+def test_follower_counts(spark):
+    texts = ["12,345 followers", "no number", None, "24 h ago 1,234 followers"]
+    assert values(spark, texts, followers.joined_numbers) == [12345, None, None, 241234]
+    assert values(spark, texts, followers.number_before_followers)[3] == 1234
+    df = spark.createDataFrame(
+        [("12,345 followers", None), (None, "Acme | 9 followers"), ("x", "y")], "p STRING, m STRING"
+    )
+    counts = df.select(followers.follower_count(F.col("p"), F.col("m")).alias("n")).collect()
+    assert [r.n for r in counts] == [12345, 9, None]
+
+
+# --- time -------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("ts_type", ["timestamp_ntz", "timestamp"])
+def test_retention_boundary(spark, ts_type):
+    df = spark.createDataFrame(
+        [("a", "2024-01-01 00:00:00"), ("b", None), ("c", "2024-01-01 23:00:00")], "k STRING, t STRING"
+    ).withColumn("t", F.col("t").cast(ts_type))
+
+    def kept(as_of):
+        return [r.k for r in timerange.retain(df, "t", at(as_of)).orderBy("k").collect()]
+
+    assert kept("2024-01-31 23:59:59") == ["a", "b", "c"]
+    assert kept("2024-02-01 00:00:00") == ["b", "c"]
+    assert kept("2024-02-01 23:00:00") == ["b"]
+
+
+def test_age_counts_full_days_and_agrees_with_the_bound(spark):
+    df = spark.sql(
+        "SELECT explode(sequence(TIMESTAMP_NTZ'2024-01-01 00:00:00', TIMESTAMP_NTZ'2024-01-03 00:00:00',"
+        " INTERVAL 1 HOUR)) AS t"
+    )
+    as_of = at("2024-02-01 22:00:00")
+    age = timerange.age_in_days(df, "t", as_of)
+    unlike = df.filter((age > 30) != timerange.is_expired(df, "t", as_of))
+    assert unlike.count() == 0
+    late = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 23:00:00' AS t")
+    days = late.select(timerange.age_in_days(late, "t", at("2024-01-31 22:00:00")).alias("d")).first().d
+    assert days == 29
+
+
+def test_in_hour_is_half_open(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, TIMESTAMP_NTZ'2024-01-01 10:00:00'), "
+        "(2, TIMESTAMP_NTZ'2024-01-01 10:59:59.999999'), (3, TIMESTAMP_NTZ'2024-01-01 11:00:00'), "
+        "(4, CAST(NULL AS TIMESTAMP_NTZ)) AS v(k, t)"
+    )
+    hour = timerange.in_hour(df, "t", at("2024-01-01 10:30:00"))
+    assert rows(hour.select("k")) == [(1,), (2,)]
+
+
+def test_retention_twice_is_retention_at_the_later_time(spark):
+    df = spark.range(2000).select(
+        (F.lit(at("2024-01-01")).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("t")
+    )
+    early, late = at("2024-02-10 05:00:00"), at("2024-02-20 07:30:00")
+    twice = timerange.retain(timerange.retain(df, "t", early), "t", late)
+    assert rows(twice) == rows(timerange.retain(df, "t", late))
+
+
+# --- dedup ------------------------------------------------------------------------------------
+
+
+def bronze(spark, *sightings):
+    """Bronze rows from (id, time, title)."""
+    data = [
+        {"JobId": i, "JobTitle": title, "ExtractionDatetime": at(t) if t else None}
+        for i, t, title in sightings
+    ]
+    full = [tuple(d.get(f.name) for f in JOB_BRONZE) for d in data]
+    return spark.createDataFrame(full, JOB_BRONZE)
+
+
+def test_first_and_last_sighting(spark):
+    df = bronze(spark, ("5", "2024-01-01 11:00:00", "b"), ("5", "2024-01-01 10:00:00", "a"))
+    assert jobs_flow.one_per_job(df).first().JobTitle == "a"
+    assert jobs_flow.one_per_job(df, keep="last").first().JobTitle == "b"
+    with pytest.raises(ValueError):
+        dedup.keep_one(df, ["JobId"], "ExtractionDatetime", keep="any")
+
+
+def test_one_job_whatever_the_form_of_its_id(spark):
+    df = bronze(
+        spark, ("7", "2024-01-01 11:00:00", "b"), ("007", "2024-01-01 10:00:00", "a"),
+        ("x7", "2024-01-01 09:00:00", "c"),
+    )
+    assert rows(jobs_flow.one_per_job(df).select("JobId", "JobTitle")) == [(7, "a")]
+    bad = checks.null_violations(jobs_flow.clean_jobs(df), ["JobId"])
+    assert rows(bad.select("JobTitle", "violated")) == [("c", "JobId")]
+
+
+def test_equal_times_are_settled_the_same_for_any_partitioning(spark):
+    df = bronze(spark, *[("1", "2024-01-01 10:00:00", f"t{i}") for i in range(50)])
+    picks = {jobs_flow.one_per_job(df.repartition(n)).first().JobTitle for n in (1, 3, 7)}
+    assert picks == {"t0"}
+
+
+def test_time_as_text_is_read(spark):
+    df = bronze(spark, ("1", "2024-01-02 00:00:00", "b"), ("1", "2024-01-01 00:00:00", "a"))
+    text = df.withColumn("ExtractionDatetime", F.col("ExtractionDatetime").cast("string"))
+    assert rows(jobs_flow.one_per_job(text)) == rows(jobs_flow.one_per_job(df))
+
+
+# --- merges -----------------------------------------------------------------------------------
+
+
+def table(spark, *data):
+    return spark.createDataFrame(list(data), "k BIGINT, v STRING")
+
+
+def test_upsert_replaces_and_adds(spark):
+    target, source = table(spark, (1, "a"), (2, "b"), (None, "n")), table(spark, (2, "B"), (3, "C"))
+    assert rows(merge.upsert(target, source, ["k"])) == rows(
+        table(spark, (1, "a"), (None, "n"), (2, "B"), (3, "C"))
+    )
+
+
+def test_upsert_matches_columns_by_name(spark):
+    source = spark.createDataFrame([("B", 2)], "V STRING, K BIGINT")
+    assert rows(merge.upsert(table(spark, (2, "b")), source, ["k"])) == [(2, "B")]
+    with pytest.raises(ValueError):
+        merge.upsert(table(spark, (2, "b")), source.drop("V"), ["k"])
+
+
+def test_upsert_twice_is_upsert_once(spark):
+    target, source = table(spark, (1, "a"), (2, "b")), table(spark, (2, "B"), (3, "C"))
+    once = merge.upsert(target, source, ["k"])
+    assert rows(merge.upsert(once, source, ["k"])) == rows(once)
+
+
+def test_upsert_of_a_repeated_matching_key_fails(spark):
+    target = table(spark, (1, "a"))
+    with pytest.raises(Exception, match="several source rows"):
+        merge.upsert(target, table(spark, (1, "x"), (1, "y")), ["k"]).collect()
+    unmatched = table(spark, (2, "x"), (2, "y"), (None, "p"), (None, "q"))
+    assert merge.upsert(target, unmatched, ["k"]).count() == 5
+
+
+def test_insert_only(spark):
+    target, source = table(spark, (1, "a")), table(spark, (1, "x"), (1, "y"), (2, "p"), (2, "q"))
+    once = merge.insert_only(target, source, ["k"])
+    assert rows(once) == [(1, "a"), (2, "p"), (2, "q")]
+    assert rows(merge.insert_only(once, source, ["k"])) == rows(once)
+
+
+def test_no_orphan_is_left(spark):
+    child, parent = table(spark, (1, "a"), (1, "b"), (2, "c"), (3, "d")), table(spark, (1, ""), (3, ""))
+    assert rows(merge.orphan_keys(child, parent, ["k"])) == [(2,)]
+    pruned = merge.prune_orphans(child, parent, ["k"])
+    assert rows(pruned) == [(1, "a"), (1, "b"), (3, "d")]
+    assert merge.orphan_keys(pruned, parent, ["k"]).count() == 0
+
+
+@pytest.mark.parametrize("listed", [[1], [1, None], [None], []])
+def test_not_in_follows_sql(spark, listed):
+    left = table(spark, (1, "a"), (2, "b"), (None, "n"))
+    right = spark.createDataFrame([(x,) for x in listed], "x BIGINT")
+    left.createOrReplaceTempView("not_in_left")
+    right.createOrReplaceTempView("not_in_right")
+    wanted = spark.sql("SELECT * FROM not_in_left WHERE k NOT IN (SELECT x FROM not_in_right)")
+    assert rows(merge.not_in(left, "k", right, "x")) == rows(wanted)
+
+
+def test_empty_follower_batch_changes_nothing(spark):
+    have = spark.createDataFrame([("u", 1, None)], FOLLOWERS)
+    assert rows(jobs_flow.followers_after(have, readers.empty_table(spark, FOLLOWERS))) == rows(have)
+
+
+def test_touched_jobs_give_the_same_silver(spark):
+    """The narrow upsert equals the full one, also when a first sighting leaves bronze."""
+    first, second = at("2024-01-20 00:00:00"), at("2024-02-05 00:00:00")
+    old = bronze(
+        spark, ("1", "2024-01-02 00:00:00", "a"), ("1", "2024-01-10 00:00:00", "b"),
+        ("2", "2024-01-12 00:00:00", "c"), ("3", "2024-01-03 00:00:00", "d"),
+    )
+    new = bronze(spark, ("2", "2024-02-04 00:00:00", "e"), ("4", "2024-02-04 00:00:00", "f"))
+    silver = jobs_flow.silver_jobs_after(readers.empty_table(spark, JOB_SILVER), old, first)
+    after = jobs_flow.bronze_after(old, new, second)
+    full = jobs_flow.silver_jobs_after(silver, after, second)
+    touched = jobs_flow.touched_jobs(new, old, second)
+    assert rows(touched) == [(1,), (2,), (3,), (4,)]
+    assert rows(jobs_flow.silver_jobs_after(silver, after, second, touched)) == rows(full)
+    assert rows(full.select("JobId", "JobTitle")) == [(1, "b"), (2, "c"), (4, "f")]
+
+
+# --- checks and tables ------------------------------------------------------------------------
+
+
+def test_required_columns(spark):
+    good, bad = table(spark, (1, "a")), table(spark, (1, None))
+    assert rows(checks.require_not_null(good, ["k", "v"])) == [(1, "a")]
+    with pytest.raises(Exception, match="required column v"):
+        checks.require_not_null(bad, ["k", "v"]).collect()
+    assert rows(checks.duplicate_keys(table(spark, (1, "a"), (1, "b"), (2, "c")), ["k"])) == [(1, 2)]
+
+
+def test_swap_reads_the_table_it_replaces(spark, tmp_path):
+    table(spark, (1, "a"), (2, "b")).write.parquet(str(tmp_path / "v1"))
+    tables.register_external(spark, "swap_me", str(tmp_path / "v1"))
+    tables.register_external(spark, "swap_me", str(tmp_path / "v1"))
+    new = tables.swap_table(spark.table("swap_me").filter("k = 2"), "swap_me", str(tmp_path / "v2"))
+    assert rows(new) == [(2, "b")]
+    assert spark.read.parquet(str(tmp_path / "v1")).count() == 2
+
+
+def test_append_adds_columns(spark, tmp_path):
+    tables.ensure_table(spark, "grows", table(spark).schema, str(tmp_path / "grows"))
+    tables.ensure_table(spark, "grows", table(spark).schema, str(tmp_path / "grows"))
+    tables.append_to_table(table(spark, (1, "a")), "grows")
+    tables.append_to_table(table(spark, (2, "b")).withColumn("w", F.lit(9)), "grows")
+    assert rows(spark.table("grows").select("k", "v", "w")) == rows(
+        spark.createDataFrame([(1, "a", None), (2, "b", 9)], "k BIGINT, v STRING, w INT")
+    )
+
+
+def test_expired_days_go_and_the_boundary_day_is_trimmed(spark, tmp_path):
+    df = spark.sql(
+        "SELECT explode(sequence(TIMESTAMP_NTZ'2024-01-01 00:00:00', TIMESTAMP_NTZ'2024-01-05 00:00:00',"
+        " INTERVAL 6 HOUR)) AS t"
+    ).unionByName(spark.sql("SELECT CAST(NULL AS TIMESTAMP_NTZ) AS t"))
+    tables.write_by_day(df, "by_day_test", str(tmp_path / "d"), "t")
+    as_of = at("2024-02-03 07:00:00")
+    assert tables.expire_days(spark, "by_day_test", as_of) == ["2024-01-01", "2024-01-02"]
+    kept = timerange.retain(spark.table("by_day_test"), "t", as_of).select("t")
+    assert rows(kept) == rows(timerange.retain(df, "t", as_of))
+
+
+def test_mapping_turns_bad_numbers_into_null(spark):
+    df = spark.createDataFrame([("a", "12"), ("b", "x")], "r STRING, n STRING")
+    mapped = map_columns(df, [ColumnMapping("n", "value", "bigint"), ColumnMapping("r", "city")])
+    assert mapped.dtypes == [("value", "bigint"), ("city", "string")]
+    assert rows(mapped) == rows(spark.createDataFrame([(12, "a"), (None, "b")], mapped.schema))
+
+
+def test_feed_keeps_its_letters(spark, tmp_path):
+    text = f'"{readers.REGION}","{readers.SEX}","{readers.VALUE_PREFIX}2024M08"\n"0180 Malmå","män","5"\n'
+    (tmp_path / "feed.csv").write_bytes(text.encode("iso-8859-1"))
+    feed = readers.read_population_csv(spark, str(tmp_path), ["2024M08"])
+    assert rows(feed) == [("0180 Malmå", "män", "2024M08", "5")]
+
+
+def test_absent_table_reads_as_empty(spark):
+    assert readers.table_or_empty(spark, "no_such_table", FOLLOWERS).count() == 0
+
+
+# --- population and measures ------------------------------------------------------------------
+
+
+def test_population_pivot(spark):
+    df = spark.createDataFrame(
+        [("0001 X", "män", 3), ("0001 X", "män", 4), ("0002 X", "män", 1), ("0002 X", "kvinnor", 2),
+         ("0003 Y", "other", 9)],
+        "city STRING, gender STRING, monthlyPopulation BIGINT",
+    )
+    sums = pivot_sum(df, "gender", "monthlyPopulation", SEX_COLUMNS)
+    pivoted = df.groupBy("city").pivot("gender", list(SEX_COLUMNS)).sum("monthlyPopulation")
+    assert rows(sums) == rows(pivoted)
+    assert rows(population_table(df)) == [("X", 1, 2, 3), ("X", 7, None, None), ("Y", None, None, None)]
+
+
+def test_popularity_labels(spark):
+    df = spark.createDataFrame([(None,), (9,), (10,), (25,)], "n BIGINT")
+    labels = df.select(report.popularity_label(F.col("n"), [10, 20]).alias("l")).collect()
+    assert [r.l for r in labels] == ["unknown", "below 10", "from 10", "from 20"]
