@@ -29,9 +29,12 @@ _REFERENCE = (
     r"^(#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};|[a-zA-Z]{1,8};|(?:amp|lt|gt|quot)(?![a-zA-Z0-9=;]))"
 )
 
-_ATTRS = r"""[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*"""
+# Attributes of a tag, one ``name=`` with its quoted value after the other; a ``>`` in quotes does not
+# end the tag.
+_SETTING = r"""(?:[^>=]*=\s*(?:"[^"]*"|'[^']*')?+)"""
+_ATTRS = rf"{_SETTING}*+[^>=]*"
 # What is not text: comments, scripts, styles, tags.
-_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|</?[a-z][^>]*>"
+_MARKUP = rf"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|</?[a-z]{_ATTRS}>"
 
 
 @dataclass(frozen=True)
@@ -51,7 +54,7 @@ class Selector:
             value = rf"""(?:"{words}"|'{words}')"""
         else:
             value = rf"""(?:"(?:[^">]*\s)?{words}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{words}(?:\s[^'>]*)?')"""
-        return rf"<{self.tag}(?=\s)(?=[^>]*\sclass\s*=\s*{value}){_ATTRS}>"
+        return rf"<{self.tag}(?=\s)(?={_SETTING}*?[^>=]*?\sclass\s*=\s*{value}){_ATTRS}>"
 
 
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -218,5 +221,5 @@ def post_texts(html: Column) -> Column:
 
 def meta_description(html: Column) -> Column:
     """What a page says about itself in its head."""
-    named = rf"""(?is)<meta(?=\s)(?=[^>]*\sname\s*=\s*["']description["']){_ATTRS}>"""
+    named = rf"""(?is)<meta(?=\s)(?={_SETTING}*?[^>=]*?\sname\s*=\s*["']description["']){_ATTRS}>"""
     return attribute(F.regexp_extract(html, named, 0), "content")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -40,6 +41,10 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="jobmart-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/jobmart/{purpose}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="jobmart-")

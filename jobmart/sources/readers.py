@@ -24,7 +24,8 @@ def read_landing(spark: SparkSession, path: str, schema: StructType, fmt: str =
 
 def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
     """Zero rows with a schema: the first-run target and the empty batch."""
-    return spark.createDataFrame([], schema)
+    columns = (F.lit(None).cast(f.dataType).alias(f.name) for f in schema)
+    return spark.range(1).select(*columns).limit(0)  # the optimizer knows that it is empty
 
 
 def table_or_empty(spark: SparkSession, name: str, schema: StructType) -> DataFrame:
