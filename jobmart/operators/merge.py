@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobmart.operators.skew import with_key, without_key
+
 
 def align(df: DataFrame, columns: list[str]) -> DataFrame:
     """Columns in target order, matched by name whatever the case; a missing one is an error."""
@@ -35,11 +37,11 @@ def upsert(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
 def insert_only(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
     """Add the source rows whose key is new; a key enters with all its rows or not at all."""
     rows = align(source, target.columns)
-    return target.unionByName(not_yet_in(rows, target, key).select(*target.columns))
+    return target.unionByName(without_key(rows, target, key))
 
 
 def not_yet_in(df: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``done``: the work that is left."""
+    """Rows of ``df``, which has one row per key, whose key is not in ``done``: the work that is left."""
     return df.join(done.select(*key).distinct(), key, "left_anti")
 
 
@@ -50,7 +52,7 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: list[str]) -> DataFram
 
 def prune_orphans(child: DataFrame, parent: DataFrame, key: list[str]) -> DataFrame:
     """Rows of ``child`` whose parent lives."""
-    return child.join(parent.select(*key).distinct(), key, "left_semi")
+    return with_key(child, parent, key)
 
 
 def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:
@@ -65,8 +67,8 @@ def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str) ->
             F.count(F.lit(1)).alias("n"), F.count_if(F.col("_value").isNull()).alias("nulls")
         ).alias("facts")
     )
-    wanted = values.filter(F.col("_value").isNotNull()).distinct()
-    left = df.join(wanted, F.col(column) == F.col("_value"), "left_anti")
+    listed_values = values.filter(F.col("_value").isNotNull()).withColumnRenamed("_value", column)
+    left = without_key(df, listed_values, [column])
     fact = facts.scalar()
     return left.filter(
         (fact["n"] == 0) | ((fact["nulls"] == 0) & F.col(column).isNotNull())

@@ -1,0 +1,62 @@
+"""Lookups by key that hold up when a single key owns much of the left side.
+
+A plain shuffle join sends every row of a key to one task. Here the heaviest keys are found first, in
+one pass over the key columns; there are at most ``HOT_KEYS`` of them, so their share of the lookup is
+broadcast, and their rows are spread over all tasks instead of meeting in one. Which keys count as
+heavy affects only where rows go: every row takes part, whatever the estimate.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_KEYS = 64
+# Entries per sketch: any key above about half a percent of the rows is found.
+TRACKED = 256
+
+
+def hot_key_hashes(df: DataFrame, key: list[str]) -> DataFrame:
+    """``_h``: hashes of the heaviest keys, at most ``HOT_KEYS`` rows."""
+    hashed = f"xxhash64({', '.join(f'`{c}`' for c in key)})"
+    top = df.agg(F.expr(f"approx_top_k({hashed}, {HOT_KEYS}, {TRACKED})").alias("top"))
+    return top.select(F.explode("top.item").alias("_h"))
+
+
+def attach(df: DataFrame, lookup: DataFrame, key: list[str]) -> DataFrame:
+    """Left join to a lookup that has one row per key."""
+    values = [c for c in lookup.columns if c not in key]
+    found = lookup.select(*key, F.struct(*values).alias("_cold"))
+    hashed = F.xxhash64(*key)
+    hot = F.broadcast(hot_key_hashes(df, key).withColumn("_hot", F.lit(True)))
+    hot_rows = found.join(hot, hashed == F.col("_h"), "left_semi").withColumnRenamed("_cold", "_warm")
+    marked = (
+        df.join(hot, hashed == F.col("_h"), "left")
+        .join(F.broadcast(hot_rows), key, "left")
+        # Heavy rows get a second key that no lookup row has: one per task that read them.
+        .withColumn(
+            "_spread",
+            F.when(F.col("_hot"), F.spark_partition_id() + 1).otherwise(0).cast("bigint"),
+        )
+    )
+    # Always 0, but not as a literal: the optimizer would drop that from the join keys.
+    zero = F.pmod(hashed, F.lit(1))
+    joined = marked.join(found.withColumn("_spread", zero), [*key, "_spread"], "left")
+    row = F.when(F.col("_hot"), F.col("_warm")).otherwise(F.col("_cold"))
+    return joined.select(*df.columns, row.alias("_row")).select(
+        *df.columns, *(F.col(f"_row.`{v}`").alias(v) for v in values)
+    )
+
+
+def _marked(df: DataFrame, keys: DataFrame, key: list[str]) -> DataFrame:
+    return attach(df, keys.select(*key).distinct().withColumn("_found", F.lit(True)), key)
+
+
+def with_key(df: DataFrame, keys: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key is in ``keys``."""
+    return _marked(df, keys, key).filter(F.col("_found").isNotNull()).drop("_found")
+
+
+def without_key(df: DataFrame, keys: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``keys``; a NULL key is in nothing."""
+    return _marked(df, keys, key).filter(F.col("_found").isNull()).drop("_found")

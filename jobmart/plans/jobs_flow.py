@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmart.functions import cleaning
-from jobmart.operators import dedup, enrichment, merge, timerange
+from jobmart.operators import dedup, enrichment, merge, skew, timerange
 from jobmart.schemas import JOB_SILVER
 from jobmart.sources.tables import union_evolving
 
@@ -86,9 +86,9 @@ def silver_jobs_after(
     they would come out, so the run's shuffle follows the batch and not the whole of bronze.
     """
     if touched is not None:
-        job = cleaning.to_id(bronze["JobId"])
+        numbered = bronze.withColumn("_job", cleaning.to_id(F.col("JobId")))
         wanted = touched.select(F.col("JobId").alias("_job"))
-        bronze = bronze.join(wanted, job == F.col("_job"), "left_semi")
+        bronze = skew.with_key(numbered, wanted, ["_job"]).drop("_job")
     return timerange.retain(merge.upsert(silver, one_per_job(bronze), KEY), TIME, as_of)
 
 

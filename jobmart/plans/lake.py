@@ -69,6 +69,8 @@ def run_jobs_hour(
 ) -> None:
     """One hourly run: landed postings in, all job tables brought up to ``as_of``.
 
+    A run that failed may be repeated: postings appended twice are one job in silver.
+
     ``company_pages`` are ``(url, html)`` of companies that were looked up; only those of the current
     hour's postings count. ``ask`` answers a description with JSON; without it nothing is enriched.
     """
