@@ -76,7 +76,7 @@ def html_text(src: Inputs):
 SELECT page_id, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1)[1] AS first_item,
   regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1)[6] AS sixth_item FROM pages""")
 def html_nth_item(src: Inputs):
-    items = html.list_blocks(html.find_block(F.col("html"), Selector("ul")))
+    items = html.blocks(html.find_block(F.col("html"), Selector("ul")), "li")
     return src.table("pages").select(
         "page_id",
         html.text(html.find(html.nth(items, 0), Selector("a"))).alias("first_item"),

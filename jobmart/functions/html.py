@@ -86,25 +86,51 @@ def find_opening(html: Column, sel: Selector) -> Column:
 def find_block(html: Column, sel: Selector) -> Column:
     """The first matching element, where the same tag may occur inside it."""
     rest = F.regexp_extract(html, rf"(?is){sel.opening}.*", 0)
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("inside"), F.lit(False).alias("closed"))
+    return _once(rest, lambda r: F.coalesce(F.get(blocks(r, sel.tag), F.lit(0)), r))
+
+
+def blocks(html: Column, tag: str) -> Column:
+    """Elements of one tag that do not lie in another of the same tag, in document order.
+
+    The page is cut at every opening and closing tag, and a fold over the pieces keeps the depth and
+    notes where an outermost element starts and how many pieces it takes. One that is never closed
+    reaches to the end.
+    """
+    span = "array<struct<start:int,pieces:int>>"
+
+    def note(acc: Column, found: Column, start: Column, n: Column) -> Column:
+        one = F.struct(start.alias("start"), (n - start).alias("pieces"))
+        return F.when(found, F.array_append(acc["spans"], one)).otherwise(acc["spans"])
 
     def step(acc: Column, piece: Column) -> Column:
-        depth = acc["depth"] + F.when(piece.startswith("</"), -1).otherwise(1)
-        closed = depth == 0
-        inside = acc["inside"] + F.when(closed, 0).otherwise(1)
-        return F.when(acc["closed"], acc).otherwise(
-            F.struct(depth.alias("depth"), inside.alias("inside"), closed.alias("closed"))
+        closing = piece.startswith("</")
+        depth = F.when(closing, F.greatest(acc["depth"] - 1, F.lit(0))).otherwise(acc["depth"] + 1)
+        start = F.when(~closing & (acc["depth"] == 0), acc["n"]).otherwise(acc["start"])
+        done = closing & (acc["depth"] == 1)
+        return F.struct(
+            depth.alias("depth"), (acc["n"] + 1).alias("n"), start.alias("start"),
+            note(acc, done, acc["start"], acc["n"]).alias("spans"),
         )
 
-    def join_inside(pieces: Column) -> Column:
-        inside = F.aggregate(pieces, start, step, lambda acc: acc["inside"])
-        return F.concat(F.array_join(F.slice(pieces, F.lit(1), inside), ""), F.lit(f"</{sel.tag}>"))
+    # Piece 1 is what stands before the first tag.
+    begin = F.struct(
+        F.lit(0).alias("depth"), F.lit(2).alias("n"), F.lit(0).alias("start"),
+        F.array().cast(span).alias("spans"),
+    )
 
-    def close(r: Column) -> Column:
-        pieces = F.slice(_cut(r, rf"(?i)</?{sel.tag}(?=[\s>/])", "$0"), F.lit(2), F.length(r))
-        return F.when(r == "", r).otherwise(_once(pieces, join_inside))
+    def join(pieces: Column) -> Column:
+        spans = F.aggregate(
+            F.slice(pieces, F.lit(2), F.size(pieces)), begin, step,
+            lambda acc: note(acc, acc["depth"] > 0, acc["start"], acc["n"]),
+        )
+        return F.transform(
+            spans,
+            lambda s: F.concat(
+                F.array_join(F.slice(pieces, s["start"], s["pieces"]), ""), F.lit(f"</{tag}>")
+            ),
+        )
 
-    return _once(rest, close)
+    return _once(_cut(html, rf"(?i)</?{tag}(?=[\s>/])", "$0"), join)
 
 
 def find_all(html: Column, sel: Selector) -> Column:
@@ -178,13 +204,6 @@ def nth(items: Column, index: int) -> Column:
     return F.get(items, F.lit(index))
 
 
-def list_blocks(html: Column) -> Column:
-    """The page cut at every ``<li>``; what stands before the first one is dropped."""
-    return _once(
-        _cut(html, r"(?i)<li(?=[\s>])", "$0"), lambda p: F.slice(p, F.lit(2), F.size(p))
-    )
-
-
 def card_id(block: Column) -> Column:
     """Job id of one search-result item: last part of the urn of its card, a ``div`` or else an ``a``."""
     def urn(tag: str) -> Column:
@@ -215,7 +234,7 @@ def job_texts(html: Column) -> Column:
 
     An absent field is NULL. The pieces are cut out first and cleaned in one go.
     """
-    items = list_blocks(find_block(html, CRITERIA))
+    items = blocks(find_block(html, CRITERIA), "li")
     criteria = _once(items, lambda found: F.array(*(nth(found, i) for i in range(len(CRITERIA_FIELDS)))))
     pieces = F.concat(
         F.array(*(find(html, sel) for sel in TEXT_FIELDS.values())),

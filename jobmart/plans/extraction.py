@@ -11,7 +11,7 @@ from jobmart.schemas import JOB_BRONZE
 
 def job_ids(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Distinct job ids listed on search-result pages."""
-    ids = F.transform(html.list_blocks(F.col(html_col)), html.card_id)
+    ids = F.transform(html.blocks(F.col(html_col), "li"), html.card_id)
     return (
         pages.select(F.explode(F.array_distinct(ids)).alias("JobId"))
         .filter(F.col("JobId").isNotNull())

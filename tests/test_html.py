@@ -59,6 +59,16 @@ def test_nested_block_is_closed_by_depth(spark):
     assert read(spark, "<p>x</p>", lambda h: html.spaced_text(html.find_block(h, Selector("div", "d")))) is None
 
 
+def test_outermost_items(spark):
+    page = "x<li>a<ul><li>b</li></ul>c</li>between<LI class=q>d</LI></li><link><li>e<li>f</li>"
+    got = read(spark, page, lambda h: html.blocks(h, "li"))
+    assert got == [
+        "<li>a<ul><li>b</li></ul>c</li>", "<LI class=q>d</li>", "<li>e<li>f</li></li>"
+    ]
+    assert read(spark, "no items", lambda h: html.blocks(h, "li")) == []
+    assert read(spark, None, lambda h: html.blocks(h, "li")) is None
+
+
 def test_long_nested_block_is_read_whole(spark):
     inner = "".join(f"<div>w{i}</div>" for i in range(3000))
     text = read(
@@ -113,11 +123,13 @@ def test_job_ids(spark):
         '<li><div class="base-card x" data-entity-urn="urn:li:jobPosting:11"></div></li>'
         '<li><a class="base-card" data-entity-urn="urn:li:jobPosting:12">t</a></li>'
         '<li><div class="other" data-entity-urn="urn:li:jobPosting:13"></div></li>'
+        '<li><div class="base-card" data-entity-urn="urn:li:jobPosting:15"><ul><li><a class="base-card" '
+        'data-entity-urn="urn:li:jobPosting:99"></a></li></ul></div></li>'
         '<li><a class="base-card" data-entity-urn="urn:li:ad:0"></a><div class="base-card" '
         'data-entity-urn="urn:li:jobPosting:14"></div></li>'
     )
     pages = spark.createDataFrame([(page,), (page,), (None,), ("",)], "html STRING")
-    assert sorted(r.JobId for r in extraction.job_ids(pages).collect()) == ["11", "12", "14"]
+    assert sorted(r.JobId for r in extraction.job_ids(pages).collect()) == ["11", "12", "14", "15"]
 
 
 def test_company_followers(spark):
