@@ -2,8 +2,9 @@
 
 A ``Selector`` names an element by tag and class. Elements are passed on as HTML text, where the empty
 string means that there is none; values read from an absent element are NULL. Extraction runs on
-regular expressions inside the JVM; nested blocks (a description with inner ``div``s) are closed by counting the tag's depth with a
-fold over its pieces, so whole documents are read and no Python worker is involved.
+regular expressions inside the JVM; nested blocks (a description with inner ``div``s) are closed by
+counting the tag's depth with a fold over its pieces, so whole documents are read and no Python worker
+is involved. Repeated groups are possessive: the matcher never recurses over a long text.
 """
 
 from __future__ import annotations
@@ -33,6 +34,15 @@ _REFERENCE = (
 # end the tag.
 _SETTING = r"""(?:[^>=]*=\s*(?:"[^"]*"|'[^']*')?+)"""
 _ATTRS = rf"{_SETTING}*+[^>=]*"
+_QUOTED = r"""("[^"]*"|'[^']*'|[^\s>"']+)"""
+
+
+def _up_to(name: str) -> str:
+    """The part of a tag from its name to the value of its attribute ``name``."""
+    wanted = rf"[^>=]*\s(?i:{name})\s*=\s*"
+    return rf"(?:(?!{wanted}){_SETTING})*+{wanted}"
+
+
 _MARK = "\u0000"
 
 # What is not text: comments, scripts, styles, tags.
@@ -49,14 +59,20 @@ class Selector:
     @property
     def opening(self) -> str:
         """Regular expression of the opening tag."""
+        tag = rf"<(?i:{self.tag})(?=[\s>/])"
         if self.css_class is None:
-            return rf"<{self.tag}(?=[\s>/]){_ATTRS}>"
+            return rf"{tag}{_ATTRS}>"
         words = re.escape(self.css_class).replace(r"\ ", " ")
         if " " in self.css_class:
             value = rf"""(?:"{words}"|'{words}')"""
         else:
             value = rf"""(?:"(?:[^">]*\s)?{words}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{words}(?:\s[^'>]*)?')"""
-        return rf"<{self.tag}(?=\s)(?={_SETTING}*?[^>=]*?\sclass\s*=\s*{value}){_ATTRS}>"
+        return rf"{tag}{_up_to('class')}{value}{_ATTRS}>"
+
+    @property
+    def element(self) -> str:
+        """Regular expression of the element up to its first closing tag."""
+        return rf"(?s){self.opening}.*?</(?i:{self.tag})\s*>"
 
 
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -75,17 +91,17 @@ def _cut(c: Column, pattern: str, keep: str = "") -> Column:
 
 def find(html: Column, sel: Selector) -> Column:
     """The first matching element, up to its first closing tag."""
-    return F.regexp_extract(html, rf"(?is){sel.opening}.*?</{sel.tag}\s*>", 0)
+    return F.regexp_extract(html, sel.element, 0)
 
 
 def find_opening(html: Column, sel: Selector) -> Column:
     """The opening tag of the first matching element."""
-    return F.regexp_extract(html, rf"(?is){sel.opening}", 0)
+    return F.regexp_extract(html, sel.opening, 0)
 
 
 def find_block(html: Column, sel: Selector) -> Column:
     """The first matching element, where the same tag may occur inside it."""
-    rest = F.regexp_extract(html, rf"(?is){sel.opening}.*", 0)
+    rest = F.regexp_extract(html, rf"(?s){sel.opening}.*", 0)
     return _once(rest, lambda r: F.coalesce(F.get(blocks(r, sel.tag), F.lit(0)), r))
 
 
@@ -135,13 +151,12 @@ def blocks(html: Column, tag: str) -> Column:
 
 def find_all(html: Column, sel: Selector) -> Column:
     """All matching elements in document order, each up to its first closing tag."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is){sel.opening}.*?</{sel.tag}\s*>"), F.lit(0))
+    return F.regexp_extract_all(html, F.lit(sel.element), F.lit(0))
 
 
 def attribute(element: Column, name: str) -> Column:
     """An attribute of the element's opening tag; NULL if it is not set."""
-    opening = F.regexp_extract(element, rf"(?s)^<[a-zA-Z0-9]+{_ATTRS}>", 0)
-    setting = F.regexp_extract(opening, rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", 1)
+    setting = F.regexp_extract(element, rf"^<[a-zA-Z0-9]+(?=\s){_up_to(name)}{_QUOTED}", 1)
     return _once(setting, lambda v: F.when(v != "", unescape(F.regexp_replace(v, "^[\"']|[\"']$", ""))))
 
 
@@ -253,5 +268,5 @@ def post_texts(html: Column) -> Column:
 
 def meta_description(html: Column) -> Column:
     """What a page says about itself in its head."""
-    named = rf"""(?is)<meta(?=\s)(?={_SETTING}*?[^>=]*?\sname\s*=\s*["']description["']){_ATTRS}>"""
+    named = rf"""<(?i:meta)(?=\s){_up_to('name')}["']description["']{_ATTRS}>"""
     return attribute(F.regexp_extract(html, named, 0), "content")

@@ -28,6 +28,9 @@ def read(spark, page, expr):
         ('<pre class="a">no</pre>', None),
         ('<p class="a"></p>', ""),
         ('<p class="a">x <b>y</b><!-- z --><script>w()</script></p>', "x y"),
+        ('<p class="A">case counts</p>', None),
+        ("<p " + "x=1 " * 20000 + 'class="a">x</p>', "x"),
+        ("<p " + "a='b\" " * 20000, None),
         ("", None),
         (None, None),
     ],
@@ -44,7 +47,8 @@ def test_several_class_words_mean_the_exact_value(spark):
 
 def test_attribute_forms(spark):
     for setting, value in [('href="/a?x=1&amp;y=2"', "/a?x=1&y=2"), ("href='q'", "q"), ("href=u", "u"),
-                           ('data-href="n"', None), ('href=""', "")]:
+                           ('data-href="n"', None), ('href=""', ""), ('title="x href=no" HREF="y"', "y"),
+                           ("disabled href = 'z'", "z")]:
         got = read(spark, f"<a id=0 {setting}>t</a>", lambda h: html.attribute(html.find(h, Selector("a")), "href"))
         assert got == value, setting
 
