@@ -7,13 +7,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from jobmart.catalog.enrich import stand_in_model
-from jobmart.catalog.jobs import HOUR_AS_OF, SILVER, SPLIT, TS, TWO_RUNS, TWO_RUNS_SQL
+from jobmart.catalog.jobs import HOUR_AS_OF, SPLIT, TS, TWO_RUNS, TWO_RUNS_SQL
 from jobmart.catalog.pages import META_SQL, POST_SQL
 from jobmart.catalog.population import PERIOD, SEXES
 from jobmart.catalog.registry import Inputs, query
 from jobmart.operators import timerange
 from jobmart.plans import population_flow
-from jobmart.plans.lake import Lake, run_jobs_hour, run_population_month
+from jobmart.plans.lake import Lake, run_jobs_hour, run_population_month, silver_jobs
 from jobmart.schemas import POPULATION_SILVER
 from jobmart.sources import tables
 
@@ -29,7 +29,7 @@ def hourly_flow_jobs(src: Inputs):
     first, second = TWO_RUNS
     run_jobs_hour(lake, raw.filter(F.col(TS) < cut), first)
     run_jobs_hour(lake, raw.filter(F.col(TS) >= cut), second)
-    return lake.table("silver.jobs").select(*SILVER.split(", "))
+    return silver_jobs(lake, second)
 
 
 def _one_run(src: Inputs) -> Lake:

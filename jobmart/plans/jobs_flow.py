@@ -77,6 +77,13 @@ def touched_jobs(landed: DataFrame, bronze_before: DataFrame, as_of: datetime) -
     return ids.select(cleaning.to_id(F.col("JobId")).alias("JobId")).distinct()
 
 
+def sightings_of(bronze: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Bronze rows of the given job ids, whatever form the id has in bronze."""
+    numbered = bronze.withColumn("_job", cleaning.to_id(F.col("JobId")))
+    wanted = jobs.select(F.col("JobId").alias("_job"))
+    return skew.with_key(numbered, wanted, ["_job"]).drop("_job")
+
+
 def silver_jobs_after(
     silver: DataFrame, bronze: DataFrame, as_of: datetime, touched: DataFrame | None = None
 ) -> DataFrame:
@@ -86,9 +93,7 @@ def silver_jobs_after(
     they would come out, so the run's shuffle follows the batch and not the whole of bronze.
     """
     if touched is not None:
-        numbered = bronze.withColumn("_job", cleaning.to_id(F.col("JobId")))
-        wanted = touched.select(F.col("JobId").alias("_job"))
-        bronze = skew.with_key(numbered, wanted, ["_job"]).drop("_job")
+        bronze = sightings_of(bronze, touched)
     return timerange.retain(merge.upsert(silver, one_per_job(bronze), KEY), TIME, as_of)
 
 

@@ -1,37 +1,44 @@
 """The two flows over named tables: each run reads the layers, computes, and writes each table once.
 
-Tables are Parquet files registered in the session's catalog. Bronze postings are appended by day;
-the other tables are replaced by writing a new version beside the old one and pointing the name at it.
+Tables are Parquet files registered in the session's catalog. Bronze postings are appended by day of
+sighting. Silver jobs are kept by day of publication, and a run rewrites only the days whose jobs
+changed. The other tables are replaced by writing a new version beside the old one and pointing the
+name at it.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-from jobmart.operators import checks, enrichment, timerange
+from jobmart.operators import checks, enrichment, merge, timerange
 from jobmart.plans import extraction, jobs_flow
 from jobmart.plans.population_flow import population_silver
 from jobmart.schemas import ENRICHED, FOLLOWERS, JOB_BRONZE, JOB_SILVER, POPULATION_SILVER
 from jobmart.sources import readers, tables
 
 DAY = "extraction_date"
+JOB_DAY = "job_date"
+UNDATED = date(9999, 12, 31)
 
 SCHEMAS = {
     "bronze.jobs": StructType([*JOB_BRONZE, StructField(DAY, DateType())]),
     "bronze.followers": FOLLOWERS,
-    "silver.jobs": JOB_SILVER,
+    "silver.jobs": StructType([*JOB_SILVER, StructField(JOB_DAY, DateType())]),
     "silver.followers": FOLLOWERS,
     "silver.enriched": ENRICHED,
     "silver.population": POPULATION_SILVER,
 }
 
 
+PARTITIONS = {"bronze.jobs": DAY, "silver.jobs": JOB_DAY}
+
+
 class Lake:
     """Bronze and silver tables under one folder; ``prefix`` keeps several lakes apart in one catalog."""
 
@@ -40,8 +47,9 @@ class Lake:
         for layer in ("bronze", "silver"):
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{self.root}/{layer}'")
         for table, schema in SCHEMAS.items():
-            partition = DAY if table == "bronze.jobs" else None
-            tables.ensure_table(spark, self.name(table), schema, self._version(table), partition)
+            tables.ensure_table(
+                spark, self.name(table), schema, self.new_path(table), PARTITIONS.get(table)
+            )
 
     def name(self, table: str) -> str:
         return f"{self.prefix}{table}"
@@ -49,7 +57,7 @@ class Lake:
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
-    def _version(self, table: str) -> str:
+    def new_path(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
 
     def replace(self, table: str, rows: DataFrame) -> DataFrame:
@@ -57,7 +65,36 @@ class Lake:
         schema = SCHEMAS[table]
         checked = checks.require_not_null(rows, [f.name for f in schema if not f.nullable])
         ordered = checked.select(*schema.fieldNames())
-        return tables.swap_table(ordered, self.name(table), self._version(table))
+        return tables.swap_table(ordered, self.name(table), self.new_path(table))
+
+
+def update_jobs(lake: Lake, bronze: DataFrame, touched: DataFrame, as_of: datetime) -> DataFrame:
+    """Upsert the first sightings of the touched jobs into silver, then retention by silver time.
+
+    Only days that lose or gain a job are rewritten; which ones those are, a list of days, is all that
+    comes to the driver.
+    """
+    found = jobs_flow.one_per_job(jobs_flow.sightings_of(bronze, touched))
+    job_day = F.coalesce(F.to_date(jobs_flow.TIME), F.lit(UNDATED))
+    found = tables.land(found.withColumn(JOB_DAY, job_day), lake.new_path("runs.found"))
+    silver = lake.table("silver.jobs")
+    kept_found = timerange.retain(found, jobs_flow.TIME, as_of)
+    left_by = silver.join(found.select("JobId"), "JobId", "left_semi")
+    changed = left_by.select(JOB_DAY).unionByName(kept_found.select(JOB_DAY)).distinct()
+    days = sorted(row[0] for row in changed.toLocalIterator())
+    if days:
+        stay = merge.not_yet_in(silver.filter(F.col(JOB_DAY).isin(days)), found, jobs_flow.KEY)
+        rows = stay.unionByName(kept_found).select(*silver.columns)
+        checked = checks.require_not_null(rows, jobs_flow.KEY)
+        name, path = lake.name("silver.jobs"), lake.new_path("silver.jobs")
+        tables.replace_days(checked, name, path, JOB_DAY, days)
+    tables.expire_days(lake.spark, lake.name("silver.jobs"), as_of, day=JOB_DAY)
+    return silver_jobs(lake, as_of)
+
+
+def silver_jobs(lake: Lake, as_of: datetime) -> DataFrame:
+    """Silver jobs as of a run: the day on the edge of retention is trimmed on read."""
+    return timerange.retain(lake.table("silver.jobs"), jobs_flow.TIME, as_of).drop(JOB_DAY)
 
 
 def run_jobs_hour(
@@ -76,7 +113,7 @@ def run_jobs_hour(
     """
     before = lake.table("bronze.jobs")
     touched = tables.land(
-        jobs_flow.touched_jobs(landed, before, as_of), f"{lake.root}/runs/{uuid.uuid4().hex}"
+        jobs_flow.touched_jobs(landed, before, as_of), lake.new_path("runs.touched")
     )
     tables.append_to_table(tables.with_day(landed, jobs_flow.TIME, DAY), lake.name("bronze.jobs"))
     tables.expire_days(lake.spark, lake.name("bronze.jobs"), as_of, day=DAY)
@@ -89,10 +126,7 @@ def run_jobs_hour(
         lake.replace(
             "bronze.followers", jobs_flow.followers_after(lake.table("bronze.followers"), batch)
         )
-    silver = lake.replace(
-        "silver.jobs",
-        jobs_flow.silver_jobs_after(lake.table("silver.jobs"), bronze, as_of, touched),
-    )
+    silver = update_jobs(lake, bronze, touched, as_of)
     lake.replace(
         "silver.followers",
         jobs_flow.followers_after(lake.table("silver.followers"), lake.table("bronze.followers")),
@@ -101,7 +135,7 @@ def run_jobs_hour(
     answers = readers.empty_table(lake.spark, StructType.fromDDL("JobId BIGINT, response STRING"))
     if ask is not None:
         called = enrichment.call_model(jobs_flow.backlog(silver, enriched), ask)
-        answers = tables.land(called, f"{lake.root}/runs/{uuid.uuid4().hex}")
+        answers = tables.land(called, lake.new_path("runs.answers"))
     lake.replace("silver.enriched", jobs_flow.enriched_after(enriched, answers, silver))
 
 

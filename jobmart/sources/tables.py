@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,6 +107,29 @@ def write_by_day(df: DataFrame, name: str, path: str, ts: str, day: str = "extra
     return df.sparkSession.table(name)
 
 
+def replace_days(df: DataFrame, name: str, path: str, day: str, days: list[date]) -> DataFrame:
+    """Replace the given day partitions by ``df``, which may read the table and holds no other days.
+
+    The new files are written in full under ``path`` before any partition is pointed at them; days
+    that have no rows left are dropped. Days are switched one after the other: a run that breaks off in
+    between is put right by repeating it.
+    """
+    spark = df.sparkSession
+    df.hint("rebalance", F.col(day)).write.mode("errorifexists").partitionBy(day).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path).select(day).distinct()
+    filled = {row[0] for row in written.toLocalIterator()}
+    for d in days:
+        partition = f"PARTITION ({day} = DATE '{d}')"
+        if d in filled:
+            location = f"LOCATION '{path}/{day}={d}'"
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {partition} {location}")
+            spark.sql(f"ALTER TABLE {name} {partition} SET {location}")
+        else:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {partition}")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def expire_days(
     spark: SparkSession, name: str, as_of: datetime, days: int = 30, day: str = "extraction_date"
 ) -> list[str]:
