@@ -5,12 +5,14 @@ Checkpoints and outputs live in folders the caller names, which must be shared b
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
-from jobmart.operators import dedup
+from jobmart.operators import dedup, timerange
 from jobmart.plans import jobs_flow
 from jobmart.schemas import JOB_SILVER
 
@@ -78,16 +80,24 @@ def _batches(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(schema).parquet(out).drop("batch_id")
 
 
-def current_jobs(spark: SparkSession, out: str) -> DataFrame:
-    """Silver jobs from the batches under ``out``: the first sighting of every job, whichever batch."""
-    return dedup.keep_one(_batches(spark, out), jobs_flow.KEY, jobs_flow.SEEN).drop(jobs_flow.SEEN)
+def current_jobs(spark: SparkSession, out: str, as_of: datetime | None = None) -> DataFrame:
+    """Silver jobs from the batches under ``out``: the first sighting of every job, whichever batch.
+
+    With ``as_of``, the first among the sightings that retention still holds, and of these the jobs
+    whose own time it holds.
+    """
+    rows = _batches(spark, out)
+    if as_of:
+        rows = timerange.retain(rows, jobs_flow.SEEN, as_of)
+    jobs = dedup.keep_one(rows, jobs_flow.KEY, jobs_flow.SEEN).drop(jobs_flow.SEEN)
+    return timerange.retain(jobs, jobs_flow.TIME, as_of) if as_of else jobs
 
 
-def compact_jobs(spark: SparkSession, out: str, new_out: str) -> DataFrame:
-    """Fold all batches into one under ``new_out``, for the next runs to add to.
+def compact_jobs(spark: SparkSession, out: str, new_out: str, as_of: datetime) -> None:
+    """Merge the small files of all batches under ``new_out`` and leave out expired sightings.
 
-    ``SeenAt`` is kept, so later batches still compare with it.
+    Later sightings stay: one of them becomes the first when those before it expire. Later runs add
+    their batches to ``new_out``.
     """
-    first = dedup.keep_one(_batches(spark, out), jobs_flow.KEY, jobs_flow.SEEN)
-    first.write.mode("errorifexists").parquet(f"{new_out}/batch_id=-1")
-    return current_jobs(spark, new_out)
+    rows = timerange.retain(_batches(spark, out), jobs_flow.SEEN, as_of)
+    rows.hint("rebalance").write.mode("errorifexists").parquet(f"{new_out}/batch_id=-1")

@@ -1,10 +1,14 @@
 """Streams against the batch operators, replays included."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from jobmart.catalog.fixtures import fixture, table
+from jobmart.operators import timerange
 from jobmart.plans import jobs_flow
+from jobmart.schemas import JOB_BRONZE
 from jobmart.session import work_dir
 from jobmart.streaming import incremental
 
@@ -45,8 +49,34 @@ def test_upserts_over_several_runs_equal_one_batch(spark, raw):
         upsert_all(spark, landing, out, raw)
     wanted = rows(jobs_flow.one_per_job(raw))
     assert rows(incremental.current_jobs(spark, out)) == wanted
-    folded = incremental.compact_jobs(spark, out, work_dir(spark, "compact"))
-    assert rows(folded) == wanted
+
+
+def test_retention_over_batches_and_compaction(spark):
+    """One sighting per job and run: the stream's table equals the batch form at every point in time."""
+    sightings = [
+        (1, "a", "2024-01-02 10:00:00"), (2, "b", "2024-01-02 10:00:00"), (1, "c", "2024-01-10 10:00:00"),
+        (3, "d", "2024-01-10 10:00:00"), (2, "e", "2024-01-20 10:00:00"),
+    ]
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in JOB_BRONZE)
+    landing, out = work_dir(spark, "landing"), work_dir(spark, "jobs")
+    for time in sorted({t for *_, t in sightings}):
+        batch = [
+            tuple({"JobId": str(i), "JobTitle": title, "ExtractionDatetime": datetime.fromisoformat(t)}
+                  .get(f.name) for f in JOB_BRONZE)
+            for i, title, t in sightings if t == time
+        ]
+        spark.createDataFrame(batch, columns).coalesce(1).write.mode("append").parquet(landing)
+        stream = incremental.landing_stream(spark, landing, JOB_BRONZE)
+        incremental.start_job_upserts(stream, out, f"{out}-checkpoint").awaitTermination()
+    bronze = spark.read.schema(JOB_BRONZE).parquet(landing)
+    compacted = work_dir(spark, "compact")
+    incremental.compact_jobs(spark, out, compacted, datetime(2024, 2, 5))
+    for as_of in (datetime(2024, 2, 1), datetime(2024, 2, 5), datetime(2024, 2, 12), datetime(2024, 3, 1)):
+        held = timerange.retain(bronze, "ExtractionDatetime", as_of)
+        wanted = rows(timerange.retain(jobs_flow.one_per_job(held), "ExtractionDatetime", as_of))
+        assert rows(incremental.current_jobs(spark, out, as_of)) == wanted
+        if as_of >= datetime(2024, 2, 5):
+            assert rows(incremental.current_jobs(spark, compacted, as_of)) == wanted
 
 
 def test_a_repeated_batch_replaces_its_own_folder(spark, raw):
