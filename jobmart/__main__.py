@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 from jobmart.operators.population import SEX_COLUMNS
 from jobmart.plans.lake import Lake, run_jobs_hour, run_population_month
-from jobmart.schemas import JOB_BRONZE
+from jobmart.schemas import JOB_LANDING
 from jobmart.session import build_session
 from jobmart.sources import readers
 
@@ -53,7 +53,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if args.ask:
         module, function = args.ask.split(":")
         ask = getattr(importlib.import_module(module), function)
-    landed = readers.read_landing(spark, args.landing, JOB_BRONZE)
+    landed = readers.read_landing(spark, args.landing, JOB_LANDING)
     pages = spark.read.parquet(args.pages) if args.pages else None
     run_jobs_hour(lake, landed, as_of, pages, ask)
 

@@ -94,7 +94,7 @@ WHERE JobId NOT IN (SELECT JobId FROM enriched_seed)"""
 
 @query("enriched_insert_only", _INSERTED)
 def enriched_insert_only(src: Inputs):
-    rows = enrichment.to_enriched(enrichment.parse_answers(src.fixture("enrichment_response")))
+    rows = enrichment.to_wide(enrichment.parse_answers(src.fixture("enrichment_response")))
     return merge.insert_only(src.fixture("enriched_seed"), rows, ["JobId"])
 
 
@@ -103,7 +103,7 @@ SELECT * FROM ({_INSERTED}) WHERE JobId IN (SELECT JobId FROM job_descriptions)"
 def enriched_after_run(src: Inputs):
     return jobs_flow.enriched_after(
         src.fixture("enriched_seed"), src.fixture("enrichment_response"),
-        src.fixture("job_descriptions"),
+        src.fixture("job_descriptions"), wide=True,
     )
 
 

@@ -11,7 +11,7 @@ from jobmart.catalog.jobs import HOUR_AS_OF, SPLIT, TS, TWO_RUNS, TWO_RUNS_SQL
 from jobmart.catalog.pages import META_SQL, POST_SQL
 from jobmart.catalog.population import PERIOD, SEXES
 from jobmart.catalog.registry import Inputs, query
-from jobmart.operators import timerange
+from jobmart.operators import enrichment, timerange
 from jobmart.plans import population_flow
 from jobmart.plans.lake import Lake, run_jobs_hour, run_population_month, silver_jobs
 from jobmart.schemas import POPULATION_SILVER
@@ -57,7 +57,7 @@ SELECT JobId, 'words2' AS Tools, CAST(NULL AS VARCHAR) AS Requirements, CAST(NUL
 FROM jobs_silver
 WHERE length(JobDescription) % 7 <> 0 AND ExtractionDatetime > TIMESTAMP '2023-12-30 23:30:00'""")
 def hourly_flow_enriched(src: Inputs):
-    return _one_run(src).table("silver.enriched")
+    return enrichment.explode_wide(_one_run(src).table("silver.enriched"))
 
 
 _POPULATION = "SELECT City, MenPopulation, WomenPopulation, TotalPopulation FROM population_silver"

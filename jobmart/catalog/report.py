@@ -60,7 +60,7 @@ _register_seniority_counts()
 @query("jobs_by_worktype", """
 SELECT WorkType, count(DISTINCT JobId) AS jobs FROM enriched GROUP BY 1""")
 def jobs_by_worktype(src: Inputs):
-    return report.jobs_by_work_type(enrichment.to_enriched(_parsed(src)))
+    return report.jobs_by_work_type(enrichment.to_lists(_parsed(src)))
 
 
 @query("jobs_by_popularity", """

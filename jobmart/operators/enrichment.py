@@ -63,12 +63,16 @@ def explode_long(parsed: DataFrame, key: str = "JobId") -> DataFrame:
     )
 
 
-def to_enriched(parsed: DataFrame) -> DataFrame:
-    """Rows of the enriched table: wide form, distinct, a missing work type read as on site."""
-    wide = explode_wide(parsed.filter(F.col("status") == "ok"))
-    return wide.select(
+def to_lists(parsed: DataFrame) -> DataFrame:
+    """Usable answers with their lists, one row per job; a missing work type is read as on site."""
+    return parsed.filter(F.col("status") == "ok").select(
         "JobId", *LISTS, work_type_or_default(F.col("WorkType")).alias("WorkType")
-    ).distinct()
+    )
+
+
+def to_wide(parsed: DataFrame) -> DataFrame:
+    """The same in the combined form, distinct."""
+    return explode_wide(to_lists(parsed)).distinct()
 
 
 def work_type_violations(parsed: DataFrame) -> DataFrame:

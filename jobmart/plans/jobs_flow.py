@@ -108,11 +108,14 @@ def backlog(silver: DataFrame, enriched: DataFrame) -> DataFrame:
     return merge.not_yet_in(silver.select("JobId", "JobDescription"), enriched, KEY)
 
 
-def enriched_after(enriched: DataFrame, answers: DataFrame, silver: DataFrame) -> DataFrame:
-    """Insert the rows of newly answered jobs, then drop rows whose job is gone.
+def enriched_after(
+    enriched: DataFrame, answers: DataFrame, silver: DataFrame, wide: bool = False
+) -> DataFrame:
+    """Insert what newly answered jobs hold, then drop rows whose job is gone.
 
     ``answers`` are ``(JobId, response)``; answers that did not parse stay out, so their jobs are
-    asked again.
+    asked again. The table keeps the lists, one row per job, unless it is in the ``wide`` form.
     """
-    rows = enrichment.to_enriched(enrichment.parse_answers(answers.select("JobId", "response")))
+    parsed = enrichment.parse_answers(answers.select("JobId", "response"))
+    rows = enrichment.to_wide(parsed) if wide else enrichment.to_lists(parsed)
     return merge.prune_orphans(merge.insert_only(enriched, rows, KEY), silver, KEY)

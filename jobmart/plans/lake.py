@@ -2,7 +2,8 @@
 
 Tables are Parquet files registered in the session's catalog. Bronze postings are appended by day of
 sighting. Silver jobs are kept by day of publication, and a run rewrites only the days whose jobs
-changed. The other tables are replaced by writing a new version beside the old one and pointing the
+changed. Enriched jobs keep their lists in one row; ``operators.enrichment`` turns them into the wide or
+long form on read. The other tables are replaced by writing a new version beside the old one and pointing the
 name at it.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 from jobmart.operators import checks, enrichment, merge, timerange
 from jobmart.plans import extraction, jobs_flow
 from jobmart.plans.population_flow import population_silver
-from jobmart.schemas import ENRICHED, FOLLOWERS, JOB_BRONZE, JOB_SILVER, POPULATION_SILVER
+from jobmart.schemas import ENRICHED_LISTS, FOLLOWERS, JOB_BRONZE, JOB_SILVER, POPULATION_SILVER
 from jobmart.sources import readers, tables
 
 DAY = "extraction_date"
@@ -31,7 +32,7 @@ SCHEMAS = {
     "bronze.followers": FOLLOWERS,
     "silver.jobs": StructType([*JOB_SILVER, StructField(JOB_DAY, DateType())]),
     "silver.followers": FOLLOWERS,
-    "silver.enriched": ENRICHED,
+    "silver.enriched": ENRICHED_LISTS,
     "silver.population": POPULATION_SILVER,
 }
 

@@ -30,7 +30,7 @@ def jobs_by_value(long: DataFrame, kind: str) -> DataFrame:
 
 
 def jobs_by_work_type(enriched: DataFrame) -> DataFrame:
-    """Jobs per work type; the enriched table holds many rows per job."""
+    """Jobs per work type; in its wide form the enriched table holds many rows per job."""
     return enriched.groupBy("WorkType").agg(F.count_distinct("JobId").alias("jobs"))
 
 

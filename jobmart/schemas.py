@@ -20,6 +20,9 @@ JOB_BRONZE = T.StructType(
     + _fields("ExtractionDatetime", dtype=_NTZ)
 )
 
+# Some feeds state when a posting was published; where they do not, the column reads as NULL.
+JOB_LANDING = T.StructType([*JOB_BRONZE, T.StructField("publishdatetime", T.StringType())])
+
 JOB_SILVER = T.StructType(
     [T.StructField("JobId", T.LongType(), False)]
     + _fields("JobTitle", "CompanyName", "CompanyLinkedinUrl", "City")
@@ -36,11 +39,18 @@ FOLLOWERS = T.StructType(
     ]
 )
 
+# The combined form: one row per tool, requirement and offer of a job.
 ENRICHED = T.StructType(
     [T.StructField("JobId", T.LongType(), False)]
     + _fields("Tools", "Requirements", "Offer", "WorkType")
 )
 
+ENRICHED_LISTS = T.StructType(
+    [T.StructField("JobId", T.LongType(), False)]
+    + _fields("Tools", "Requirements", "Offer", dtype=T.ArrayType(T.StringType()))
+    + _fields("WorkType")
+)
+
 POPULATION_SILVER = T.StructType(
     [T.StructField("City", T.StringType(), False)]
     + _fields("MenPopulation", "WomenPopulation", "TotalPopulation", dtype=T.IntegerType())

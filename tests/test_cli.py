@@ -12,16 +12,18 @@ def test_jobs_hour(spark, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
     posting = {"JobId": "7", "Location": "Lund, Sk", "ExtractionDatetime": "2024-01-02T10:00:00.000001"}
-    (landing / "part.json").write_text(json.dumps(posting) + "\n")
+    published = {**posting, "JobId": "8", "publishdatetime": "2024-01-01 08:00:00", "other": 1}
+    (landing / "part.json").write_text(json.dumps(posting) + "\n" + json.dumps(published) + "\n")
     prefix = f"cli_{uuid.uuid4().hex}_"
     main(
         ["jobs-hour", "--root", work_dir(spark, "cli"), "--prefix", prefix, "--landing", str(landing),
          "--as-of", "2024-01-02T11:00:00", "--ask", "tests.test_cli:answer"],
         spark,
     )
-    job = spark.table(f"{prefix}silver.jobs").first()
+    job, dated = spark.table(f"{prefix}silver.jobs").orderBy("JobId").collect()
+    assert dated.ExtractionDatetime.isoformat(sep=" ") == "2024-01-01 08:00:00"
     assert (job.JobId, job.City, job.ExtractionDatetime.microsecond) == (7, "Lund", 1)
-    assert spark.table(f"{prefix}silver.enriched").first().Tools == "t"
+    assert spark.table(f"{prefix}silver.enriched").first().Tools == ["t"]
 
 
 def answer(description):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from jobmart.operators import enrichment
 from jobmart.plans import jobs_flow
-from jobmart.schemas import ENRICHED
+from jobmart.schemas import ENRICHED, ENRICHED_LISTS
 from jobmart.sources import readers
 
 
@@ -55,11 +55,23 @@ def test_wide_and_long(spark):
 def test_failed_answers_stay_backlog(spark):
     jobs = spark.createDataFrame([(0, "x"), (1, "y")], "JobId BIGINT, JobDescription STRING")
     got = spark.createDataFrame([(0, '{"Tools":["a"]}'), (1, "not json")], "JobId BIGINT, response STRING")
-    enriched = jobs_flow.enriched_after(readers.empty_table(spark, ENRICHED), got, jobs)
+    enriched = jobs_flow.enriched_after(readers.empty_table(spark, ENRICHED), got, jobs, wide=True)
     assert [tuple(r) for r in enriched.collect()] == [(0, "a", None, None, "In-Office")]
     assert [r.JobId for r in jobs_flow.backlog(jobs, enriched).collect()] == [1]
 
 
+def test_list_and_wide_tables_say_the_same(spark):
+    jobs = spark.createDataFrame([(i, "x") for i in range(4)], "JobId BIGINT, JobDescription STRING")
+    got = spark.createDataFrame(
+        [(0, '{"Tools":["a","b"],"Offer":["o"]}'), (1, "{}"), (2, "x"), (9, '{"Tools":["gone"]}')],
+        "JobId BIGINT, response STRING",
+    )
+    lists = jobs_flow.enriched_after(readers.empty_table(spark, ENRICHED_LISTS), got, jobs)
+    wide = jobs_flow.enriched_after(readers.empty_table(spark, ENRICHED), got, jobs, wide=True)
+    assert lists.count() == 2
+    assert sorted(enrichment.explode_wide(lists).collect()) == sorted(wide.collect())
+
+
 def test_retries(spark):
     jobs = spark.createDataFrame(
         [(0, "fine"), (1, "busy"), (2, "always busy"), (3, "broken")], "JobId BIGINT, JobDescription STRING"

@@ -49,7 +49,8 @@ def test_attribute_forms(spark):
     for setting, value in [('href="/a?x=1&amp;y=2"', "/a?x=1&y=2"), ("href='q'", "q"), ("href=u", "u"),
                            ('data-href="n"', None), ('href=""', ""), ('title="x href=no" HREF="y"', "y"),
                            ("disabled href = 'z'", "z")]:
-        got = read(spark, f"<a id=0 {setting}>t</a>", lambda h: html.attribute(html.find(h, Selector("a")), "href"))
+        page = f"<a id=0 {setting}>t</a>"
+        got = read(spark, page, lambda h: html.attribute(html.find(h, Selector("a")), "href"))
         assert got == value, setting
 
 
