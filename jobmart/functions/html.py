@@ -100,53 +100,78 @@ def find_opening(html: Column, sel: Selector) -> Column:
 
 
 def find_block(html: Column, sel: Selector) -> Column:
-    """The first matching element, where the same tag may occur inside it."""
+    """The first matching element, where the same tag may occur inside it.
+
+    What follows its opening tag is cut at every tag of that name, and a fold counts the pieces until
+    the depth is back to nothing. One that is never closed reaches to the end.
+    """
     rest = F.regexp_extract(html, rf"(?s){sel.opening}.*", 0)
-    return _once(rest, lambda r: F.coalesce(F.get(blocks(r, sel.tag), F.lit(0)), r))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("inside"), F.lit(False).alias("closed"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        depth = acc["depth"] + F.when(piece.startswith("</"), -1).otherwise(1)
+        closed = depth == 0
+        inside = acc["inside"] + F.when(closed, 0).otherwise(1)
+        return F.when(acc["closed"], acc).otherwise(
+            F.struct(depth.alias("depth"), inside.alias("inside"), closed.alias("closed"))
+        )
+
+    def join(pieces: Column) -> Column:
+        inside = F.aggregate(pieces, start, step, lambda acc: acc["inside"])
+        return F.concat(F.array_join(F.slice(pieces, F.lit(1), inside), ""), F.lit(f"</{sel.tag}>"))
+
+    return _once(rest, lambda r: F.when(r == "", r).otherwise(_once(_at_tags(r, sel.tag), join)))
+
+
+def _at_tags(html: Column, tag: str) -> Column:
+    """The page cut at every opening and closing tag of a name, without what stands before the first."""
+    return _once(
+        _cut(html, rf"(?i)</?{tag}(?=[\s>/])", "$0"), lambda p: F.slice(p, F.lit(2), F.size(p))
+    )
 
 
 def blocks(html: Column, tag: str) -> Column:
-    """Elements of one tag that do not lie in another of the same tag, in document order.
+    """Elements of one tag that do not lie in another of the same tag, in document order."""
+    end = F.lit(f"</{tag}>")
 
-    The page is cut at every opening and closing tag, and a fold over the pieces keeps the depth and
-    notes where an outermost element starts and how many pieces it takes. One that is never closed
-    reaches to the end.
-    """
-    span = "array<struct<start:int,pieces:int>>"
+    def flat(pieces: Column) -> Column:
+        openings = F.filter(pieces, lambda p: ~p.startswith("</"))
+        return F.transform(openings, lambda p: F.concat(p, end))
 
-    def note(acc: Column, found: Column, start: Column, n: Column) -> Column:
-        one = F.struct(start.alias("start"), (n - start).alias("pieces"))
-        return F.when(found, F.array_append(acc["spans"], one)).otherwise(acc["spans"])
+    def nested(pieces: Column) -> Column:
+        return F.transform(
+            _outermost(pieces),
+            lambda s: F.concat(F.array_join(F.slice(pieces, s["start"], s["pieces"]), ""), end),
+        )
+
+    def join(pieces: Column) -> Column:
+        in_turn = F.transform(pieces, lambda p, i: p.startswith("</") == (i % 2 == 1))
+        is_flat = (F.size(pieces) % 2 == 0) & F.forall(in_turn, lambda x: x)
+        return F.when(is_flat, flat(pieces)).otherwise(nested(pieces))
+
+    return _once(_at_tags(html, tag), join)
+
+
+def _outermost(pieces: Column) -> Column:
+    """Start and number of pieces of every outermost element, by a fold that keeps the depth."""
+    def note(acc: Column, found: Column) -> Column:
+        span = F.struct(acc["start"].alias("start"), (acc["n"] - acc["start"]).alias("pieces"))
+        return F.when(found, F.array_append(acc["spans"], span)).otherwise(acc["spans"])
 
     def step(acc: Column, piece: Column) -> Column:
         closing = piece.startswith("</")
         depth = F.when(closing, F.greatest(acc["depth"] - 1, F.lit(0))).otherwise(acc["depth"] + 1)
         start = F.when(~closing & (acc["depth"] == 0), acc["n"]).otherwise(acc["start"])
-        done = closing & (acc["depth"] == 1)
         return F.struct(
             depth.alias("depth"), (acc["n"] + 1).alias("n"), start.alias("start"),
-            note(acc, done, acc["start"], acc["n"]).alias("spans"),
+            note(acc, closing & (acc["depth"] == 1)).alias("spans"),
         )
 
-    # Piece 1 is what stands before the first tag.
     begin = F.struct(
-        F.lit(0).alias("depth"), F.lit(2).alias("n"), F.lit(0).alias("start"),
-        F.array().cast(span).alias("spans"),
+        F.lit(0).alias("depth"), F.lit(1).alias("n"), F.lit(0).alias("start"),
+        F.array().cast("array<struct<start:int,pieces:int>>").alias("spans"),
     )
-
-    def join(pieces: Column) -> Column:
-        spans = F.aggregate(
-            F.slice(pieces, F.lit(2), F.size(pieces)), begin, step,
-            lambda acc: note(acc, acc["depth"] > 0, acc["start"], acc["n"]),
-        )
-        return F.transform(
-            spans,
-            lambda s: F.concat(
-                F.array_join(F.slice(pieces, s["start"], s["pieces"]), ""), F.lit(f"</{tag}>")
-            ),
-        )
-
-    return _once(_cut(html, rf"(?i)</?{tag}(?=[\s>/])", "$0"), join)
+    return F.aggregate(pieces, begin, step, lambda acc: note(acc, acc["depth"] > 0))
 
 
 def find_all(html: Column, sel: Selector) -> Column:
