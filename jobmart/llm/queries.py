@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from jobmart.llm.common import documents
 from jobmart.llm.exact_dedup import exact_groups
+from jobmart.llm.langid import language_of, profiles
 from jobmart.llm.packing import pack_documents
+from jobmart.llm.suffix_tree import score_texts
 from jobmart.llm.token_store import read_store, write_store
 from jobmart.llm.tokens import LEADING_SPACE, WORDS_ONLY, Encoding
 from jobmart.session import work_dir
@@ -23,6 +26,30 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir), hash_all=True).drop("row")
 
 
+def in_fold(folds: int) -> Column:
+    """Whether the remainder of crc32(doc_id as text) by ``folds`` is 2: rows held out from learning.
+
+    A row without an id is not held out, and nothing is learned from it.
+    """
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 2, F.lit(False))
+
+
+def to_learn(folds: int) -> Column:
+    return F.col("doc_id").isNotNull() & ~in_fold(folds)
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    predicted = language_of(spark, profiles(docs.where(to_learn(4))))(F.col("text"))
+    return docs.select("doc_id", in_fold(4).alias("held_out"), predicted.alias("found")) \
+        .select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+def suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("learn", to_learn(7))
+    return score_texts(docs, "doc_id", "text", "learn").withColumn("held_out", in_fold(7))
+
+
 def token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "token-store")
     write_store(documents(spark, sf_dir), path, STORE_ENCODING)
@@ -34,9 +61,11 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": language_id,
     "op2_exact_dedup": exact_dedup,
     "op3_token_store": token_store,
     "op5_packing": packing,
+    "op7_suffix_tree": suffix_tree,
 }
 
 ORACLES = {
