@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,30 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+#: Bits of a bitmap of rows (1 MB). With more rows than bits it names nearly all, and saves less.
+BITMAP_BITS = 1 << 23
+
+
+def row_bitmap(rows: DataFrame, key: str) -> Broadcast:
+    """The slots of the keys (longs) of ``rows`` as packed bits: always 1 MB, however many rows.
+
+    It lets a scan of texts skip most rows that are not wanted; what it lets through is joined exactly.
+    """
+    slot = F.pmod(F.col(key), F.lit(BITMAP_BITS)) + 1  # Spark numbers the bits of buckets from 1
+    parts = rows.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit")) \
+        .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    bitmap = np.zeros(BITMAP_BITS // 8, np.uint8)
+    for bucket, bits in parts.collect():  # at most BITMAP_BITS / 32768 rows
+        bitmap[(bucket - 1) * len(bits):bucket * len(bits)] = np.frombuffer(bytes(bits), np.uint8)
+    return rows.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def marked_rows(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys have their slot set."""
+    slot = keys % BITMAP_BITS
+    return (bitmap[slot >> 3] >> (slot & 7) & 1).astype(bool)
+
+
 def split_heavy(groups: DataFrame, size: str, total: int) -> tuple[DataFrame, DataFrame]:
     """Groups with at least a thousandth of ``total`` rows, and the others.
 

@@ -15,10 +15,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobmart.llm.common import attach, prepare, row_hash, same, written
+from jobmart.llm.common import attach, marked_rows, prepare, row_bitmap, row_hash, same, written
 
 #: Deleted before texts are compared.
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -26,9 +27,6 @@ WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: Bytes of the normalised text that the prefix hash covers.
 PREFIX_BYTES = 64
 
-#: Bits of the survivors' bitmap (1 MB); with more survivors than bits the second pass reads all texts.
-BITMAP_BITS = 1 << 23
-
 
 def _bytes(column: pa.Array) -> list[bytes]:
     return [(v or b"").translate(None, WHITE) for v in column.cast(pa.binary()).to_pylist()]
@@ -39,7 +37,7 @@ def _shape(content: bytes) -> tuple[int, int]:
 
 
 def _slot(length: int, prefix: int) -> int:
-    return (prefix ^ (length * 0x9E3779B1)) % BITMAP_BITS
+    return prefix ^ (length * 0x9E3779B1)
 
 
 def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,22 +47,13 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["length", "prefix", "slot"])
 
 
-def survivors(docs: DataFrame, text: str = "text") -> np.ndarray:
+def survivors(docs: DataFrame, text: str = "text") -> Broadcast:
     """Bitmap of the (length, prefix hash) pairs that several rows share; 1 MB at any input size."""
     shapes = docs.select(text).mapInArrow(_shapes, "length long, prefix long, slot long")
     sizes = shapes.groupBy("length", "prefix", "slot").count()
     by_length = sizes.groupBy("length").agg(F.sum("count").alias("rows"))
     left = sizes.where("count > 1").join(by_length.where("rows > 1"), "length", "left_semi")
-    slot = F.col("slot") + 1  # Spark's buckets start at 1
-    marks = (
-        left.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit"))
-        .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    )
-    bitmap = np.zeros(BITMAP_BITS, np.uint8)
-    for bucket, bits in marks.collect():  # at most BITMAP_BITS / 32768 + 1 rows
-        found = np.unpackbits(np.frombuffer(bytes(bits), np.uint8), bitorder="little")
-        bitmap[(bucket - 1) * len(found):bucket * len(found)] = found
-    return np.packbits(bitmap)
+    return row_bitmap(left, "slot")
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hash_all: bool = False) -> DataFrame:
@@ -73,16 +62,13 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hash_al
     ``text_sha256`` is NULL for texts settled by length and prefix, unless ``hash_all``.
     """
     prepare(docs.sparkSession)
-    bitmap = docs.sparkSession.sparkContext.broadcast(survivors(docs, text))
+    bitmap = survivors(docs, text)
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = bitmap.value
         for batch in batches:
-            shared, sha = [], []
-            for content in _bytes(batch.column(3)):
-                slot = _slot(*_shape(content))
-                shared.append(bool(marked[slot >> 3] >> (7 - (slot & 7)) & 1))
-                sha.append(hashlib.sha256(content).hexdigest() if shared[-1] or hash_all else None)
+            contents = _bytes(batch.column(3))
+            shared = marked_rows(bitmap.value, np.array([_slot(*_shape(c)) for c in contents], np.int64))
+            sha = [hashlib.sha256(c).hexdigest() if s or hash_all else None for c, s in zip(contents, shared)]
             yield pa.record_batch(
                 [*batch.columns[:3], pa.array(shared, pa.bool_()), pa.array(sha, pa.string())],
                 ["doc_id", "row", "n_chars", "shared", "text_sha256"],

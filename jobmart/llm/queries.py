@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from jobmart.llm.common import documents
 from jobmart.llm.exact_dedup import exact_groups
 from jobmart.llm.langid import language_of, profiles
+from jobmart.llm.near_dedup import near_groups
 from jobmart.llm.packing import pack_documents
 from jobmart.llm.suffix_tree import score_texts
 from jobmart.llm.token_store import read_store, write_store
@@ -50,6 +51,10 @@ def suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs, "doc_id", "text", "learn").withColumn("held_out", in_fold(7))
 
 
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(documents(spark, sf_dir), size=4).drop("row")
+
+
 def token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "token-store")
     write_store(documents(spark, sf_dir), path, STORE_ENCODING)
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id,
     "op2_exact_dedup": exact_dedup,
     "op3_token_store": token_store,
+    "op4_near_dedup": near_dedup,
     "op5_packing": packing,
     "op7_suffix_tree": suffix_tree,
 }

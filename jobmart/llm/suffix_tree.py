@@ -14,12 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobmart.llm.common import prepare, written
+from jobmart.llm.words import hashes, words
 
 #: Longest context in bytes; a context and its next symbol fit a 64-bit code.
 DEPTH = 6
@@ -205,19 +204,6 @@ def build(counts: DataFrame) -> Automaton:
     return Automaton(step, np.log10(prob).astype(np.float32), symbol)
 
 
-def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All lower-cased words of the texts one after another, and the row of each."""
-    lowered = pc.ascii_trim_whitespace(pc.ascii_lower(texts.fill_null("").cast(pa.large_string())))
-    split = pc.ascii_split_whitespace(lowered)
-    flat, rows = split.flatten(), pc.list_parent_indices(split).to_numpy()
-    real = pc.not_equal(flat, "")  # a text without words
-    return flat.filter(real), rows[real.to_numpy(zero_copy_only=False)]
-
-
-def _hashed(distinct: pa.Array) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w) for w in distinct.cast(pa.large_binary()).to_pylist()], np.uint64).astype(np.int64)
-
-
 def score_texts(docs: DataFrame, doc_id: str, text: str, training: str) -> DataFrame:
     """Per row: doc_id, n_tokens, n_known, train_tokens, base_score, score. A NULL text is empty.
 
@@ -243,7 +229,7 @@ def score_texts(docs: DataFrame, doc_id: str, text: str, training: str) -> DataF
         learned = table["training"].to_numpy()[at]
         n = np.bincount(coded.indices.to_numpy()[learned], minlength=len(coded.dictionary))
         block = pa.array(np.full(len(n), table["block"][0].as_py(), np.int32))
-        return pa.table([pa.array(_hashed(coded.dictionary)), block, pa.array(n.astype(np.int64))], names=["word", "block", "n"])
+        return pa.table([pa.array(hashes(coded.dictionary)), block, pa.array(n.astype(np.int64))], names=["word", "block", "n"])
 
     asked = placed.groupBy("block").applyInArrow(ask, "word long, block int, n long")
     one_word = Window.partitionBy("word")  # a word has one row per block at most
@@ -259,7 +245,7 @@ def score_texts(docs: DataFrame, doc_id: str, text: str, training: str) -> DataF
         word, count = known["word"].to_numpy()[order], known["n"].to_numpy()[order]
         flat, at = words(texts["text"].combine_chunks())
         coded = flat.dictionary_encode()
-        c = count[np.searchsorted(word, _hashed(coded.dictionary))] if len(flat) else np.empty(0, np.int64)
+        c = count[np.searchsorted(word, hashes(coded.dictionary))] if len(flat) else np.empty(0, np.int64)
         c = c[coded.indices.to_numpy()] if len(flat) else c
         logs = np.bincount(at, weights=np.log10(c + 1.0), minlength=n_rows)
         contents = texts["text"].cast(pa.binary()).to_pylist()
