@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from jobmart.llm.common import documents
 from jobmart.llm.exact_dedup import exact_groups
+from jobmart.llm.html_crf import fit, main_text
 from jobmart.llm.langid import language_of, profiles
 from jobmart.llm.near_dedup import near_groups
 from jobmart.llm.packing import pack_documents
@@ -55,6 +56,13 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir), size=4).drop("row")
 
 
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    extract = main_text(spark, fit(pages))
+    return pages.select("page_id", "url", extract(F.col("html")).alias("text")) \
+        .withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "token-store")
     write_store(documents(spark, sf_dir), path, STORE_ENCODING)
@@ -72,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_dedup": near_dedup,
     "op5_packing": packing,
     "op7_suffix_tree": suffix_tree,
+    "op10_html_text": html_text,
 }
 
 ORACLES = {
