@@ -79,6 +79,13 @@ def marked_rows(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[slot >> 3] >> (slot & 7) & 1).astype(bool)
 
 
+def without_rows(docs: DataFrame, dropped: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not among ``dropped`` (doc_id, row), with their columns as they are."""
+    gone = dropped.select(F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row")).distinct()
+    on = same(docs[doc_id].cast("long"), gone["_gone_id"]) & (row_hash(doc_id, text) == gone["_gone_row"])
+    return docs.join(gone, on, "left_anti")
+
+
 def split_heavy(groups: DataFrame, size: str, total: int) -> tuple[DataFrame, DataFrame]:
     """Groups with at least a thousandth of ``total`` rows, and the others.
 

@@ -19,7 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobmart.llm.common import attach, marked_rows, prepare, row_bitmap, row_hash, same, written
+from jobmart.llm.common import attach, marked_rows, prepare, row_bitmap, row_hash, same, without_rows, written
 
 #: Deleted before texts are compared.
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -116,12 +116,6 @@ def exact_groups(
 def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, one for each group, with their columns as they are."""
     groups = exact_groups(docs, doc_id, text)
-    dropped = groups.where("not kept").select("doc_id", "row").distinct()
-    marked = docs.withColumn("_row", row_hash(doc_id, text))
-    kept = marked.join(
-        dropped, same(marked[doc_id].cast("long"), dropped["doc_id"]) & (marked["_row"] == dropped["row"]), "left_anti"
-    )
+    kept = without_rows(docs, groups.where("not kept"), doc_id, text)
     repeated = groups.where("kept").groupBy("doc_id", "row").count().where("count > 1")
-    if not repeated.isEmpty():  # rows repeated in full: any one of them
-        kept = kept.dropDuplicates([doc_id, "_row"])
-    return kept.drop("_row")
+    return kept if repeated.isEmpty() else kept.dropDuplicates([doc_id, text])  # rows repeated in full

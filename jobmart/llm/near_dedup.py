@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobmart.llm.common import marked_rows, prepare, row_bitmap, row_hash, same, written
+from jobmart.llm.common import marked_rows, prepare, row_bitmap, row_hash, same, without_rows, written
 from jobmart.llm.components import components
 from jobmart.llm.words import hashes, words
 
@@ -218,3 +218,11 @@ def near_groups(
     own = rows.join(found, "set_id", "left").withColumn("first", F.coalesce("first", place))
     kept = same(F.col("first.doc_id"), F.col("doc_id")) & (F.col("first.row") == F.col("row"))
     return own.select("doc_id", "row", "n_shingles", F.col("first.doc_id").alias("component_id"), kept.alias("kept"))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each group of linked texts, with their columns as they are."""
+    groups = near_groups(docs, doc_id, text, size, percent)
+    return without_rows(docs, groups.where("not kept"), doc_id, text)

@@ -4,25 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.llm.common import documents
+from jobmart.llm.decontaminate import leaks
 from jobmart.llm.exact_dedup import exact_groups
 from jobmart.llm.html_crf import fit, main_text
 from jobmart.llm.langid import language_of, profiles
+from jobmart.llm.license_scan import licenses
 from jobmart.llm.near_dedup import near_groups
 from jobmart.llm.packing import pack_documents
 from jobmart.llm.suffix_tree import score_texts
 from jobmart.llm.token_store import read_store, write_store
-from jobmart.llm.tokens import LEADING_SPACE, WORDS_ONLY, Encoding
+from jobmart.llm.toxicity import fit as fit_toxicity
+from jobmart.llm.toxicity import toxicity_of
+from jobmart.llm.vocabularies import PACKING_ENCODING, SEQUENCE_TOKENS, STORE_ENCODING
 from jobmart.session import work_dir
 
-STORE_ENCODING = Encoding(public_tokenizers.path("word_bpe_49k.json"), WORDS_ONLY, end_id=1)
-PACKING_ENCODING = Encoding(public_tokenizers.path("byte_bpe_50k.json"), LEADING_SPACE, end_id=0)
-SEQUENCE_TOKENS = 2048
-
 
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir), hash_all=True).drop("row")
@@ -56,6 +55,23 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir), size=4).drop("row")
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    index = fit_toxicity(docs.where(to_learn(4)).select("doc_id", "text").join(labels, "doc_id"))
+    found = docs.select("doc_id", in_fold(4).alias("held_out"), toxicity_of(spark, index)(F.col("text")).alias("found"))
+    return found.select("doc_id", "held_out", "found.score", "found.evidence") \
+        .withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(documents(spark, sf_dir))
+
+
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("row")
+
+
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     extract = main_text(spark, fit(pages))
@@ -79,7 +95,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_store": token_store,
     "op4_near_dedup": near_dedup,
     "op5_packing": packing,
+    "op6_decontamination": decontamination,
     "op7_suffix_tree": suffix_tree,
+    "op8_toxicity": toxicity,
+    "op9_license_scan": license_scan,
     "op10_html_text": html_text,
 }
 
