@@ -12,6 +12,7 @@ them in which blocks are wrapped or joined by kinds of page furniture that a sam
 
 from __future__ import annotations
 
+import functools
 import html
 import random
 import re
@@ -138,6 +139,11 @@ FURNITURE = (
     "search", "form", "comment", "comments", "reply", "discussion", "related", "recommended", "share", "social", "widget", "tags",
     "pagination", "copyright", "toolbar", "masthead", "disclaimer", "gdpr", "respond",
 )
+#: Elements that hold running text of articles, outermost first.
+IN_ARTICLES = (
+    ("ul", "li"), ("ol", "li"), ("blockquote",), ("blockquote", "p"), ("table", "tr", "td"), ("figure", "figcaption"),
+    ("section", "p"), ("section", "h2"), ("div", "p"), ("div",), ("pre",), ("dl", "dd"), ("h2",), ("h3",),
+)
 CONTENT = ("article", "content", "post", "entry", "story", "body", "main", "text")
 
 
@@ -149,16 +155,25 @@ def _shape(text: str) -> Iterator[str]:
         yield "marks"
 
 
+def _kind(tag: str, names: tuple[str, ...]) -> str | None:
+    """What an element says about the blocks in it, if anything."""
+    if tag in OTHER_ELEMENTS or any(w in FURNITURE for w in names):
+        return "furniture"
+    return "content" if tag in ("article", "main") or any(w in CONTENT for w in names) else None
+
+
+@functools.lru_cache(maxsize=4096)
+def _path_features(path: tuple[tuple[str, tuple[str, ...]], ...]) -> tuple[str, ...]:
+    out = {f"in={tag}" for tag, _ in path}
+    out |= {f"named={w}" for _, names in path for w in names if not w.isdigit()}
+    kinds = [k for k in (_kind(*element) for element in path) if k]
+    out |= {f"under={k}" for k in kinds}
+    return (*sorted(out), f"leaf={path[-1][0] if path else None}", f"nearest={kinds[-1] if kinds else None}")
+
+
 def features(block: Block) -> list[str]:
     """Binary features: ancestor tags and what they are called, position in the tree, shape of the text."""
-    out = ["bias"]
-    out += {f"in={tag}" for tag, _ in block.path}
-    out += {f"named={w}" for _, names in block.path for w in names if not w.isdigit()}
-    if block.path:
-        out.append(f"leaf={block.path[-1][0]}")
-    out.append(f"links={round(3 * block.link_share)}")
-    out += _shape(block.text)
-    return out
+    return ["bias", *_path_features(block.path), f"links={round(3 * block.link_share)}", *_shape(block.text)]
 
 
 def is_article(block: Block) -> bool:
@@ -177,18 +192,24 @@ def variants(page: list[Block], rng: random.Random) -> Iterator[tuple[list[Block
     other = [b for b, label in zip(page, labels) if not label] or page
     mixed, marks = [], []
     for block, label in zip(page, labels):
+        if label and rng.random() < 0.2:  # articles hold lists, quotations, tables and sections
+            inside = tuple((tag, ()) for tag in rng.choice(IN_ARTICLES))
+            block = Block(block.text, (*block.path[:-1], *inside), rng.choice((0.0, 0.0, block.link_share)))
         mixed.append(block)
         marks.append(label)
-        if rng.random() < 0.15:
+        if rng.random() < 0.3:
             word = rng.choice(FURNITURE)
-            element = rng.choice(("div", "section", "aside", "form", "ul", "nav"))
+            element = rng.choice(("div", "section", "aside", "form", "ul", "nav", "header", "footer"))
             # Furniture stands inside or beside the article, and holds running text too.
             base = block.path[:rng.randint(1, max(1, len(block.path)))]
+            if element in ("header", "footer"):
+                base = base[:next((k for k, (tag, _) in enumerate(base) if tag in ("article", "main")), len(base))]
             text = rng.choice(other).text if rng.random() < 0.4 else rng.choice(page).text
             for _ in range(rng.randint(1, 3)):
                 mixed.append(Block(text, (*base, (element, (word,)), (rng.choice(("p", "div", "li", "h3")), ())), rng.random() ** 3))
                 marks.append(0)
     yield mixed, marks
+    # The same without landmarks: what they are shows in their class only.
     names = {"article": ("div", (rng.choice(CONTENT),)), "main": ("div", (rng.choice(CONTENT),))}
     names |= {tag: ("div", (rng.choice(FURNITURE),)) for tag in OTHER_ELEMENTS}
     renamed = [Block(b.text, tuple((names.get(tag, (tag, w))[0], w or names.get(tag, (tag, w))[1]) for tag, w in b.path), b.link_share) for b in mixed]
