@@ -104,8 +104,6 @@ def blocks(page: str | None) -> list[Block]:
         at = tag.end()
         name = (tag[3] or "").lower()
         if not name:
-            if tag[1] and not in_link:
-                close()
             continue
         if name == "a":
             in_link = 0 if tag[2] else 1
