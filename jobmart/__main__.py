@@ -15,7 +15,7 @@ from jobmart.operators.population import SEX_COLUMNS
 from jobmart.plans.lake import Lake, run_jobs_hour, run_population_month
 from jobmart.schemas import JOB_LANDING
 from jobmart.session import build_session
-from jobmart.sources import readers
+from jobmart.sources import readers, tables
 
 
 def arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -25,6 +25,8 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     jobs = flows.add_parser("jobs-hour", help="landed postings into all job tables")
     jobs.add_argument("--landing", required=True, help="folder of landed postings, JSON lines")
     jobs.add_argument("--pages", help="folder of company pages (url, html), Parquet")
+    jobs.add_argument("--call-tasks", type=int, help="tasks that call the model; default is shuffle partitions")
+    jobs.add_argument("--calls-in-flight", type=int, default=4, help="calls under way per task")
     jobs.add_argument("--ask", help="module:function that answers a description with JSON")
     jobs.add_argument(
         "--as-of", type=datetime.fromisoformat, help="run time, UTC without zone; default is now"
@@ -41,7 +43,11 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = arguments(argv)
-    spark = spark or build_session("jobmart")
+    if spark is None:
+        spark = build_session("jobmart")
+        if spark.conf.get("spark.sql.catalogImplementation") == "in-memory":
+            # The lake's tables would be gone with this process, and the next run would begin empty.
+            raise SystemExit("a table catalog that outlives the run is needed: spark.sql.catalogImplementation")
     lake = Lake(spark, args.root, args.prefix)
     if args.flow == "population-month":
         feed = readers.read_population_csv(spark, args.feed, [args.period])
@@ -53,9 +59,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if args.ask:
         module, function = args.ask.split(":")
         ask = getattr(importlib.import_module(module), function)
-    landed = readers.read_landing(spark, args.landing, JOB_LANDING)
+    noted = tables.land(readers.read_noted(spark, args.landing, JOB_LANDING), lake.new_path("runs.landed"))
+    landed, rejects = readers.readable(noted), readers.rejected(noted)
     pages = spark.read.parquet(args.pages) if args.pages else None
-    run_jobs_hour(lake, landed, as_of, pages, ask)
+    calls = {"partitions": args.call_tasks, "in_flight": args.calls_in_flight}
+    run_jobs_hour(lake, landed, as_of, pages, ask, calls, rejects)
 
 
 if __name__ == "__main__":

@@ -23,6 +23,11 @@ def sentinel_to_null(c: Column, sentinel: str = MISSING) -> Column:
     return F.nullif(c, F.lit(sentinel))
 
 
+def plain_url(url: Column) -> Column:
+    """An address without query string, fragment and closing slashes: one company, one url."""
+    return F.rtrim(F.regexp_substr(url, F.lit("^[^?#]*")), F.lit("/"))
+
+
 def city_of(location: Column) -> Column:
     """The part before the first comma."""
     return F.substring_index(location, ",", 1)

@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobmart.functions.cleaning import WORK_TYPES, is_known_work_type, work_type_or_default
+from jobmart.functions.cleaning import WORK_TYPES, is_known_work_type, strip_space, work_type_or_default
 
 LISTS = ["Tools", "Requirements", "Offer"]
 _ANSWER = "Tools STRING, Requirements STRING, Offer STRING, WorkType STRING, _bad STRING"
@@ -23,11 +25,13 @@ def parse_answers(df: DataFrame, response: str = "response") -> DataFrame:
     due becomes a list of one.
     """
     answer = F.from_json(
-        F.col(response), _ANSWER, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+        F.col("_text"), _ANSWER, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     )
-    parsed = df.withColumn("_answer", answer)
-    is_object = F.ltrim(F.col(response)).startswith("{")
-    ok = F.coalesce(is_object & F.col("_answer._bad").isNull(), F.lit(False))
+    parsed = df.withColumn("_text", strip_space(F.col(response))).withColumn("_answer", answer)
+    # Nothing but an object may be there: Spark's reader stops at its end and ignores what follows.
+    is_object = F.col("_text").startswith("{") & F.col("_text").endswith("}")
+    alone = F.size(F.from_json(F.concat(F.lit("["), F.col("_text"), F.lit("]")), "ARRAY<STRING>")) == 1
+    ok = F.coalesce(is_object & alone & F.col("_answer._bad").isNull(), F.lit(False))
 
     def as_list(name: str) -> Column:
         raw = F.col(f"_answer.{name}")
@@ -80,6 +84,30 @@ def work_type_violations(parsed: DataFrame) -> DataFrame:
     return parsed.filter(~is_known_work_type(F.col("WorkType")))
 
 
+#: A job is asked again after 1, 2, 4, … hours; from this many failed runs on only after a week.
+PATIENCE = 6
+
+
+def not_given_up(backlog: DataFrame, failures: DataFrame, as_of: datetime) -> DataFrame:
+    """The backlog without jobs whose last failure is too recent."""
+    hours = F.when(F.col("attempts") >= PATIENCE, 24 * 7).otherwise(F.pow(F.lit(2), F.col("attempts") - 1)).cast("int")
+    again = F.col("last_try") + F.make_interval(hours=hours)
+    now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+    return backlog.join(failures.filter(again > now).select("JobId"), "JobId", "left_anti")
+
+
+def failures_after(failures: DataFrame, answers: DataFrame, as_of: datetime) -> DataFrame:
+    """Failures after a run's calls ``(JobId, response, status, error)``: counted up, or settled."""
+    parsed = parse_answers(answers.select("JobId", "response", F.col("status").alias("call"), "error"))
+    failed = parsed.filter(F.col("status") != "ok").select("JobId", F.coalesce("error", F.col("status")).alias("error"))
+    now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+    before = failures.select("JobId", "attempts")
+    news = failed.join(before, "JobId", "left").select(
+        "JobId", (F.coalesce("attempts", F.lit(0)) + 1).cast("int").alias("attempts"), "error", now.alias("last_try")
+    )
+    return failures.join(answers.select("JobId"), "JobId", "left_anti").unionByName(news)
+
+
 def call_model(
     backlog: DataFrame,
     ask: Callable[[str], str],
@@ -89,12 +117,14 @@ def call_model(
     default_wait: int = 10,
     sleep: Callable[[float], None] = time.sleep,
     partitions: int | None = None,
+    in_flight: int = 4,
 ) -> DataFrame:
     """Send every description to ``ask`` on the executors: ``(key, response, status, attempts, error)``.
 
     A rate limit (429) is waited out, for the stated time if the message names one; any other error
     ends the row, which comes back with status ``failed`` and is still backlog on the next run.
-    ``partitions`` bounds how many calls run at once. Land the result before using it twice.
+    Texts are spread over ``partitions`` tasks (by default the session's shuffle partitions), whatever
+    their bytes, and a task has ``in_flight`` calls under way. Land the result before using it twice.
     """
     def one(description: str) -> tuple[str | None, str, int, str | None]:
         error = None
@@ -110,16 +140,17 @@ def call_model(
         return None, "failed", max_tries, error
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            answers = pd.DataFrame(
-                [one(t) for t in batch[text]], columns=["response", "status", "attempts", "error"]
-            )
-            answers.insert(0, key, batch[key].to_numpy())
-            yield answers
-
-    todo = backlog.select(key, text)
-    if partitions:
-        todo = todo.repartition(partitions, key)
+        with ThreadPoolExecutor(in_flight) as pool:
+            for batch in batches:
+                answers = pd.DataFrame(
+                    list(pool.map(one, batch[text])), columns=["response", "status", "attempts", "error"]
+                )
+                answers.insert(0, key, batch[key].to_numpy())
+                yield answers
+
+    tasks = partitions or int(backlog.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A stated number is kept by adaptive execution, which would otherwise join tasks by their bytes.
+    todo = backlog.select(key, text).repartition(tasks, key)
     key_type = backlog.schema[key].dataType.simpleString()
     return todo.mapInPandas(
         run, f"{key} {key_type}, response STRING, status STRING, attempts INT, error STRING"
@@ -157,20 +188,13 @@ def match_lexicon(
 
 
 def match_lexicon_table(
-    df: DataFrame, lexicon: DataFrame, key: str = "JobId", text: str = "JobDescription",
-    salts: int = 16,
+    df: DataFrame, lexicon: DataFrame, key: str = "JobId", text: str = "JobDescription"
 ) -> DataFrame:
     """``(key, kind, value)`` for a lexicon ``(kind, token)`` of any size.
 
-    Common words would send most descriptions to one task, so each word is spread over ``salts``
-    copies of its lexicon row.
+    A common word occurs in most descriptions. Both sides of the join are exchanged on the word alone,
+    so Spark's adaptive skew join splits such a word's rows by what it measures.
     """
-    spoken = df.select(
-        key, F.explode(F.array_distinct(words(F.col(text)))).alias("token")
-    ).withColumn(
-        "_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")
-    )
-    copies = lexicon.select("kind", "token").distinct().withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    return spoken.join(copies, ["token", "_salt"]).select(key, "kind", F.col("token").alias("value"))
+    spoken = df.select(key, F.explode(F.array_distinct(words(F.col(text)))).alias("token"))
+    listed = lexicon.select("kind", "token").distinct()
+    return spoken.join(listed, "token").select(key, "kind", F.col("token").alias("value"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobmart.operators.skew import with_key, without_key
+from jobmart.operators.lookup import with_key, without_key
 
 
 def align(df: DataFrame, columns: list[str]) -> DataFrame:

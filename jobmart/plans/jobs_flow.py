@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmart.functions import cleaning
-from jobmart.operators import dedup, enrichment, merge, skew, timerange
+from jobmart.operators import dedup, enrichment, lookup, merge, timerange
 from jobmart.schemas import JOB_SILVER
 from jobmart.sources.tables import union_evolving
 
@@ -38,7 +38,7 @@ def clean_jobs(bronze: DataFrame) -> DataFrame:
     changed = {
         "JobId": cleaning.to_id(F.col("JobId")),
         "CompanyName": cleaning.sentinel_to_null(F.col("CompanyName")),
-        "CompanyLinkedinUrl": cleaning.sentinel_to_null(F.col("CompanyLinkedinUrl")),
+        "CompanyLinkedinUrl": cleaning.plain_url(cleaning.sentinel_to_null(F.col("CompanyLinkedinUrl"))),
         "City": cleaning.city_of(F.col("Location")),
         "NbrOfApplicants": cleaning.applicants_of(F.col("NbrOfApplicants")),
         TIME: cleaning.published_or(published, seen, time_type),
@@ -48,10 +48,41 @@ def clean_jobs(bronze: DataFrame) -> DataFrame:
     )
 
 
+def sightings(bronze: DataFrame) -> DataFrame:
+    """Cleaned postings that have an id, with ``SeenAt``."""
+    return clean_jobs(bronze).filter(F.col("JobId").isNotNull())
+
+
 def one_per_job(bronze: DataFrame, keep: str = "first") -> DataFrame:
     """Cleaned postings, one row per job: the first sighting still held in bronze."""
-    valid = clean_jobs(bronze).filter(F.col("JobId").isNotNull())
-    return dedup.keep_one(valid, KEY, SEEN, keep).drop(SEEN)
+    return dedup.keep_one(sightings(bronze), KEY, SEEN, keep).drop(SEEN)
+
+
+def lost_jobs(silver: DataFrame, as_of: datetime) -> DataFrame:
+    """Ids of silver jobs whose sighting (``SeenAt``) has left bronze by retention.
+
+    Silver says so itself, whatever bronze still holds: a run that failed after its bronze retention
+    finds the same ids when it is repeated.
+    """
+    return timerange.expired(silver, SEEN, as_of).select("JobId")
+
+
+def changed_jobs(silver: DataFrame, landed: DataFrame, bronze: DataFrame, as_of: datetime) -> DataFrame:
+    """Rows with ``SeenAt`` that are new or differ from silver after a batch and bronze retention.
+
+    A job's row is its first sighting. Silver keeps when that was, so a later sighting changes
+    nothing, and only jobs that lost theirs are looked up in bronze: ``landed`` and silver's own rows
+    are all that the others need.
+    """
+    lost = lost_jobs(silver, as_of)
+    older = sightings(lookup_jobs(bronze, lost))
+    fresh = sightings(timerange.retain(landed, TIME, as_of))
+    found = dedup.keep_one(fresh.unionByName(older), KEY, SEEN)
+    held = lookup.with_key(silver, found, KEY).join(lost, KEY, "left_anti").select(*found.columns)
+    pool = found.withColumn("_new", F.lit(True)).unionByName(held.withColumn("_new", F.lit(False)))
+    # Equal rows are settled by the last column, for the row that silver holds.
+    first = dedup.keep_one(pool, KEY, SEEN)
+    return first.filter("_new").drop("_new")
 
 
 def fresh_company_urls(bronze: DataFrame, as_of: datetime, day: str | None = None) -> DataFrame:
@@ -59,7 +90,7 @@ def fresh_company_urls(bronze: DataFrame, as_of: datetime, day: str | None = Non
     return (
         timerange.in_hour(bronze, TIME, as_of, day)
         .filter(F.col("CompanyLinkedinUrl").isNotNull() & (F.col("CompanyLinkedinUrl") != ""))
-        .select(F.col("CompanyLinkedinUrl").alias("url"))
+        .select(cleaning.plain_url(F.col("CompanyLinkedinUrl")).alias("url"))
         .distinct()
     )
 
@@ -69,38 +100,23 @@ def bronze_after(bronze: DataFrame, landed: DataFrame, as_of: datetime) -> DataF
     return timerange.retain(union_evolving(bronze, landed), TIME, as_of)
 
 
-def touched_jobs(landed: DataFrame, bronze_before: DataFrame, as_of: datetime) -> DataFrame:
-    """Job ids whose first sighting may have changed: newly landed ones, and those that lose a
-    sighting to retention in this run."""
-    gone = timerange.expired(bronze_before, TIME, as_of)
-    ids = landed.select("JobId").unionByName(gone.select("JobId"))
-    return ids.select(cleaning.to_id(F.col("JobId")).alias("JobId")).distinct()
-
-
-def sightings_of(bronze: DataFrame, jobs: DataFrame) -> DataFrame:
+def lookup_jobs(bronze: DataFrame, jobs: DataFrame) -> DataFrame:
     """Bronze rows of the given job ids, whatever form the id has in bronze."""
     numbered = bronze.withColumn("_job", cleaning.to_id(F.col("JobId")))
     wanted = jobs.select(F.col("JobId").alias("_job"))
-    return skew.with_key(numbered, wanted, ["_job"]).drop("_job")
+    return lookup.with_key(numbered, wanted, ["_job"]).drop("_job")
 
 
-def silver_jobs_after(
-    silver: DataFrame, bronze: DataFrame, as_of: datetime, touched: DataFrame | None = None
-) -> DataFrame:
-    """Upsert the first sightings, then retention by silver time.
-
-    With ``touched`` only those jobs are deduplicated again; the others already stand in silver as
-    they would come out, so the run's shuffle follows the batch and not the whole of bronze.
-    """
-    if touched is not None:
-        bronze = sightings_of(bronze, touched)
+def silver_jobs_after(silver: DataFrame, bronze: DataFrame, as_of: datetime) -> DataFrame:
+    """Upsert the first sightings of all of bronze, then retention by silver time."""
     return timerange.retain(merge.upsert(silver, one_per_job(bronze), KEY), TIME, as_of)
 
 
 def followers_after(followers: DataFrame, batch: DataFrame) -> DataFrame:
-    """Upsert a follower batch by url. Equal rows collapse first; rows without a count are no news."""
-    news = batch.filter(F.col("Nbr_of_followers").isNotNull()).select(*followers.columns).distinct()
-    return merge.upsert(followers, news, ["url"])
+    """Upsert a follower batch by url. Rows without a count are no news; of several pages of one
+    company the last one counts, so a batch has one row per url."""
+    news = batch.filter(F.col("Nbr_of_followers").isNotNull()).select(*followers.columns)
+    return merge.upsert(followers, dedup.keep_one(news, ["url"], "extraction_time", "last"), ["url"])
 
 
 def backlog(silver: DataFrame, enriched: DataFrame) -> DataFrame:

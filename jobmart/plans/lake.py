@@ -15,13 +15,16 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZType
 
+from jobmart.functions import cleaning
 from jobmart.operators import checks, enrichment, merge, timerange
 from jobmart.plans import extraction, jobs_flow
 from jobmart.plans.population_flow import population_silver
-from jobmart.schemas import ENRICHED_LISTS, FOLLOWERS, JOB_BRONZE, JOB_SILVER, POPULATION_SILVER
-from jobmart.sources import readers, tables
+from jobmart.schemas import (
+    ENRICH_FAILURES, ENRICHED_LISTS, FOLLOWERS, JOB_BRONZE, JOB_SILVER, POPULATION_SILVER, REJECTS,
+)
+from jobmart.sources import tables
 
 DAY = "extraction_date"
 JOB_DAY = "job_date"
@@ -29,10 +32,12 @@ UNDATED = date(9999, 12, 31)
 
 SCHEMAS = {
     "bronze.jobs": StructType([*JOB_BRONZE, StructField(DAY, DateType())]),
+    "bronze.rejects": REJECTS,
     "bronze.followers": FOLLOWERS,
-    "silver.jobs": StructType([*JOB_SILVER, StructField(JOB_DAY, DateType())]),
+    "silver.jobs": StructType([*JOB_SILVER, StructField(jobs_flow.SEEN, TimestampNTZType()), StructField(JOB_DAY, DateType())]),
     "silver.followers": FOLLOWERS,
     "silver.enriched": ENRICHED_LISTS,
+    "silver.enrich_failures": ENRICH_FAILURES,
     "silver.population": POPULATION_SILVER,
 }
 
@@ -69,16 +74,20 @@ class Lake:
         return tables.swap_table(ordered, self.name(table), self.new_path(table))
 
 
-def update_jobs(lake: Lake, bronze: DataFrame, touched: DataFrame, as_of: datetime) -> DataFrame:
-    """Upsert the first sightings of the touched jobs into silver, then retention by silver time.
+def update_jobs(lake: Lake, landed: DataFrame, bronze: DataFrame, as_of: datetime) -> DataFrame:
+    """Bring silver up to the batch and to what retention took from bronze, then retention by silver time.
 
-    Only days that lose or gain a job are rewritten; which ones those are, a list of days, is all that
-    comes to the driver.
+    Only days that lose or gain a changed row are rewritten; which ones those are, a list of days, is
+    all that comes to the driver. A publish time after ``as_of`` is none, so those days are bounded by
+    retention.
     """
-    found = jobs_flow.one_per_job(jobs_flow.sightings_of(bronze, touched))
+    silver = lake.table("silver.jobs")
+    found = jobs_flow.changed_jobs(silver.drop(JOB_DAY), landed, bronze, as_of)
+    now = timerange.instant(found, jobs_flow.TIME, as_of)
+    time = F.when(F.col(jobs_flow.TIME) > now, F.col(jobs_flow.SEEN)).otherwise(F.col(jobs_flow.TIME))
+    found = found.withColumn(jobs_flow.TIME, time)
     job_day = F.coalesce(F.to_date(jobs_flow.TIME), F.lit(UNDATED))
     found = tables.land(found.withColumn(JOB_DAY, job_day), lake.new_path("runs.found"))
-    silver = lake.table("silver.jobs")
     kept_found = timerange.retain(found, jobs_flow.TIME, as_of)
     left_by = silver.join(found.select("JobId"), "JobId", "left_semi")
     changed = left_by.select(JOB_DAY).unionByName(kept_found.select(JOB_DAY)).distinct()
@@ -89,13 +98,40 @@ def update_jobs(lake: Lake, bronze: DataFrame, touched: DataFrame, as_of: dateti
         checked = checks.require_not_null(rows, jobs_flow.KEY)
         name, path = lake.name("silver.jobs"), lake.new_path("silver.jobs")
         tables.replace_days(checked, name, path, JOB_DAY, days)
-    tables.expire_days(lake.spark, lake.name("silver.jobs"), as_of, day=JOB_DAY)
+    tables.expire_days(lake.spark, lake.name("silver.jobs"), as_of, day=JOB_DAY, root=lake.root)
     return silver_jobs(lake, as_of)
 
 
 def silver_jobs(lake: Lake, as_of: datetime) -> DataFrame:
     """Silver jobs as of a run: the day on the edge of retention is trimmed on read."""
-    return timerange.retain(lake.table("silver.jobs"), jobs_flow.TIME, as_of).drop(JOB_DAY)
+    held = timerange.retain(lake.table("silver.jobs"), jobs_flow.TIME, as_of)
+    return held.drop(JOB_DAY, jobs_flow.SEEN)
+
+
+def update_enriched(
+    lake: Lake, silver: DataFrame, as_of: datetime, ask: Callable[[str], str] | None, calls: dict | None
+) -> None:
+    """Ask for the backlog, add what was answered, remember what failed, drop rows whose job is gone.
+
+    Nothing is written that does not change: answers are appended, and the tables are replaced only
+    if a row has to leave them.
+    """
+    enriched, failures = lake.table("silver.enriched"), lake.table("silver.enrich_failures")
+    if ask is not None:
+        todo = enrichment.not_given_up(jobs_flow.backlog(silver, enriched), failures, as_of)
+        called = enrichment.call_model(todo, ask, **(calls or {}))
+        answers = tables.land(called, lake.new_path("runs.answers"))
+        rows = enrichment.to_lists(enrichment.parse_answers(answers.select("JobId", "response")))
+        if not rows.isEmpty():
+            # The backlog holds no job that has a row, so these are new.
+            tables.append_to_table(rows, lake.name("silver.enriched"))
+        failed = enrichment.failures_after(failures, answers, as_of)
+        if not answers.isEmpty():
+            lake.replace("silver.enrich_failures", failed)
+    for table in ("silver.enriched", "silver.enrich_failures"):
+        rows = lake.table(table)
+        if not merge.orphan_keys(rows, silver, jobs_flow.KEY).isEmpty():
+            lake.replace(table, merge.prune_orphans(rows, silver, jobs_flow.KEY))
 
 
 def run_jobs_hour(
@@ -104,40 +140,64 @@ def run_jobs_hour(
     as_of: datetime,
     company_pages: DataFrame | None = None,
     ask: Callable[[str], str] | None = None,
+    calls: dict | None = None,
+    rejects: DataFrame | None = None,
 ) -> None:
     """One hourly run: landed postings in, all job tables brought up to ``as_of``.
 
-    A run that failed may be repeated: postings appended twice are one job in silver.
+    A run that failed may be repeated, at whatever step it failed: postings appended twice are one job
+    in silver, and what retention took is read off silver.
 
-    ``company_pages`` are ``(url, html)`` of companies that were looked up; only those of the current
-    hour's postings count. ``ask`` answers a description with JSON; without it nothing is enriched.
+    ``company_pages`` are ``(url, html)`` of companies that were looked up, with ``fetched`` if the
+    pages of several lookups come together; only those of the current hour's postings count. ``ask``
+    answers a description with JSON; without it nothing is enriched. ``calls`` are further arguments of
+    ``enrichment.call_model``. ``rejects`` (line) are landed lines that could not be read; they are kept.
     """
-    before = lake.table("bronze.jobs")
-    touched = tables.land(
-        jobs_flow.touched_jobs(landed, before, as_of), lake.new_path("runs.touched")
-    )
-    tables.append_to_table(tables.with_day(landed, jobs_flow.TIME, DAY), lake.name("bronze.jobs"))
-    tables.expire_days(lake.spark, lake.name("bronze.jobs"), as_of, day=DAY)
+    if rejects is not None and not rejects.isEmpty():
+        seen_at = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+        tables.append_to_table(rejects.select("line", seen_at.alias("seen")), lake.name("bronze.rejects"))
+    tables.append_to_table(tables.with_day(landed, jobs_flow.TIME, DAY), lake.name("bronze.jobs"), DAY)
+    tables.expire_days(lake.spark, lake.name("bronze.jobs"), as_of, day=DAY, root=lake.root)
     bronze = timerange.retain(lake.table("bronze.jobs"), jobs_flow.TIME, as_of)
 
     if company_pages is not None:
         fresh = jobs_flow.fresh_company_urls(bronze, as_of, DAY)
         seen = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
-        batch = extraction.company_followers(company_pages.join(fresh, "url", "left_semi"), seen)
-        lake.replace(
-            "bronze.followers", jobs_flow.followers_after(lake.table("bronze.followers"), batch)
-        )
-    silver = update_jobs(lake, bronze, touched, as_of)
-    lake.replace(
-        "silver.followers",
-        jobs_flow.followers_after(lake.table("silver.followers"), lake.table("bronze.followers")),
-    )
-    enriched = lake.table("silver.enriched")
-    answers = readers.empty_table(lake.spark, StructType.fromDDL("JobId BIGINT, response STRING"))
-    if ask is not None:
-        called = enrichment.call_model(jobs_flow.backlog(silver, enriched), ask)
-        answers = tables.land(called, lake.new_path("runs.answers"))
-    lake.replace("silver.enriched", jobs_flow.enriched_after(enriched, answers, silver))
+        if "fetched" in company_pages.columns:
+            seen = F.coalesce(F.col("fetched").cast("timestamp_ntz"), seen)
+        pages = company_pages.withColumn("url", cleaning.plain_url(F.col("url")))
+        batch = extraction.company_followers(pages.join(fresh, "url", "left_semi"), seen)
+        batch = tables.land(batch, lake.new_path("runs.followers"))
+        if not batch.isEmpty():
+            for table in ("bronze.followers", "silver.followers"):
+                lake.replace(table, jobs_flow.followers_after(lake.table(table), batch))
+    silver = update_jobs(lake, landed, bronze, as_of)
+    update_enriched(lake, silver, as_of, ask, calls)
+
+
+def vacuum(lake: Lake) -> list[str]:
+    """Delete files under the lake's root that no table or partition of it points at; returns the folders.
+
+    Superseded versions and the ``runs`` folder go. Call it when no run and no reader is active.
+    """
+    used = set()
+    for table in SCHEMAS:
+        used.add(tables.table_location(lake.spark, lake.name(table)))
+        if table in PARTITIONS:
+            used.update(tables.partition_locations(lake.spark, lake.name(table)).values())
+    gone = []
+    for table in [*SCHEMAS, "runs.landed", "runs.found", "runs.answers", "runs.followers"]:
+        folder = f"{lake.root}/{table.replace('.', '/')}"
+        for version in tables.list_folders(lake.spark, folder):
+            if not any(u == version or u.startswith(f"{version}/") for u in used):
+                tables.delete_folder(lake.spark, version, lake.root)
+                gone.append(version)
+            elif version not in used:  # some of its days are still pointed at
+                for day in tables.list_folders(lake.spark, version):
+                    if day not in used:
+                        tables.delete_folder(lake.spark, day, lake.root)
+                        gone.append(day)
+    return gone
 
 
 def run_population_month(

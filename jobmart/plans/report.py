@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobmart.operators.skew import attach
-
 # Lower bounds of the popularity groups, by followers.
 POPULARITY_BOUNDS = [10_000, 50_000, 100_000]
 
@@ -100,10 +98,10 @@ def population_by_gender(population: DataFrame) -> DataFrame:
 
 def seniority_by_value(silver: DataFrame, long: DataFrame, kind: str) -> DataFrame:
     """Jobs per seniority level and tool, requirement or offer."""
-    levels = silver.select("JobId", "SeniorityLevel", F.lit(True).alias("known"))
+    levels = silver.select("JobId", "SeniorityLevel")  # one row per job
     return (
-        attach(long.filter(F.col("kind") == kind), levels, ["JobId"])
-        .filter(F.col("known"))
+        long.filter(F.col("kind") == kind)
+        .join(levels, "JobId")
         .groupBy("SeniorityLevel", "value")
         .agg(F.count_distinct("JobId").alias("jobs"))
     )

@@ -55,3 +55,16 @@ POPULATION_SILVER = T.StructType(
     [T.StructField("City", T.StringType(), False)]
     + _fields("MenPopulation", "WomenPopulation", "TotalPopulation", dtype=T.IntegerType())
 )
+
+# Failed calls and answers that could not be used, per job.
+ENRICH_FAILURES = T.StructType(
+    [
+        T.StructField("JobId", T.LongType(), False),
+        T.StructField("attempts", T.IntegerType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("last_try", _NTZ),
+    ]
+)
+
+# Landed lines that could not be read.
+REJECTS = T.StructType(_fields("line") + _fields("seen", dtype=_NTZ))

@@ -14,12 +14,33 @@ REGION, SEX = "region", "kön"
 VALUE_PREFIX = "Folkmängden per månad "
 
 
+# Holds the text of a JSON line that could not be read in full, else NULL.
+BROKEN = "_broken"
+
+
+def read_noted(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Landed JSON lines with a stated schema and ``BROKEN``: no inference pass, unknown fields dropped."""
+    noted = StructType([*schema, StructField(BROKEN, StringType())])
+    options = {"timestampNTZFormat": NTZ_FORMAT, "columnNameOfCorruptRecord": BROKEN}
+    return spark.read.schema(noted).options(**options).json(path)
+
+
+def readable(noted: DataFrame) -> DataFrame:
+    """Rows that were read in full."""
+    return noted.filter(F.col(BROKEN).isNull()).drop(BROKEN)
+
+
+def rejected(noted: DataFrame) -> DataFrame:
+    """``line``: the text of the others. Land ``noted`` first: Spark does not scan JSON for it alone."""
+    return noted.filter(F.col(BROKEN).isNotNull()).select(F.col(BROKEN).alias("line"))
+
+
 def read_landing(spark: SparkSession, path: str, schema: StructType, fmt: str = "json") -> DataFrame:
-    """Landed rows with a stated schema: no inference pass, unknown fields dropped."""
-    reader = spark.read.schema(schema)
-    if fmt == "json":
-        reader = reader.option("timestampNTZFormat", NTZ_FORMAT)
-    return reader.format(fmt).load(path)
+    """Landed rows with a stated schema. JSON lines that do not parse, or hold a value of another type,
+    are left out: ``read_noted`` and ``rejected`` give them."""
+    if fmt != "json":
+        return spark.read.schema(schema).format(fmt).load(path)
+    return readable(read_noted(spark, path, schema))
 
 
 def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +40,8 @@ def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:
 
 
 def overwrite_new_schema(df: DataFrame, path: str) -> DataFrame:
-    """Replace rows and schema. ``df`` must not read ``path``; use ``swap_table`` for that."""
+    """Replace rows and schema in place. ``df`` must not read ``path``, and a failed write leaves nothing
+    to go back to: ``swap_table`` writes beside the old version and accepts a new schema too."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -76,8 +78,11 @@ def refresh_table(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def append_to_table(df: DataFrame, name: str) -> DataFrame:
-    """Append by column name; columns the table does not have yet are added to it first."""
+def append_to_table(df: DataFrame, name: str, day: str | None = None) -> DataFrame:
+    """Append by column name; columns the table does not have yet are added to it first.
+
+    With ``day``, the partition column, rows are rebalanced on it: a run leaves few files a day.
+    """
     spark = df.sparkSession
     have = {c.lower() for c in spark.table(name).columns}
     new = [f"`{c}` {t}" for c, t in df.dtypes if c.lower() not in have]
@@ -85,10 +90,60 @@ def append_to_table(df: DataFrame, name: str) -> DataFrame:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
     table = spark.table(name)
     aligned = table.limit(0).unionByName(df, allowMissingColumns=True)
+    if day:
+        aligned = aligned.hint("rebalance", F.col(day))
     aligned.write.insertInto(name)
     return spark.table(name)
 
 
+def _plain(path: str) -> str:
+    """One spelling of a folder: ``file:/a``, ``file:///a`` and ``/a`` are the same."""
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
+def _location(described: DataFrame) -> str:
+    """The first location after the columns, which may have one of that name."""
+    detailed = False
+    for row in described.collect():
+        detailed = detailed or row.col_name.startswith("# Detailed")
+        if detailed and row.col_name == "Location":
+            return _plain(row.data_type)
+    raise ValueError("no location is recorded")
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    return _location(spark.sql(f"DESCRIBE FORMATTED {name}"))
+
+
+def partition_locations(spark: SparkSession, name: str) -> dict[str, str]:
+    """Folder of each partition; one entry per day comes to the driver."""
+    found = {}
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        key, value = row.partition.split("=", 1)
+        found[row.partition] = _location(spark.sql(f"DESCRIBE FORMATTED {name} PARTITION ({key} = '{value}')"))
+    return found
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    files, folder = _file_system(spark, path)
+    if not files.exists(folder):
+        return []
+    return sorted(_plain(s.getPath().toString()) for s in files.listStatus(folder) if s.isDirectory())
+
+
+def delete_folder(spark: SparkSession, path: str, root: str) -> None:
+    """Delete a folder, which must lie under ``root``."""
+    if not f"{_plain(path)}/".startswith(f"{_plain(root)}/") or _plain(path) == _plain(root):
+        raise ValueError(f"{path} is not under {root}")
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)
+
+
 def with_day(df: DataFrame, ts: str, day: str = "extraction_date") -> DataFrame:
     return df.withColumn(day, F.to_date(ts))
 
@@ -131,19 +186,24 @@ def replace_days(df: DataFrame, name: str, path: str, day: str, days: list[date]
 
 
 def expire_days(
-    spark: SparkSession, name: str, as_of: datetime, days: int = 30, day: str = "extraction_date"
+    spark: SparkSession, name: str, as_of: datetime, days: int = 30, day: str = "extraction_date",
+    root: str | None = None,
 ) -> list[str]:
     """Drop the day partitions that lie wholly beyond retention; returns them.
 
     A row goes once 31 full days have passed, so a day goes once its last instant has. The boundary
-    day stays and is trimmed on read by ``operators.retention.retain``. Only the partition list, one
-    entry per day, comes to the driver.
+    day stays and is trimmed on read by ``operators.timerange.retain``. Only the partition list, one
+    entry per day, comes to the driver. With ``root`` the files of the dropped days are deleted too, if
+    they lie under it; without, an external table keeps them.
     """
     first_kept = (as_of - timedelta(days=days + 1)).date().isoformat()
     listed = [r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").toLocalIterator()]
     dates = [p.split("=", 1)[1] for p in listed]
     gone = sorted(d for d in dates if d < first_kept)
     if gone:
+        places = partition_locations(spark, name) if root else {}
         specs = ", ".join(f"PARTITION ({day} = '{d}')" for d in gone)
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
+        for d in gone if root else ():
+            delete_folder(spark, places[f"{day}={d}"], root)
     return gone

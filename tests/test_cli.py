@@ -13,7 +13,9 @@ def test_jobs_hour(spark, tmp_path):
     landing.mkdir()
     posting = {"JobId": "7", "Location": "Lund, Sk", "ExtractionDatetime": "2024-01-02T10:00:00.000001"}
     published = {**posting, "JobId": "8", "publishdatetime": "2024-01-01 08:00:00", "other": 1}
-    (landing / "part.json").write_text(json.dumps(posting) + "\n" + json.dumps(published) + "\n")
+    wrong = {**posting, "JobId": "9", "ExtractionDatetime": "yesterday"}
+    lines = [json.dumps(posting), "{broken", json.dumps(published), json.dumps(wrong)]
+    (landing / "part.json").write_text("\n".join(lines) + "\n")
     prefix = f"cli_{uuid.uuid4().hex}_"
     main(
         ["jobs-hour", "--root", work_dir(spark, "cli"), "--prefix", prefix, "--landing", str(landing),
@@ -24,6 +26,9 @@ def test_jobs_hour(spark, tmp_path):
     assert dated.ExtractionDatetime.isoformat(sep=" ") == "2024-01-01 08:00:00"
     assert (job.JobId, job.City, job.ExtractionDatetime.microsecond) == (7, "Lund", 1)
     assert spark.table(f"{prefix}silver.enriched").first().Tools == ["t"]
+    rejects = spark.table(f"{prefix}bronze.rejects").collect()
+    assert sorted(r.line for r in rejects) == sorted([lines[1], lines[3]])
+    assert spark.table(f"{prefix}bronze.jobs").count() == 2
 
 
 def answer(description):

@@ -1,10 +1,13 @@
 """Model answers, flattening, retries and lexicon matching."""
 
+from datetime import datetime
+
+import pytest
 from pyspark.sql import functions as F
 
 from jobmart.operators import enrichment
 from jobmart.plans import jobs_flow
-from jobmart.schemas import ENRICHED, ENRICHED_LISTS
+from jobmart.schemas import ENRICH_FAILURES, ENRICHED, ENRICHED_LISTS
 from jobmart.sources import readers
 
 
@@ -113,7 +116,37 @@ def test_lexicon_forms_agree(spark):
     table = spark.createDataFrame(
         [(k, w) for k, listed in lexicon.items() for w in listed], "kind STRING, token STRING"
     )
-    long = enrichment.match_lexicon_table(jobs, table, salts=3)
+    long = enrichment.match_lexicon_table(jobs, table)
     assert sorted(tuple(r) for r in long.filter("kind = 'Tools'").collect()) == [
         (0, "Tools", "spark"), (0, "Tools", "sql"), (3, "Tools", "spark")
     ]
+
+
+@pytest.mark.parametrize("answer, status", [
+    ('\n {"Tools":["a"]}\n', "ok"), ('{"Tools":["a"]} trailing words', "bad_json"), ('{"Tools":["a"]} {"Tools":["b"]}', "bad_json"),
+    ('["a"]', "bad_json"), ("", "bad_json"), (None, "bad_json"), ("{}", "ok"), ('{"Tools":["}]"]}', "ok"), ('{"Tools":["a"]', "bad_json"),
+])
+def test_only_an_object_is_an_answer(spark, answer, status):
+    df = spark.createDataFrame([(1, answer)], "JobId BIGINT, response STRING")
+    assert enrichment.parse_answers(df).first().status == status
+
+
+def test_calls_are_spread(spark):
+    jobs = spark.range(2000, numPartitions=1).selectExpr("id AS JobId", "'x' AS JobDescription")
+    called = enrichment.call_model(jobs, lambda text: "{}", partitions=8)
+    tasks = called.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    assert len(tasks) == 8 and sum(r["count"] for r in tasks) == 2000
+    assert enrichment.call_model(jobs, lambda text: "{}").rdd.getNumPartitions() == 4
+
+
+def test_failures_wait_longer_each_time(spark):
+    at = [datetime(2024, 1, 1, h) for h in range(12)]
+    jobs = spark.createDataFrame([(1, "x")], "JobId BIGINT, JobDescription STRING")
+    failures = spark.createDataFrame([], ENRICH_FAILURES)
+    asked = []
+    for now in at:
+        if enrichment.not_given_up(jobs, failures, now).count():
+            asked.append(now.hour)
+            failed = spark.createDataFrame([(1, None, "failed", "down")], "JobId BIGINT, response STRING, status STRING, error STRING")
+            failures = spark.createDataFrame(enrichment.failures_after(failures, failed, now).collect(), ENRICH_FAILURES)
+    assert asked == [0, 1, 3, 7]

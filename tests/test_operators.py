@@ -223,8 +223,8 @@ def test_empty_follower_batch_changes_nothing(spark):
     assert rows(jobs_flow.followers_after(have, readers.empty_table(spark, FOLLOWERS))) == rows(have)
 
 
-def test_touched_jobs_give_the_same_silver(spark):
-    """The narrow upsert equals the full one, also when a first sighting leaves bronze."""
+def test_changed_jobs_give_the_same_silver(spark):
+    """The narrow update equals the full one, also when a first sighting leaves bronze."""
     first, second = at("2024-01-20 00:00:00"), at("2024-02-05 00:00:00")
     old = bronze(
         spark, ("1", "2024-01-02 00:00:00", "a"), ("1", "2024-01-10 00:00:00", "b"),
@@ -234,9 +234,14 @@ def test_touched_jobs_give_the_same_silver(spark):
     silver = jobs_flow.silver_jobs_after(readers.empty_table(spark, JOB_SILVER), old, first)
     after = jobs_flow.bronze_after(old, new, second)
     full = jobs_flow.silver_jobs_after(silver, after, second)
-    touched = jobs_flow.touched_jobs(new, old, second)
-    assert rows(touched) == [(1,), (2,), (3,), (4,)]
-    assert rows(jobs_flow.silver_jobs_after(silver, after, second, touched)) == rows(full)
+    empty = readers.empty_table(spark, JOB_SILVER).withColumn("SeenAt", F.lit(None).cast("timestamp_ntz"))
+    seen = jobs_flow.changed_jobs(empty, old, old, first)
+    assert rows(seen.drop("SeenAt")) == rows(silver)
+    assert rows(jobs_flow.lost_jobs(seen, second)) == [(1,), (3,)]
+    news = jobs_flow.changed_jobs(seen, new, after, second)
+    assert rows(news.select("JobId", "JobTitle")) == [(1, "b"), (4, "f")]  # 2 was seen before, 3 has no other
+    narrow = seen.join(news, "JobId", "left_anti").unionByName(news).drop("SeenAt")
+    assert rows(timerange.retain(narrow, "ExtractionDatetime", second)) == rows(full)
     assert rows(full.select("JobId", "JobTitle")) == [(1, "b"), (2, "c"), (4, "f")]
 
 
