@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -32,6 +33,45 @@ def hourly_flow_jobs(src: Inputs):
     return silver_jobs(lake, second)
 
 
+class _Broken(Exception):
+    """A run that breaks off."""
+
+
+@query("hourly_flow_retry", TWO_RUNS_SQL)
+def hourly_flow_retry(src: Inputs):
+    """The second run fails after bronze has lost its old days, and is repeated."""
+    lake, raw = _lake(src), src.fixture("jobs_raw")
+    cut = timerange.instant(raw, TS, SPLIT)
+    first, second = TWO_RUNS
+    run_jobs_hour(lake, raw.filter(F.col(TS) < cut), first)
+
+    class FailsAfterExpiry(Lake):
+        def table(self, table: str):
+            if table == "silver.jobs":
+                raise _Broken
+            return super().table(table)
+
+    later = raw.filter(F.col(TS) >= cut)
+    try:
+        run_jobs_hour(FailsAfterExpiry(src.spark, lake.root, lake.prefix), later, second)
+    except _Broken:
+        pass
+    run_jobs_hour(lake, later, second)
+    return silver_jobs(lake, second)
+
+
+@query("enrich_failures_after_runs", """
+SELECT JobId, CAST(2 AS INTEGER) AS attempts, 'content rejected' AS error
+FROM jobs_silver
+WHERE length(JobDescription) % 7 = 0 AND ExtractionDatetime > TIMESTAMP '2023-12-31 00:30:00'""")
+def enrich_failures_after_runs(src: Inputs):
+    """Two runs an hour apart: what the model refuses is asked twice, what it answers once."""
+    lake, raw = _lake(src), src.fixture("jobs_raw")
+    run_jobs_hour(lake, raw, HOUR_AS_OF, ask=stand_in_model())
+    run_jobs_hour(lake, raw.limit(0), HOUR_AS_OF + timedelta(hours=1), ask=stand_in_model())
+    return lake.table("silver.enrich_failures").drop("last_try")
+
+
 def _one_run(src: Inputs) -> Lake:
     lake = _lake(src)
     run_jobs_hour(

@@ -10,7 +10,7 @@ from jobmart.catalog.registry import Inputs, query
 from jobmart.functions import cleaning
 from jobmart.operators import checks, dedup, merge, timerange
 from jobmart.plans import jobs_flow
-from jobmart.schemas import FOLLOWERS, JOB_BRONZE, JOB_SILVER
+from jobmart.schemas import FOLLOWERS, JOB_BRONZE, JOB_LANDING, JOB_SILVER
 from jobmart.sources import readers, tables
 
 HOUR_AS_OF = datetime(2024, 1, 30, 23, 30)
@@ -289,6 +289,32 @@ def jobs_upsert_two_batches(src: Inputs):
     return jobs_flow.silver_jobs_after(silver, bronze, second)
 
 
+@query("company_url_normalised", """
+SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL
+  ELSE concat('https://jobs.example/c/', user_id % 50) END AS url FROM events""")
+def company_url_normalised(src: Inputs):
+    user = F.col("user_id") % 50
+    n = F.col("event_id") % 5
+    raw = F.concat(F.lit("https://jobs.example/c/"), user, F.when(n == 1, "/").when(n == 2, "?trk=a/b").when(n == 3, "/#top").otherwise(""))
+    written = F.when(n != 0, raw)
+    return src.table("events").select("event_id", cleaning.plain_url(written).alias("url"))
+
+
+@query("landing_rejects", """
+SELECT concat('{"JobId":"', event_id, '",') AS line FROM events WHERE event_id % 10 = 3
+UNION ALL
+SELECT concat('{"JobId":"', event_id, '","ExtractionDatetime":"soon"}') FROM events WHERE event_id % 10 = 4""")
+def landing_rejects(src: Inputs):
+    """Landed lines of which some are cut off and some hold no time where one is due."""
+    n = F.col("event_id") % 10
+    tail = F.when(n == 3, ",").when(n == 4, ',"ExtractionDatetime":"soon"}').otherwise("}")
+    path = src.work_dir("landing")
+    line = F.concat(F.lit('{"JobId":"'), F.col("event_id"), F.lit('"'), tail)
+    src.table("events").select(line.alias("value")).write.text(path)
+    noted = tables.land(readers.read_noted(src.spark, path, JOB_LANDING), src.work_dir("landed"))
+    return readers.rejected(noted)
+
+
 def _batch(src: Inputs, number: int):
     raw = src.fixture("followers_raw")
     return raw.filter(F.col("batch") == number).drop("batch")

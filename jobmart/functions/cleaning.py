@@ -25,7 +25,7 @@ def sentinel_to_null(c: Column, sentinel: str = MISSING) -> Column:
 
 def plain_url(url: Column) -> Column:
     """An address without query string, fragment and closing slashes: one company, one url."""
-    return F.rtrim(F.regexp_substr(url, F.lit("^[^?#]*")), F.lit("/"))
+    return F.rtrim(F.regexp_extract(url, "^[^?#]*", 0), F.lit("/"))
 
 
 def city_of(location: Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,7 @@ from jobmart.sources import tables
 DAY = "extraction_date"
 JOB_DAY = "job_date"
 UNDATED = date(9999, 12, 31)
+AHEAD = timedelta(days=30)
 
 SCHEMAS = {
     "bronze.jobs": StructType([*JOB_BRONZE, StructField(DAY, DateType())]),
@@ -78,13 +79,13 @@ def update_jobs(lake: Lake, landed: DataFrame, bronze: DataFrame, as_of: datetim
     """Bring silver up to the batch and to what retention took from bronze, then retention by silver time.
 
     Only days that lose or gain a changed row are rewritten; which ones those are, a list of days, is
-    all that comes to the driver. A publish time after ``as_of`` is none, so those days are bounded by
-    retention.
+    all that comes to the driver. A publish time more than ``AHEAD`` after ``as_of`` is none (some feeds
+    date postings ahead), so the number of days is bounded.
     """
     silver = lake.table("silver.jobs")
     found = jobs_flow.changed_jobs(silver.drop(JOB_DAY), landed, bronze, as_of)
-    now = timerange.instant(found, jobs_flow.TIME, as_of)
-    time = F.when(F.col(jobs_flow.TIME) > now, F.col(jobs_flow.SEEN)).otherwise(F.col(jobs_flow.TIME))
+    latest = timerange.instant(found, jobs_flow.TIME, as_of + AHEAD)
+    time = F.when(F.col(jobs_flow.TIME) > latest, F.col(jobs_flow.SEEN)).otherwise(F.col(jobs_flow.TIME))
     found = found.withColumn(jobs_flow.TIME, time)
     job_day = F.coalesce(F.to_date(jobs_flow.TIME), F.lit(UNDATED))
     found = tables.land(found.withColumn(JOB_DAY, job_day), lake.new_path("runs.found"))

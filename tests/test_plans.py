@@ -51,8 +51,14 @@ def test_anti_joins_can_shuffle(spark, key):
 
 
 def test_not_in_does_not_broadcast_its_list(spark):
-    text = query_plan(spark, "not_in_null_aware")
-    assert "LeftAnti" not in text  # Spark's null-aware anti join always broadcasts
+    # Spark's null-aware anti join would broadcast it whatever the threshold.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = query_plan(spark, "not_in_null_aware")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin LeftAnti" in text
+    assert "Broadcast" not in text
 
 
 def test_small_batch_does_not_shuffle_the_target(spark):
