@@ -12,22 +12,20 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from jobmart.functions.cleaning import last_part, strip_space
 
-# Named entities that occur in job pages; the first four are also read without their
-# semicolon.
-ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "©",
-    "middot": "·", "ndash": "–", "mdash": "—", "hellip": "…", "bull": "•", "lsquo": "‘",
-    "rsquo": "’", "ldquo": "“", "rdquo": "”", "euro": "€", "aring": "å", "auml": "ä", "ouml": "ö",
-    "Aring": "Å", "Auml": "Ä", "Ouml": "Ö", "eacute": "é", "uuml": "ü",
-}
+# All named entities of the HTML standard. The commonest come first, as they are looked up in order; these
+# four are also read without their semicolon.
+_COMMON = ["amp", "lt", "gt", "quot", "nbsp", "apos"]
+_STANDARD = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+ENTITIES = {name: _STANDARD[name] for name in _COMMON} | _STANDARD
 _REFERENCE = (
-    r"^(#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};|[a-zA-Z]{1,8};|(?:amp|lt|gt|quot)(?![a-zA-Z0-9=;]))"
+    r"^(#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};|[a-zA-Z][a-zA-Z0-9]{1,31};|(?:amp|lt|gt|quot)(?![a-zA-Z0-9=;]))"
 )
 
 # Attributes of a tag, one ``name=`` with its quoted value after the other; a ``>`` in quotes does not
@@ -204,9 +202,8 @@ def spaced_text(element: Column) -> Column:
 
 def unescape(c: Column) -> Column:
     """Entities to characters, in one pass over what follows each ``&``."""
-    named = F.str_to_map(
-        F.lit("\t".join(f"{k}={v}" for k, v in ENTITIES.items())), F.lit("\t"), F.lit("=")
-    )
+    listed = "\u0001".join(f"{k}\u0002{v}" for k, v in ENTITIES.items())
+    named = F.str_to_map(F.lit(listed), F.lit("\u0001"), F.lit("\u0002"))
 
     def char_of(ref: Column) -> Column:
         code = F.when(

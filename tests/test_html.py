@@ -151,3 +151,9 @@ def test_company_followers(spark):
     seen = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     got = {r.url: r.Nbr_of_followers for r in extraction.company_followers(pages, seen).collect()}
     assert got == {"post": 12345, "meta": 1234, "words": 1234}
+
+
+def test_all_standard_entities(spark):
+    written = "&rarr; &reg; &oslash; &agrave; &equals; &frac12; &NotEqualTilde; &nosuch; &copy 2020 a&b; R&D"
+    read = spark.range(1).select(html.unescape(F.lit(written))).first()[0]
+    assert read == "→ ® ø à = ½ ≂̸ &nosuch; &copy 2020 a&b; R&D"
