@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from jobmart.catalog.jobs import SILVER, SPLIT, TS
 from jobmart.catalog.registry import Inputs, query
+from jobmart.functions import cleaning
 from jobmart.operators import timerange
 from jobmart.streaming import incremental
 
@@ -16,12 +17,9 @@ def events_hourly_tumbling(src: Inputs):
     return incremental.hourly_counts(src.table("events"), "ts", "event_type")
 
 
-# The last hours stay open until later events push the watermark past them.
+# The last hours stay open until later events push the watermark past them; they are added on request.
 @query("stream_hourly_counts", """
-SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events
-WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <=
-  (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM events)
-GROUP BY 1, 2""")
+SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def stream_hourly_counts(src: Inputs):
     stream = incremental.landing_stream(
         src.spark, src.sf_dir, src.table("events").schema, files="events.parquet"
@@ -31,7 +29,8 @@ def stream_hourly_counts(src: Inputs):
     counts = incremental.run_append(
         incremental.hourly_counts(timed, "ts", "event_type"), out, f"{out}-checkpoint"
     )
-    return counts.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+    closed = counts.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+    return incremental.with_open_hours(closed, src.table("events"), "ts", "event_type")
 
 
 def _landed_in_two_runs(src: Inputs) -> str:
@@ -53,11 +52,13 @@ def stream_upsert_jobs(src: Inputs):
     return incremental.current_jobs(src.spark, out)
 
 
-# The watermark spans the whole retention, so each job id passes once.
-@query("stream_dedup", "SELECT DISTINCT JobId FROM jobs_raw")
+# The watermark spans the whole retention, so each job passes once, however its id is written.
+@query("stream_dedup", """
+SELECT DISTINCT TRY_CAST(JobId AS BIGINT) AS JobId FROM jobs_raw WHERE TRY_CAST(JobId AS BIGINT) IS NOT NULL""")
 def stream_dedup(src: Inputs):
     landing, out = _landed_in_two_runs(src), src.work_dir("stream_ids")
-    stream = incremental.landing_stream(src.spark, landing, src.fixture("jobs_raw").schema)
-    timed = incremental.with_event_time(stream.select("JobId", TS), TS, "31 days")
+    stream = incremental.landing_stream(src.spark, landing, src.fixture("jobs_raw").schema, files_per_batch=1)
+    numbered = stream.select(cleaning.to_id(F.col("JobId")).alias("JobId"), TS).filter("JobId IS NOT NULL")
+    timed = incremental.with_event_time(numbered, TS, "31 days")
     seen = incremental.first_sightings(timed, ["JobId"]).select("JobId")
     return incremental.run_append(seen, out, f"{out}-checkpoint")

@@ -5,7 +5,7 @@ Checkpoints and outputs live in folders the caller names, which must be shared b
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +42,18 @@ def hourly_counts(events: DataFrame, ts: str, *by: str) -> DataFrame:
     ).select(F.col("_w.start").alias("hour"), *by, "n")
 
 
+def with_open_hours(closed: DataFrame, events: DataFrame, ts: str, *by: str) -> DataFrame:
+    """Closed hours of a stream and, counted in one batch, the hours that are still open.
+
+    A stream lets an hour go once later events push the watermark past it. On request the rest is
+    counted from the landed events after the last closed hour; that hour is all the driver gets.
+    """
+    last = closed.agg(F.max("hour")).first()[0]
+    if last is not None:
+        events = events.filter(F.col(ts) >= F.lit(last + timedelta(hours=1)).cast(events.schema[ts].dataType))
+    return closed.unionByName(hourly_counts(events, ts, *by))
+
+
 def first_sightings(stream: DataFrame, key: list[str]) -> DataFrame:
     """One row per key within the watermark; the state drops keys once they are out of it."""
     return stream.dropDuplicatesWithinWatermark(key)
