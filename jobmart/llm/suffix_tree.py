@@ -38,7 +38,7 @@ BLOCK_BYTES = 16 << 20
 STRIDE = 512
 
 #: Distinct windows that a counting task holds before it hands on partial counts.
-HELD = 3_000_000
+HELD = 1_000_000
 
 
 def symbols(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +87,7 @@ def window_counts(docs: DataFrame, text: str, training: str) -> tuple[DataFrame,
             texts = batch.column(0).cast(pa.binary()).to_pylist()
             size += sum(len(t) for t in texts if t)
             parts.append(windows([t for t, used in zip(texts, batch.column(1).to_pylist()) if used]))
-            if len(parts) > 16:
+            if len(parts) > 6:
                 parts = [merged()]
                 if len(parts[0][0]) > HELD:
                     yield from rows(*parts.pop())
@@ -164,10 +164,13 @@ def build(counts: DataFrame) -> Automaton:
     table = tree_counts(counts).where("kept OR k = 0").toArrow()
     k, ctx, sym, c = (table[name].to_numpy() for name in ("k", "ctx", "sym", "c"))
     kept = table["kept"].to_numpy(zero_copy_only=False)
-    own: dict[tuple[int, int], list[int]] = {}
-    for row, name in enumerate(zip(k.tolist(), ctx.tolist())):
-        own.setdefault(name, []).append(row)
-    chosen = {name for name, rows in own.items() if kept[rows[0]]}
+    del table
+    order = np.lexsort((ctx, k))
+    k, ctx, sym, c, kept = k[order], ctx[order], sym[order], c[order], kept[order]
+    starts = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (ctx[1:] != ctx[:-1])]) if len(k) else np.empty(0, np.int64)
+    contexts = list(zip(k[starts].tolist(), ctx[starts].tolist()))
+    own = dict(zip(contexts, map(slice, starts.tolist(), [*starts[1:].tolist(), len(k)])))
+    chosen = {name for name, of in zip(contexts, kept[starts].tolist()) if of}
     # With all parts of a kept context the next state follows from the state alone.
     names = {(0, 0)}
     for depth, value in chosen:
@@ -184,11 +187,11 @@ def build(counts: DataFrame) -> Automaton:
     symbol = np.full(SYMBOLS, len(used), np.int32)
     symbol[used] = np.arange(len(used))
     step = np.zeros((len(names), len(used) + 1), np.int32)
-    prob = np.zeros((len(names), len(used) + 1))
+    prob = np.zeros((len(names), len(used) + 1), np.float32)
     for i, (depth, value) in enumerate(names):  # shorter contexts come first
         if not depth:
             found = np.zeros(len(used) + 1)
-            rows = own.get((0, 0), [])
+            rows = own.get((0, 0), slice(0, 0))
             found[symbol[sym[rows]]] = c[rows]
             prob[i] = (found + 1) / (found.sum() + SYMBOLS)
         else:
@@ -198,10 +201,11 @@ def build(counts: DataFrame) -> Automaton:
                 rows = own[depth, value]
                 found = np.zeros(len(used) + 1)
                 found[symbol[sym[rows]]] = c[rows]
-                prob[i] = (found + len(rows) * prob[shorter]) / (found.sum() + len(rows))
+                kinds = rows.stop - rows.start
+                prob[i] = (found + kinds * prob[shorter]) / (found.sum() + kinds)
         for byte, target in longer.get((depth, value), ()):
             step[i, symbol[byte]] = target
-    return Automaton(step, np.log10(prob).astype(np.float32), symbol)
+    return Automaton(step, np.log10(prob, out=prob), symbol)
 
 
 def score_texts(docs: DataFrame, doc_id: str, text: str, training: str) -> DataFrame:
@@ -229,6 +233,7 @@ def score_texts(docs: DataFrame, doc_id: str, text: str, training: str) -> DataF
         learned = table["training"].to_numpy()[at]
         n = np.bincount(coded.indices.to_numpy()[learned], minlength=len(coded.dictionary))
         block = pa.array(np.full(len(n), table["block"][0].as_py(), np.int32))
+        pa.default_memory_pool().release_unused()
         return pa.table([pa.array(hashes(coded.dictionary)), block, pa.array(n.astype(np.int64))], names=["word", "block", "n"])
 
     asked = placed.groupBy("block").applyInArrow(ask, "word long, block int, n long")
@@ -248,8 +253,9 @@ def score_texts(docs: DataFrame, doc_id: str, text: str, training: str) -> DataF
         c = count[np.searchsorted(word, hashes(coded.dictionary))] if len(flat) else np.empty(0, np.int64)
         c = c[coded.indices.to_numpy()] if len(flat) else c
         logs = np.bincount(at, weights=np.log10(c + 1.0), minlength=n_rows)
-        contents = texts["text"].cast(pa.binary()).to_pylist()
-        chunks = [model.score(contents[i:i + 256]) for i in range(0, n_rows, 256)]
+        chunks = [
+            model.score(texts["text"].slice(i, 256).cast(pa.binary()).to_pylist()) for i in range(0, n_rows, 256)
+        ]
         first = (known["first"].to_numpy() == 1) & (known["n"].to_numpy() > 0)
         out = {
             "doc_id": [*texts["doc_id"].to_pylist(), None], "of_corpus": [*[False] * n_rows, True],
@@ -258,6 +264,7 @@ def score_texts(docs: DataFrame, doc_id: str, text: str, training: str) -> DataF
             "logs": [*logs.tolist(), 0.0],
             "score": [*(np.concatenate(chunks).tolist() if chunks else []), 0.0],
         }
+        pa.default_memory_pool().release_unused()
         return pa.table(out, schema=SCORED_SCHEMA)
 
     scored = written(
