@@ -12,13 +12,13 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label) for all ends of ``edges (a long, b long)``: the smallest node that can be reached.
 
     Labels take the smallest label among their neighbours', then that label's own label, until nothing
-    changes. Tables that a join looks up are landed first, so that Spark can split a heavy key's rows.
+    changes. The labels of each round are landed, which cuts the lineage.
     """
     both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "label")
-        least = written(near.unionByName(labels).groupBy("node").agg(F.min("label").alias("label")), "labels")
+        least = near.unionByName(labels).groupBy("node").agg(F.min("label").alias("label"))
         shortcut = least.select(F.col("node").alias("label"), F.col("label").alias("further"))
         following = written(least.join(shortcut, "label").select("node", F.col("further").alias("label")), "labels")
         settled = following.join(labels, ["node", "label"], "left_anti").isEmpty()

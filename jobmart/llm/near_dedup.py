@@ -4,10 +4,10 @@ Two small collections of bands are computed; the table keys are all pairs of a b
 band of the second, so that HALF * HALF tables need 2 * HALF bands. Two sets of Jaccard similarity s
 meet in a table with probability (1 - (1 - s ** ROWS) ** HALF) ** 2: 0.99993 at 0.8, 0.02 at 0.1.
 
-Equal sets are one class and enter the search once. Within a table no pairs are listed: classes are
-compared to pivots, and only while they are in different components, in rounds, until every pair that
-shares a table is either in one component or was compared. So the search ends with the components of
-all candidate links without ever listing a group's pairs.
+Equal sets are one class and enter the search once. Within a table no pairs are listed: each class is
+compared to one central class first, and then classes in different components to pivots, in rounds,
+until every pair that shares a table is in one component, was compared, or is ruled out by exact
+bounds. So the search ends with the components of all candidate links without listing a group's pairs.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmart.llm.common import marked_rows, prepare, row_bitmap, row_hash, same, without_rows, written
@@ -30,8 +30,9 @@ SHINGLE_WORDS, PERCENT = 5, 80
 #: Bands in each of the two collections, and minhashes in a band.
 HALF, ROWS = 10, 2
 
-#: Pivots per table in the first round; each further round takes PIVOT_GROWTH times as many.
-PIVOT_GROWTH = 8
+#: Pivots per table in the first round; each further round takes PIVOT_GROWTH times as many, so that
+#: rounds stay few. Pairs that are ruled out are not made, whatever the number of pivots.
+PIVOTS, PIVOT_GROWTH = 16, 32
 
 _U = np.uint64
 
@@ -106,26 +107,31 @@ def signatures(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     return rows.mapInArrow(sign, "doc_id long, row long, n_shingles long, set_id string, bands array<long>")
 
 
-def _repeated(rows: DataFrame, key: str, purpose: str) -> DataFrame:
-    """The rows whose key another row has too; the keys are counted before they are shuffled."""
-    keys = written(rows.groupBy(key).count().where("count > 1").select(key), purpose)
-    return rows.join(keys, key, "left_semi")
+def _repeated(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose key another row has too.
+
+    The keys are counted before they are shuffled. A class has one row in each of many tables, so no
+    key has more than a small share of the rows, even if all classes are near copies.
+    """
+    return rows.join(rows.groupBy(key).count().where("count > 1").select(key), key, "left_semi")
 
 
 def tables(classes: DataFrame) -> DataFrame:
-    """(bucket, node, n): the tensored tables, without entries that stand alone.
+    """(bucket, one, two, node): the tensored tables, without entries that stand alone.
 
-    A band that nobody shares can be part of no shared pair, so it is left out before pairs are formed.
+    ``one`` and ``two`` are the bands that make up the table's key. A band that nobody shares can be part
+    of no shared pair, so it is left out before pairs are formed.
     """
-    band = classes.select("node", "n", F.posexplode("bands").alias("k", "band"))
-    left = _repeated(band, "band", "near-bands").groupBy("node", "n").agg(  # HALF values at most in each
-        F.collect_list(F.when(F.col("k") < HALF, F.col("band"))).alias("first"),
-        F.collect_list(F.when(F.col("k") >= HALF, F.col("band"))).alias("second"),
+    band = classes.select("node", F.posexplode("bands").alias("k", "band"))
+    entry = F.struct("k", "band")
+    left = _repeated(band, "band").groupBy("node").agg(  # HALF values at most in each
+        F.collect_list(F.when(F.col("k") < HALF, entry)).alias("first"),
+        F.collect_list(F.when(F.col("k") >= HALF, entry)).alias("second"),
     )
-    pairs = left.select("node", "n", F.explode("first").alias("one"), "second") \
-        .select("node", "n", "one", F.explode("second").alias("two")) \
-        .select(F.xxhash64("one", "two").alias("bucket"), "node", "n")
-    return _repeated(written(pairs, "near-pairs"), "bucket", "near-buckets")
+    pairs = left.select("node", F.explode("first").alias("a"), "second") \
+        .select("node", "a", F.explode("second").alias("b")) \
+        .select(F.xxhash64("a.band", "b.band").alias("bucket"), F.col("a.k").alias("one"), F.col("b.k").alias("two"), "node")
+    return _repeated(written(pairs, "near-pairs"), "bucket")
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, text: str, size: int, doc_id: str) -> DataFrame:
@@ -144,45 +150,91 @@ def full_sets(docs: DataFrame, classes: DataFrame, text: str, size: int, doc_id:
     return found.join(classes.select("row", "node"), "row").dropDuplicates(["node"]).select("node", "shingles")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, common, all): sizes of the intersection and union of the pairs' full sets."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("left", "right"))
-    union = F.size("left") + F.size("right") - common
-    return both.where(100 * common >= percent * union).select("a", "b")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("left").alias("x"), F.size("right").alias("y"),
+                                                         F.size(F.array_intersect("left", "right")).alias("common"))
+    return both.select("a", "b", "common", (F.col("x") + F.col("y") - F.col("common")).alias("all"))
+
+
+def _similar(percent: int) -> Column:
+    return 100 * F.col("common") >= percent * F.col("all")
+
+
+def centers(members: DataFrame) -> DataFrame:
+    """(node, center): of all pivots in a node's tables the most central one, which may be itself.
+
+    A table's pivot is the node that meets most others in all its tables.
+    """
+    sizes = members.groupBy("bucket").count()
+    weights = members.join(sizes, "bucket").groupBy("node").agg(F.sum("count").alias("weight"))
+    best = members.join(weights, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("pivot"))
+    return members.join(best, "bucket").groupBy("node").agg(F.max("pivot").alias("pivot")).select("node", F.col("pivot.node").alias("center"))
 
 
-def linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, label) of all classes with links: components of the verified links within ``members``."""
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) with the labels that ``links`` (a, b) join together."""
+    one = labels.select(F.col("node").alias("a"), F.col("label").alias("x"))
+    two = labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
+    across = links.join(one, "a").join(two, "b").where("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    across = written(across, "near-bridges")
+    if across.isEmpty():
+        return labels
+    further = components(across).select(F.col("node").alias("label"), F.col("label").alias("further"))
+    return written(labels.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label")), "near-labels")
+
+
+def _first_shared(mine: str, other: str, start: int) -> Column:
+    """Index of the first band of a collection that two classes share."""
+    equal = F.zip_with(F.slice(mine, start + 1, HALF), F.slice(other, start + 1, HALF), lambda x, y: x == y)
+    return F.array_position(equal, True).cast("int") - 1 + start
+
+
+def linked(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, label) of ``nodes`` (node, n, bands): components of the verified links within ``members``.
+
+    First each class is compared to its center only, which settles most groups. In further rounds the
+    classes of a table that are in different components are compared to pivots. A pair is compared in
+    the first table it shares only, and not if the sizes or the distances to a common center rule a
+    link out: Jaccard distance is a metric, so |d(x, c) - d(y, c)| <= d(x, y).
+    """
+    far = 1 - percent / 100 + 1e-9
+    center = written(centers(members), "near-centers")
+    pairs = center.where("node != center").select(F.col("node").alias("a"), F.col("center").alias("b"))
+    tested = written(compared(pairs, sets), "near-compared")
+    apart = tested.select(F.col("a").alias("node"), (1 - F.col("common") / F.col("all")).alias("apart"))
+    known = written(
+        nodes.join(center, "node").join(apart, "node", "left").withColumn("apart", F.coalesce("apart", F.lit(0.0))), "near-known"
+    )
     labels = written(members.select("node", F.col("node").alias("label")).distinct(), "near-labels")
-    pending, pivots_per_table = members, 1
+    labels = _merged(labels, tested.where(_similar(percent)).select("a", "b"))
+    pending, pivots_per_table = members, PIVOTS
     while True:
-        labelled = written(pending.join(labels, "node"), "near-members")
+        labelled = pending.join(labels, "node")
         open_tables = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
             .where("low < high").select("bucket")
-        labelled = labelled.join(written(open_tables, "near-open"), "bucket", "left_semi")
+        labelled = written(labelled.join(open_tables, "bucket", "left_semi").join(known, "node"), "near-members")
         part = F.pmod(F.xxhash64("node"), F.lit(pivots_per_table))
         # High labels first: most of a table usually belongs to one component with a low label.
-        pivots = labelled.groupBy("bucket", part.alias("part")).agg(F.max(F.struct("label", "node", "n")).alias("p")) \
-            .select("bucket", F.col("p.label").alias("p_label"), F.col("p.node").alias("pivot"), F.col("p.n").alias("p_n"))
-        pivots = written(pivots, "near-pivots")
+        pivots = labelled.groupBy("bucket", part.alias("part")).agg(F.max(F.struct("label", "node")).alias("p")) \
+            .select("bucket", F.col("p.label").alias("p_label"), F.col("p.node").alias("pivot"))
+        about = known.select(*(F.col(c).alias(f"p_{c}") for c in known.columns))
+        pivots = written(pivots.join(about, pivots["pivot"] == about["p_node"]).drop("p_node"), "near-pivots")
         if pivots.isEmpty():
             return labels
-        close = (100 * F.least("n", "p_n") >= percent * F.greatest("n", "p_n")) & (F.col("label") != F.col("p_label"))
-        pairs = labelled.join(pivots, "bucket").where(close) \
+        possible = (F.col("label") != F.col("p_label")) & (100 * F.least("n", "p_n") >= percent * F.greatest("n", "p_n")) \
+            & ((F.col("center") != F.col("p_center")) | (F.abs(F.col("apart") - F.col("p_apart")) <= far)) \
+            & (F.col("node") != F.col("p_center")) & (F.col("pivot") != F.col("center")) \
+            & (_first_shared("bands", "p_bands", 0) == F.col("one")) & (_first_shared("bands", "p_bands", HALF) == F.col("two"))
+        pairs = labelled.join(pivots, "bucket").where(possible) \
             .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        links = verified(written(pairs, "near-candidates"), sets, percent)
-        one = labels.select(F.col("node").alias("a"), F.col("label").alias("x"))
-        two = labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
-        bridges = written(links.join(one, "a").join(two, "b").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "near-bridges")
-        if not bridges.isEmpty():
-            merged = components(bridges).select(F.col("node").alias("label"), F.col("label").alias("merged"))
-            labels = written(labels.join(merged, "label", "left").select("node", F.coalesce("merged", "label").alias("label")), "near-labels")
+        links = compared(written(pairs, "near-candidates"), sets).where(_similar(percent)).select("a", "b")
+        labels = _merged(labels, links)
         # A pivot has been compared to all it was not yet joined with in its table.
         pending = labelled.join(pivots.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti") \
-            .select("bucket", "node", "n")
+            .select(*members.columns)
         pivots_per_table *= PIVOT_GROWTH
 
 
@@ -206,15 +258,15 @@ def near_groups(
         "near-classes",
     )
     members = written(tables(classes), "near-tables")
-    candidates = written(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "row"), "near-nodes")
+    candidates = classes.join(members.select("node").distinct(), "node", "left_semi")
+    candidates = written(candidates.select("node", "row", "n", "bands"), "near-nodes")
     sets = written(full_sets(docs, candidates, text, size, doc_id), "near-sets")
-    labels = linked(members, sets, percent)
+    labels = linked(members, candidates.drop("row"), sets, percent)
     first = classes.join(labels, "node").groupBy("label").agg(F.min("low").alias("first"))
-    found = written(
-        classes.join(labels, "node", "left").join(written(first, "near-first"), "label", "left")
-        .select("set_id", F.coalesce("first", "low").alias("first")),
-        "near-result",
-    )
+    # Landed, so that Spark can split the classes of a component that holds many.
+    first = written(first, "near-first")
+    found = classes.join(labels, "node", "left").join(first, "label", "left") \
+        .select("set_id", F.coalesce("first", "low").alias("first"))
     own = rows.join(found, "set_id", "left").withColumn("first", F.coalesce("first", place))
     kept = same(F.col("first.doc_id"), F.col("doc_id")) & (F.col("first.row") == F.col("row"))
     return own.select("doc_id", "row", "n_shingles", F.col("first.doc_id").alias("component_id"), kept.alias("kept"))

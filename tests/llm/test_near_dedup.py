@@ -73,6 +73,7 @@ def test_same_as_brute_force(copies, size):
 
 def test_rounds_of_pivots(copies, monkeypatch):
     # Weak bands: many classes that are not linked share tables and have to be told apart.
+    monkeypatch.setattr(near_dedup, "PIVOTS", 1)
     monkeypatch.setattr(near_dedup, "PIVOT_GROWTH", 2)
     rows = [tuple(r) for r in copies.collect()]
     got = near_groups(copies, size=1, percent=60)
