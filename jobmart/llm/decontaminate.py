@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmart.llm.common import row_hash, same, without_rows
-from jobmart.llm.grams import ascii_words, complete, rolling
+from jobmart.llm.grams import ascii_words, complete, rolled
 
 #: Template words in a window; items of fewer words are searched by windows of SHORT_WINDOW words.
 WINDOW, SHORT_WINDOW = 8, 4
@@ -47,7 +47,8 @@ _SEPARATORS = r"[\x00\x03-\x2F\x3A-\x5E\x60\x7B-\x7F]+"
 
 def template_words(text: Column) -> Column:
     """Words with a mark before names and units; decimal points become part of their number."""
-    named = F.regexp_replace(text, r"(?<=[\p{Ll}\d,;:] )(?=\p{Lu}\p{Ll})", _NAME)
+    # The blank first: the pattern is tried at blanks only.
+    named = F.regexp_replace(text, r" (?<=[\p{Ll}\d,;:] )(?=\p{Lu}\p{Ll})", " " + _NAME)
     whole = F.regexp_replace(named, r"(?<=\d)[.,](?=\d)", "_")
     units = F.regexp_replace(whole, rf"(?i)(?<=\d)[ ]?(?=(?:{'|'.join(UNITS.split())})\b)", " " + _UNIT)
     return ascii_words(F.when(text.rlike(r"\d"), units).otherwise(named), _SEPARATORS)
@@ -78,8 +79,9 @@ def items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") ->
 
 def item_windows(templates: DataFrame, width: int) -> DataFrame:
     """(gram, item, at, n_windows) of the items searched by this width."""
-    grams = complete(rolling(F.col("hashes"), width), F.size("hashes"), width)
-    each = templates.where(F.col("width") == width).select("item", "words", "hashes", F.posexplode(grams).alias("at", "gram"))
+    some = rolled(templates.where(F.col("width") == width).withColumn("grams", F.col("hashes")), "grams", width)
+    grams = complete(F.col("grams"), F.size("hashes"), width)
+    each = some.select("item", "words", "hashes", F.posexplode(grams).alias("at", "gram"))
     slots = F.size(F.filter(F.slice("hashes", F.col("at") + 1, width), _is_slot))
     some = each.where(slots <= SLOTS[width])
     sizes = some.groupBy("item", "words").agg(F.count("*").alias("n_windows"))
@@ -90,9 +92,10 @@ def _hits(docs: DataFrame, windows: DataFrame, width: int, doc_id: str, text: st
     """(doc_id, row, item, words, diagonal, n_windows, hits, first, last): windows that meet, by diagonal."""
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), row_hash(doc_id, text).alias("row"),
-        template_hashes(template_words(F.col(text))).alias("hashes"),
+        template_hashes(template_words(F.col(text))).alias("grams"),
     )
-    every = rows.select("doc_id", "row", F.posexplode(complete(rolling(F.col("hashes"), width), F.size("hashes"), width)).alias("place", "gram"))
+    grams = complete(F.col("grams"), F.size("grams"), width)
+    every = rolled(rows, "grams", width).select("doc_id", "row", F.posexplode(grams).alias("place", "gram"))
     if windows.count() <= BROADCAST_WINDOWS:
         windows = F.broadcast(windows)
     met = every.join(windows, "gram").withColumn("diagonal", F.col("place") - F.col("at"))

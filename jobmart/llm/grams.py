@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Everything in ASCII that is no letter or digit; other characters belong to words.
@@ -26,12 +26,16 @@ def doubled(grams: Column, width: int) -> Column:
     return F.zip_with(grams, F.slice(grams, width + 1, F.size(grams)), lambda a, b: F.xxhash64(a, b))
 
 
-def rolling(hashes: Column, width: int) -> Column:
-    """Hashes of all ``width``-grams (a power of two) of an array of word hashes, as long as the array."""
-    grams, have = hashes, 1
+def rolled(df: DataFrame, column: str, width: int, have: int = 1) -> DataFrame:
+    """``df`` with the hashes of all ``width``-grams (a power of two) in ``column``, which holds those of
+    ``have`` words.
+
+    Every doubling is a projection of its own: within one expression Spark would compute the shorter
+    grams anew wherever they are mentioned.
+    """
     while have < width:
-        grams, have = doubled(grams, have), 2 * have
-    return grams
+        df, have = df.withColumn(column, doubled(F.col(column), have)), 2 * have
+    return df
 
 
 def complete(grams: Column, n_words: Column, width: int) -> Column:

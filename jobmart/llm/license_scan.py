@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobmart.llm.common import row_hash, same
-from jobmart.llm.grams import ascii_words, complete, doubled, rolling, word_hashes
+from jobmart.llm.grams import ascii_words, complete, rolled, word_hashes
 
 # Names and labels that count wherever they stand.
 NAMES = {
@@ -65,8 +65,8 @@ def templates(spark: SparkSession) -> DataFrame:
     words = spark.range(1).select(F.inline(literal)).withColumn("words", ascii_words(F.col("text")))
     parts = []
     for width in (NAME_WIDTH, TEXT_WIDTH):
-        grams = complete(rolling(word_hashes(F.col("words")), width), F.size("words"), width)
-        some = words.where(F.col("width") == width).withColumn("grams", grams)
+        some = words.where(F.col("width") == width).withColumn("grams", word_hashes(F.col("words")))
+        some = rolled(some, "grams", width).withColumn("grams", complete(F.col("grams"), F.size("words"), width))
         parts.append(some.select(
             "template", "label", (F.col("width") == NAME_WIDTH).alias("is_name"), F.size("grams").alias("n_grams"),
             F.posexplode("grams").alias("at", "gram"),
@@ -76,14 +76,15 @@ def templates(spark: SparkSession) -> DataFrame:
 
 def votes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, row, template, label, is_name, n_grams, place, at): one row per gram that meets a template."""
-    pairs = docs.select(
+    hashes = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), row_hash(doc_id, text).alias("row"),
-        doubled(word_hashes(ascii_words(F.col(text))), 1).alias("pairs"),
+        word_hashes(ascii_words(F.col(text))).alias("pairs"),
     )
+    pairs = rolled(hashes, "pairs", NAME_WIDTH)
+    both = rolled(pairs.withColumn("grams", F.col("pairs")), "grams", TEXT_WIDTH, NAME_WIDTH)
     # Both widths in one array: a pair and a gram of four words never have the same hash input.
-    every = pairs.select(
-        "doc_id", "row", F.size("pairs").alias("n"),
-        F.posexplode(F.concat("pairs", doubled(F.col("pairs"), NAME_WIDTH))).alias("k", "gram"),
+    every = both.select(
+        "doc_id", "row", F.size("pairs").alias("n"), F.posexplode(F.concat("pairs", "grams")).alias("k", "gram")
     )
     hits = every.join(F.broadcast(templates(docs.sparkSession)), "gram")
     place = F.when(F.col("k") < F.col("n"), F.col("k")).otherwise(F.col("k") - F.col("n"))
