@@ -190,19 +190,27 @@ def _term_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Index:
+def fit(
+    labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", texts: DataFrame | None = None
+) -> Index:
     """The index of EXAMPLES labelled rows of each class at most, weighted back to their true shares.
 
-    Rows whose label is neither 0 nor 1 are not used. Without examples every text scores 0.
+    With ``texts`` (id, text) the labels come without: the texts of the drawn rows alone are fetched, by
+    a broadcast of their ids, whose number the sample bounds. Rows whose label is neither 0 nor 1 are not used. Without examples every text scores 0.
     """
     spark = labelled.sparkSession
     prepare(spark)
+    own_text = [] if texts is not None else [F.col(text).alias("text")]
     rows = labelled.where(F.col(toxic).isin(0, 1)).select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(toxic).cast("int").alias("toxic")
+        F.col(doc_id).cast("long").alias("doc_id"), *own_text, F.col(toxic).cast("int").alias("toxic")
     )
     sizes = dict(rows.groupBy("toxic").count().collect())
     share = {c: min(1.0, EXAMPLES / n) for c, n in sizes.items()}
-    drawn = written(rows.sampleBy("toxic", share, seed=17), "toxicity-examples") if sizes else rows.limit(0)
+    drawn = rows.sampleBy("toxic", share, seed=17) if sizes else rows.limit(0)
+    if texts is not None:
+        contents = texts.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+        drawn = contents.join(F.broadcast(drawn), "doc_id")
+    drawn = written(drawn.select("doc_id", "text", "toxic"), "toxicity-examples")
     taken = dict(drawn.groupBy("toxic").count().collect())
     scale = {c: sizes[c] / n for c, n in taken.items()}
     prior = sizes.get(1, 0) / max(1, sum(sizes.values()))
