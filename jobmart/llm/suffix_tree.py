@@ -2,9 +2,13 @@
 
 A text is its lower-cased words joined by one blank and closed by an end symbol, as UTF-8 bytes, so a
 sequence of words and its bytes have the same probability and no word is unknown. Every context of up
-to ``DEPTH`` bytes that is frequent enough and whose next-symbol distribution diverges from its parent's
-by more than it costs to keep becomes a state. Its distribution is smoothed by its parent's, down to
-the root's add-one distribution. A text is scored by the longest state that is a suffix of what was read.
+to ``DEPTH`` bytes that was seen more than once and whose next-symbol distribution diverges from its
+parent's by more than it costs to keep becomes a state. Its distribution is smoothed by its parent's, down
+to the root's add-one distribution. A text is scored by the longest state that is a suffix of what was read.
+
+The tree is never in one place. What a symbol scores follows from its window, the DEPTH bytes before it and
+itself. Blocks of texts ask for their windows; contexts with the same last LOW + 1 bytes meet in one bucket,
+which holds all that their states need but the lowest levels, and those are bounded by the alphabet.
 """
 
 from __future__ import annotations
@@ -23,8 +27,14 @@ from jobmart.llm.words import hashes, words
 #: Longest context in bytes; a context and its next symbol fit a 64-bit code.
 DEPTH = 6
 
-#: A context is followed up if it makes up this share of all places, which bounds each level to 1 / SHARE contexts.
-SHARE = 2e-6
+#: A context that was seen once says nothing about what else may follow; any other is put to the divergence test.
+LEAST = 2
+
+#: Contexts of up to this many bytes go to all tasks: at most SYMBOLS ** (LOW + 1) counts, whatever the input.
+LOW = 2
+
+#: Buckets of windows, for each BUCKET_BLOCKS blocks: bounds what a task of them holds.
+BUCKETS, BUCKET_BLOCKS = 256, 2048
 
 #: Pads the start and ends a text; being white space, it is never part of a word.
 END = 10
@@ -132,12 +142,11 @@ class Automaton:
 
 
 def tree_counts(counts: DataFrame) -> DataFrame:
-    """(k, ctx, sym, c, n, kept) of all contexts that are frequent enough; ``kept`` ones are states.
+    """(k, ctx, sym, c, n, kept) of all contexts seen LEAST times; ``kept`` ones are states.
 
     The divergence test: what the context's own distribution gains over its parent's, in nats, exceeds
     half the logarithm of its count for each of its next symbols (the description length of those).
     """
-    total = counts.agg(F.sum("n")).first()[0] or 0
     code = F.col("code")
     level = counts.select("code", "n", F.explode(F.sequence(F.lit(0), F.lit(DEPTH))).alias("k"))
     context = F.expr("CASE k " + " ".join(
@@ -146,7 +155,7 @@ def tree_counts(counts: DataFrame) -> DataFrame:
         .groupBy("k", "ctx", "sym").agg(F.sum("n").alias("c"))
     sums = Window.partitionBy("k", "ctx")
     each = written(
-        each.withColumn("n", F.sum("c").over(sums)).where(F.col("n") >= F.lit(SHARE) * F.lit(total)), "suffix-contexts"
+        each.withColumn("n", F.sum("c").over(sums)).where(F.col("n") >= LEAST), "suffix-contexts"
     )
     parent = each.select(
         (F.col("k") + 1).alias("k"), F.col("ctx").alias("up"), "sym", F.col("c").alias("pc"), F.col("n").alias("pn")
@@ -160,7 +169,7 @@ def tree_counts(counts: DataFrame) -> DataFrame:
 
 
 def build(counts: DataFrame) -> Automaton:
-    """The automaton. What is gathered is bounded by DEPTH / SHARE contexts, whatever the input."""
+    """The whole tree as one automaton: for corpora that fit one process. ``score_texts`` does without it."""
     table = tree_counts(counts).where("kept OR k = 0").toArrow()
     k, ctx, sym, c = (table[name].to_numpy() for name in ("k", "ctx", "sym", "c"))
     kept = table["kept"].to_numpy(zero_copy_only=False)
@@ -208,13 +217,93 @@ def build(counts: DataFrame) -> Automaton:
     return Automaton(step, np.log10(prob, out=prob), symbol)
 
 
+@dataclass
+class Level:
+    """Contexts of one length, each with its next symbols, ``ctx << 8 | symbol``, in order."""
+
+    keys: np.ndarray
+    c: np.ndarray  # how often the symbol follows
+    n: np.ndarray  # how often the context stands
+    p: np.ndarray  # probability of the symbol
+
+
+def levels(codes: np.ndarray, c: np.ndarray, first: int, last: int, above: Level | None = None) -> Level:
+    """The level ``last`` of distinct windows with their counts, by way of ``first``; ``above`` is the one before.
+
+    The windows must hold all that share a context of ``first`` bytes with one of them.
+    """
+    for k in range(first, last + 1):
+        keys, at = np.unique(codes & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
+        own = np.bincount(at, weights=c, minlength=len(keys))
+        ctx = keys >> 8
+        new = np.r_[True, ctx[1:] != ctx[:-1]][:len(keys)]
+        starts, of = np.flatnonzero(new), np.cumsum(new) - 1
+        n = np.add.reduceat(own, starts) if len(keys) else own
+        kinds = np.add.reduceat((own > 0).astype(float), starts) if len(keys) else own
+        if above is None:
+            p = (own + 1) / (n[of] + SYMBOLS)
+        else:
+            up = np.searchsorted(above.keys, keys & ((1 << 8 * k) - 1))
+            seen = own > 0
+            gain = np.zeros(len(keys))
+            gain[seen] = own[seen] * np.log(own[seen] / n[of][seen] * (above.n[up][seen] / above.c[up][seen]))
+            gain = np.add.reduceat(gain, starts) if len(keys) else gain
+            kept = (n >= LEAST) & (gain > 0.5 * kinds * np.log(np.maximum(n, 1)))
+            p = np.where(kept[of], (own + kinds[of] * above.p[up]) / np.maximum(n + kinds, 1)[of], above.p[up])
+        above = Level(keys, own, n[of], p)
+    return above
+
+
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of all parts, in order, and the sums of their counts."""
+    codes, counts = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(codes, kind="stable")
+    codes, counts = codes[order], counts[order]
+    starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]][:len(codes)])
+    return codes[starts], np.add.reduceat(counts, starts) if len(codes) else counts
+
+
+def places(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The window of each symbol of the texts, and how many each text has."""
+    read, starts = symbols(texts)
+    codes = np.zeros(max(0, len(read) - DEPTH), np.int64)
+    for k in range(DEPTH + 1):
+        codes <<= 8
+        codes |= read[k:len(read) - DEPTH + k]
+    return codes[_scored(starts)[DEPTH:]], np.diff(starts) - DEPTH
+
+
+def bucket_of(codes: np.ndarray, n_buckets: int) -> np.ndarray:
+    """By the last LOW + 1 bytes of the context."""
+    ctx = (codes >> 8) & ((1 << 8 * (LOW + 1)) - 1)
+    return ((ctx * 0x9E3779B1 & 0xFFFFFFFF) >> 8) % n_buckets
+
+
+def packed(codes: np.ndarray, n: np.ndarray) -> bytes:
+    """Rising codes, as steps, and their counts; equal bytes come together."""
+    both = np.concatenate([np.diff(codes, prepend=0), n.astype(np.int64)])
+    return pa.compress(np.ascontiguousarray(both.view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(blob: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(pa.decompress(blob, 16 * length, "zstd", asbytes=True), np.uint8)
+    both = np.ascontiguousarray(raw.reshape(8, -1).T).reshape(-1).view(np.int64)
+    return np.cumsum(both[:length]), both[length:]
+
+
+def _slices(texts: pa.ChunkedArray) -> Iterator[tuple[int, list[bytes | None]]]:
+    for at in range(0, len(texts), 256):
+        yield at, texts.slice(at, 256).cast(pa.binary()).to_pylist()
+
+
 def score_texts(docs: DataFrame, doc_id: str, text: str, training: str) -> DataFrame:
     """Per row: doc_id, n_tokens, n_known, train_tokens, base_score, score. A NULL text is empty.
 
     ``training`` names a boolean column: from these rows the tree and the word counts are learned.
-    The base score is that of single words with add-one smoothing. Word counts, which grow with the
-    corpus, are never gathered: a block of documents asks for the counts of its own words and is sent
-    those. Without training rows the tree is the uniform root. Rows without an id are scored too.
+    The base score is that of single words with add-one smoothing. Neither word counts nor states, which
+    grow with the corpus, are ever gathered: a block of documents asks for the counts of its own words and
+    for what its own windows score, and is sent those. Without training rows the tree is the uniform root.
+    Rows without an id are scored too.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -222,45 +311,107 @@ def score_texts(docs: DataFrame, doc_id: str, text: str, training: str) -> DataF
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
         F.coalesce(F.col(training), F.lit(False)).alias("training"),
     )
-    counts, size = window_counts(rows, "text", "training")
-    shared = spark.sparkContext.broadcast(build(counts))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = size // BLOCK_BYTES + 1
+    n_buckets = BUCKETS * (1 + n_blocks // BUCKET_BLOCKS)
     placed = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int"))
 
     def ask(table: pa.Table) -> pa.Table:
         flat, at = words(table["text"].combine_chunks())
         coded = flat.dictionary_encode()
-        learned = table["training"].to_numpy()[at]
-        n = np.bincount(coded.indices.to_numpy()[learned], minlength=len(coded.dictionary))
-        block = pa.array(np.full(len(n), table["block"][0].as_py(), np.int32))
+        used = table["training"].to_numpy()
+        n = np.bincount(coded.indices.to_numpy()[used[at]], minlength=len(coded.dictionary))
+        word = hashes(coded.dictionary)
+        del flat, at, coded
         pa.default_memory_pool().release_unused()
-        return pa.table([pa.array(hashes(coded.dictionary)), block, pa.array(n.astype(np.int64))], names=["word", "block", "n"])
-
-    asked = placed.groupBy("block").applyInArrow(ask, "word long, block int, n long")
-    one_word = Window.partitionBy("word")  # a word has one row per block at most
-    answers = asked.select(
-        "block", "word", F.sum("n").over(one_word).alias("n"),
+        codes, times, parts = np.empty(0, np.int64), np.empty(0, np.int64), []
+        for begin, texts in _slices(table["text"]):
+            own, lengths = places(texts)
+            marked, seen = np.unique(own << 1 | np.repeat(used[begin:begin + len(texts)], lengths), return_counts=True)
+            parts.append((marked >> 1, seen * (marked & 1)))
+            if len(parts) == 8:
+                codes, times = summed([(codes, times), *parts])
+                parts = []
+        codes, times = summed([(codes, times), *parts])
+        low, to = np.unique(codes & ((1 << 8 * (LOW + 1)) - 1), return_inverse=True)
+        low_n = np.bincount(to, weights=times, minlength=len(low)).astype(np.int64)
+        bucket = bucket_of(codes, n_buckets)
+        order = np.argsort(bucket, kind="stable")
+        codes, times, bucket = codes[order], times[order], bucket[order]
+        names, starts = np.unique(bucket, return_index=True)
+        ends = [*starts[1:].tolist(), len(codes)]
+        blobs = [packed(codes[i:j], times[i:j]) for i, j in zip(starts.tolist(), ends)]
+        sizes = [len(word), len(low), len(names)]
+        pa.default_memory_pool().release_unused()
+        return pa.table({
+            "kind": np.repeat(np.array([WORD, LOWEST, WINDOWS], np.int32), sizes),
+            "block": np.full(sum(sizes), table["block"][0].as_py(), np.int32),
+            "key": np.concatenate([word, low, names]), "n": np.concatenate([n, low_n, np.array(ends) - starts]).astype(np.int64),
+            "windows": pa.array([*[None] * (len(word) + len(low)), *blobs], pa.binary()),
+        })
+
+    asked = written(
+        placed.groupBy("block").applyInArrow(ask, "kind int, block int, key long, n long, windows binary"), "suffix-asked"
+    )
+    lowest = asked.where(F.col("kind") == LOWEST).groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    shared = spark.sparkContext.broadcast(levels(lowest["key"].to_numpy(), lowest["n"].to_numpy(), 0, LOW))
+
+    def answer(table: pa.Table) -> pa.Table:
+        lengths = table["n"].to_pylist()
+        parts = [unpacked(b, m) for b, m in zip(table["windows"].to_pylist(), lengths)]
+        codes, times = (np.concatenate(x) for x in zip(*parts))
+        del parts
+        codes, to = np.unique(codes, return_inverse=True)
+        times = np.bincount(to, weights=times, minlength=len(codes))
+        logs = np.log10(levels(codes, times, LOW + 1, DEPTH, shared.value).p).astype(np.float32)[to]
+        ends = np.cumsum(lengths).tolist()
+        logs = [logs[j - m:j].tobytes() for j, m in zip(ends, lengths)]
+        return pa.table({"block": table["block"], "key": table["key"], "logs": pa.array(logs, pa.binary())})
+
+    scores = asked.where(F.col("kind") == WINDOWS).select("block", "key", "n", "windows").groupBy("key") \
+        .applyInArrow(answer, "block int, key long, logs binary")
+    one_word = Window.partitionBy("key")  # a word has one row per block at most
+    known_words = asked.where(F.col("kind") == WORD).select(
+        "block", "key", F.sum("n").over(one_word).alias("n"),
         F.when(F.min("block").over(one_word) == F.col("block"), 1).otherwise(0).alias("first"),
     )
+    answers = known_words.unionByName(scores, allowMissingColumns=True)
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
-        model = shared.value
         n_rows = texts.num_rows
-        order = np.argsort(known["word"].to_numpy())
-        word, count = known["word"].to_numpy()[order], known["n"].to_numpy()[order]
+        is_word = known["logs"].is_null()
+        by_bucket = known.filter(known["logs"].is_valid()).sort_by("key")["logs"].to_pylist()
+        known = known.filter(is_word).select(["key", "n", "first"])
+        order = np.argsort(known["key"].to_numpy())
+        word, count = known["key"].to_numpy()[order], known["n"].to_numpy()[order]
         flat, at = words(texts["text"].combine_chunks())
         coded = flat.dictionary_encode()
         c = count[np.searchsorted(word, hashes(coded.dictionary))] if len(flat) else np.empty(0, np.int64)
         c = c[coded.indices.to_numpy()] if len(flat) else c
         logs = np.bincount(at, weights=np.log10(c + 1.0), minlength=n_rows)
-        chunks = [
-            model.score(texts["text"].slice(i, 256).cast(pa.binary()).to_pylist()) for i in range(0, n_rows, 256)
-        ]
+        tokens = (np.bincount(at, minlength=n_rows) + 1).tolist()
+        found = np.bincount(at, weights=c > 0, minlength=n_rows).astype(np.int64).tolist()
+        del flat, at, coded, c
+        pa.default_memory_pool().release_unused()
+        codes, new = np.empty(0, np.int64), []
+        for _, some in _slices(texts["text"]):
+            new.append(np.unique(places(some)[0]))
+            if len(new) == 8:
+                codes, new = np.unique(np.concatenate([codes, *new])), []
+        codes = np.unique(np.concatenate([codes, *new]))
+        log = np.empty(len(codes), np.float32)  # answers come by bucket, in the order of the codes there
+        log[np.argsort(bucket_of(codes, n_buckets), kind="stable")] = np.frombuffer(b"".join(by_bucket), np.float32)
+        chunks = []
+        for _, some in _slices(texts["text"]):  # cut up again: to keep the places of a block takes its memory eight times
+            own, lengths = places(some)
+            distinct, to = np.unique(own, return_inverse=True)
+            each = log[np.searchsorted(codes, distinct)][to].astype(float)
+            chunks.append(np.add.reduceat(each, np.cumsum(lengths) - lengths))
         first = (known["first"].to_numpy() == 1) & (known["n"].to_numpy() > 0)
         out = {
             "doc_id": [*texts["doc_id"].to_pylist(), None], "of_corpus": [*[False] * n_rows, True],
-            "tokens": [*(np.bincount(at, minlength=n_rows) + 1).tolist(), int(known["n"].to_numpy()[first].sum())],
-            "known": [*np.bincount(at, weights=c > 0, minlength=n_rows).astype(np.int64).tolist(), int(first.sum())],
+            "tokens": [*tokens, int(known["n"].to_numpy()[first].sum())],
+            "known": [*found, int(first.sum())],
             "logs": [*logs.tolist(), 0.0],
             "score": [*(np.concatenate(chunks).tolist() if chunks else []), 0.0],
         }
@@ -280,6 +431,9 @@ def score_texts(docs: DataFrame, doc_id: str, text: str, training: str) -> DataF
     )
 
 
+#: Kinds of rows by which blocks ask.
+WORD, LOWEST, WINDOWS = range(3)
+
 SCORED = "doc_id long, of_corpus boolean, tokens long, known long, logs double, score double"
 SCORED_SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("of_corpus", pa.bool_()), ("tokens", pa.int64()), ("known", pa.int64()),

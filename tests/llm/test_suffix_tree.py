@@ -102,3 +102,25 @@ def test_nothing_to_learn_from(odd_docs):
     empty = next(r for r in got if r.doc_id == 4)
     assert empty.score == pytest.approx(-math.log10(256), rel=1e-5)
     assert empty.train_tokens == 0 and empty.n_known == 0 and empty.base_score == 0
+
+
+def test_spread_states_score_as_the_whole_tree(corpus, monkeypatch):
+    model = build(window_counts(corpus, "text", "learn")[0])
+    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 3000)
+    rows = corpus.collect()
+    got = {r.doc_id: r.score for r in score_texts(corpus, "doc_id", "text", "learn").collect()}
+    want = model.score([r.text.encode() for r in rows])
+    np.testing.assert_allclose([got[r.doc_id] for r in rows], want, rtol=1e-5)
+
+
+def test_a_rare_context_stays_in_a_large_corpus(spark):
+    # "qzv" is followed by "k" in 3 of 4 million places; a share of 2e-6 asked for 8.
+    filler = prose(3, 2000)
+    rows = [(i, filler, True) for i in range(400)] + [(1000 + i, "qzvk", True) for i in range(3)]
+    docs = spark.createDataFrame([*rows, (2000, "qzvk", False), (2001, "qzvt", False)], "doc_id long, text string, learn boolean")
+    got = {r.doc_id: r.score for r in score_texts(docs, "doc_id", "text", "learn").where("doc_id >= 2000").collect()}
+    assert got[2000] > got[2001] + 2
+    places = sum(len(t) + 1 for _, t, _ in rows)
+    assert 2e-6 * places > 3
+    # Three of "q", each "z", "v", "k" and the end after it: the first letter only is a surprise.
+    assert got[2000] > math.log10(3 / places) - 1.5
