@@ -37,9 +37,12 @@ INLINE = frozenset(
     "samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg iframe object textarea title select option".split())
+RAW = frozenset("script style noscript template iframe textarea title select option".split())
 HIDDEN = frozenset("script style noscript template svg iframe object head title textarea select option button".split())
 
+#: What a head may hold; anything else, text too, ends it if its end tag is left out.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript template".split())
+
 #: An opening tag of these closes an open element of the same kind (its end tag may be left out).
 SELF_CLOSING = {
     "p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -51,8 +54,11 @@ ENDS_PARAGRAPH = frozenset(
     "header hr main menu nav ol p pre section table ul".split()
 )
 
+#: Hold no blocks: the next block ends them if their end tag is left out.
+NO_BLOCKS = frozenset("button option".split())
+
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object|textarea|title|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|textarea|title|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
     re.S | re.I,
 )
@@ -98,11 +104,14 @@ def blocks(page: str | None) -> list[Block]:
         return any(tag in HIDDEN for tag, _ in path)
 
     for tag in _TAG.finditer(page):
+        name = (tag[3] or "").lower()
+        if stack and stack[-1][0] == "head" and (page[at:tag.start()].strip() or name and not tag[2] and name not in IN_HEAD):
+            stack.pop()
+            path = tuple(stack)
         if tag.start() > at and not hidden():
             pieces.append(page[at:tag.start()])
             linked += (tag.start() - at) * (in_link > 0)
         at = tag.end()
-        name = (tag[3] or "").lower()
         if not name:
             continue
         if name == "a":
@@ -118,11 +127,16 @@ def blocks(page: str | None) -> list[Block]:
                 del stack[open_at:]
         else:
             ended = SELF_CLOSING.get(name, set()) | ({"p"} if name in ENDS_PARAGRAPH else set())
+            if name in ENDS_PARAGRAPH or name in SELF_CLOSING or name in NO_BLOCKS:
+                open_at = next((k for k, (of, _) in enumerate(stack) if of in NO_BLOCKS), len(stack))
+                del stack[open_at:]
             while stack and stack[-1][0] in ended:
                 stack.pop()
             if name not in VOID and not (tag[4] or "").endswith("/"):
                 stack.append((name, _names(tag[4])))
         path = tuple(stack)
+    if stack and stack[-1][0] == "head" and page[at:].strip():
+        path = path[:-1]
     if not hidden():
         pieces.append(page[at:])
     close()

@@ -95,3 +95,20 @@ def test_driver_pages(spark):
         inner = re.sub(r"</?b>", "", inner)
         assert r.text == " ".join(entities.unescape(re.sub(r"<[^>]*>", " ", inner)).split())
         assert r.n_chars == len(r.text)
+
+
+def test_self_closed_icons():
+    got = blocks("<p>a <svg class='i'/> b</p><object data=x /><p>c</p><svg><title>t</title><path d=''/><text>no</text></svg><p>d</p>")
+    assert [b.text for b in got] == ["a", "b", "c", "d"]
+
+
+def test_head_without_end_tag():
+    for start in ("<head><title>t</title><meta name=a><body>", "<head><title>t</title>", "<html><head><link href=x>\n"):
+        assert [b.text for b in blocks(start + "<p>a</p>b")] == ["a", "b"]
+    assert [b.text for b in blocks("<head><title>t</title>text")] == ["text"]
+    assert [b.text for b in blocks("<head><title>t</title><b>x</b> y")] == ["x y"]
+
+
+def test_unclosed_button_and_option():
+    assert [b.text for b in blocks("<div><button>Send<p>a</p><p>b</p></div>c")] == ["a", "b", "c"]
+    assert [b.text for b in blocks("<div><datalist><option>x<option>y<p>a</p></datalist></div>")] == ["a"]
