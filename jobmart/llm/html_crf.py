@@ -197,6 +197,11 @@ def is_article(block: Block) -> bool:
     return not any(w in FURNITURE for _, names in block.path[inside:] for w in names)
 
 
+def has_landmark(page: list[Block]) -> bool:
+    """Whether the page says where its article is; of others no label is known."""
+    return any(tag in ("article", "main") for block in page for tag, _ in block.path)
+
+
 def variants(page: list[Block], rng: random.Random) -> Iterator[tuple[list[Block], list[int]]]:
     """A labelled page as it is, with furniture of a kind it may lack, and with its landmarks renamed."""
     labels = [int(is_article(b)) for b in page]
@@ -275,7 +280,7 @@ class Chain:
 def train(pages: list[list[Block]], seed: int = 5) -> Chain:
     """Stochastic gradient ascent (AdaGrad) on the penalised log-likelihood of the labelled pages."""
     rng = random.Random(seed)
-    data = [v for page in pages if page for v in variants(page[:SAMPLE_BLOCKS], rng)]
+    data = [v for page in pages if has_landmark(page[:SAMPLE_BLOCKS]) for v in variants(page[:SAMPLE_BLOCKS], rng)]
     model = Chain()
     for page, _ in data:
         for block in page:
@@ -304,12 +309,12 @@ def train(pages: list[list[Block]], seed: int = 5) -> Chain:
 
 
 def fit(pages: DataFrame, column: str = "html") -> Chain:
-    """A chain trained on SAMPLE_PAGES pages at most, taken evenly from the table."""
+    """A chain trained on SAMPLE_PAGES different pages with a landmark at most, those of the lowest hashes."""
     prepare(pages.sparkSession)
-    total = pages.count()
-    share = min(1.0, 2 * SAMPLE_PAGES / max(1, total))
-    drawn = pages.select(column).where(F.col(column).isNotNull()).sample(fraction=share, seed=3).limit(SAMPLE_PAGES)
-    return train([blocks(r[0]) for r in drawn.collect()])
+    marked = pages.where(F.col(column).rlike(r"(?i)<(article|main)[\s>]")).select(F.xxhash64(column).alias("hash"), F.col(column).alias("page"))
+    lowest = [r[0] for r in marked.select("hash").distinct().orderBy("hash").limit(SAMPLE_PAGES).collect()]
+    drawn = marked.where(F.col("hash").isin(lowest)).groupBy("hash").agg(F.first("page").alias("page")).collect()
+    return train([blocks(r["page"]) for r in sorted(drawn, key=lambda r: r["hash"])])
 
 
 def main_text(spark: SparkSession, model: Chain) -> Callable[[Column], Column]:

@@ -112,3 +112,13 @@ def test_head_without_end_tag():
 def test_unclosed_button_and_option():
     assert [b.text for b in blocks("<div><button>Send<p>a</p><p>b</p></div>c")] == ["a", "b", "c"]
     assert [b.text for b in blocks("<div><datalist><option>x<option>y<p>a</p></datalist></div>")] == ["a"]
+
+
+def test_pages_without_landmark_teach_nothing(spark):
+    plain = [page(k).replace("<article>", "<div class='entry'>").replace("</article>", "</div>") for k in range(300, 360)]
+    some = [blocks(page(k)) for k in range(60)]
+    assert (train(some + [blocks(p) for p in plain]).emit == train(some).emit).all()
+    # Sorted by site, the layout of the last pages is learned too.
+    rows = [(k, page(k)) for k in range(400)] + [(k, page(k).replace("article", "main").replace("<p>", "<p class='late'>")) for k in range(400, 800)]
+    table = spark.createDataFrame(rows, "page_id long, html string").coalesce(4)
+    assert "named=late" in fit(table).index
