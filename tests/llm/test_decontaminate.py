@@ -105,3 +105,36 @@ def test_every_planted_passage(spark):
 def test_no_python_in_the_plan(spark, benchmark, odd_docs):
     plan = leaks(odd_docs, benchmark)._jdf.queryExecution().optimizedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_changed_passages(spark):
+    words = prose(400, 38).split()
+    item = spark.createDataFrame(
+        [(1, " ".join(words)), (2, " ".join(prose(401, 30).split())), (3, prose(402, 100))], "item_id long, text string")
+    swapped, long = prose(401, 30).split(), prose(402, 100).split()
+    swapped[10], swapped[20] = "other", "words"
+    docs = spark.createDataFrame([
+        (1, around(11, " ".join([*words[:19], "inserted", *words[19:]]))),
+        (2, around(12, " ".join([*words[:19], *words[20:]]))),
+        (3, around(13, " ".join([*words[:19], "two", "names", *words[20:]]))),
+        (4, around(14, " ".join(swapped))),
+        (5, around(15, " ".join(long[30:70]))),
+        (6, around(16, " ".join(long[30:42]))),
+    ], "doc_id long, text string")
+    got = found(docs, item)
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 3)}
+    assert (got[1, 1].first_word, got[1, 1].n_words) == (50, 39)
+
+
+def test_dense_items_by_their_words(spark):
+    item = spark.createDataFrame([
+        (1, "12 + 7 = 19 and 30 - 4 = 26 and 8 * 9 = 72"), (2, "we met Anna, Bert, Carla, Dora, Emil, Frida, Gustav, Hanna, Ida and Jonas"),
+        (3, "12 15 18 21 24"),
+    ], "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, around(21, "12 + 7 = 19 and 30 - 4 = 26 and 8 * 9 = 72")),
+        (2, around(22, "we met Anna, Bert, Carla, Dora, Emil, Frida, Gustav, Hanna, Ida and Jonas")),
+        (3, around(23, "12 15 18 21 24")), (4, around(24, "13 + 5 = 18 and 31 - 3 = 28 and 5 * 9 = 45")), (5, around(25, "11 14 17 20 23")),
+    ], "doc_id long, text string")
+    got = found(docs, item)
+    assert set(got) == {(1, 1), (2, 2), (3, 3)} and all(r.verbatim and r.coverage == 1.0 for r in got.values())
