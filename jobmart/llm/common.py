@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.session import work_dir
+from jobmart.sources.tables import delete_folder
 
 #: Rows of whole texts that travel to Python in one batch: bounds a worker's memory.
 BATCH_ROWS = 500
@@ -42,7 +43,15 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as a table in the shared folder: evaluated once, and safe from lost executors."""
     path = work_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._folder = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``written`` returned and nothing reads any more."""
+    for table in tables:
+        delete_folder(table.sparkSession, table._folder, table._folder.rsplit("/", 1)[0])
 
 
 def row_hash(doc_id: str, text: str) -> Column:
@@ -55,27 +64,29 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
-#: Bits of a bitmap of rows (1 MB). With more rows than bits it names nearly all, and saves less.
-BITMAP_BITS = 1 << 23
+#: Bits of a bitmap for each row in it, and most bits of it (32 MB).
+BITS_A_ROW, MOST_BITS = 16, 1 << 28
 
 
 def row_bitmap(rows: DataFrame, key: str) -> Broadcast:
-    """The slots of the keys (longs) of ``rows`` as packed bits: always 1 MB, however many rows.
+    """The slots of the keys (longs) of ``rows`` (a written table) as packed bits: a bit in sixteen is set, or fewer.
 
     It lets a scan of texts skip most rows that are not wanted; what it lets through is joined exactly.
+    Its size follows the number of rows up to MOST_BITS; with more rows it lets more through and saves less.
     """
-    slot = F.pmod(F.col(key), F.lit(BITMAP_BITS)) + 1  # Spark numbers the bits of buckets from 1
+    size = 1 << min(MOST_BITS.bit_length() - 1, max(15, (BITS_A_ROW * rows.count()).bit_length()))
+    slot = F.pmod(F.col(key), F.lit(size)) + 1  # Spark numbers the bits of buckets from 1
     parts = rows.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit")) \
         .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    bitmap = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for bucket, bits in parts.collect():  # at most BITMAP_BITS / 32768 rows
+    bitmap = np.zeros(size // 8, np.uint8)
+    for bucket, bits in parts.toLocalIterator():  # at most size / 32768 rows of 4 KB
         bitmap[(bucket - 1) * len(bits):bucket * len(bits)] = np.frombuffer(bytes(bits), np.uint8)
     return rows.sparkSession.sparkContext.broadcast(bitmap)
 
 
 def marked_rows(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys have their slot set."""
-    slot = keys % BITMAP_BITS
+    slot = keys % (8 * len(bitmap))
     return (bitmap[slot >> 3] >> (slot & 7) & 1).astype(bool)
 
 

@@ -48,12 +48,12 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def survivors(docs: DataFrame, text: str = "text") -> Broadcast:
-    """Bitmap of the (length, prefix hash) pairs that several rows share; 1 MB at any input size."""
+    """Bitmap of the (length, prefix hash) pairs that several rows share."""
     shapes = docs.select(text).mapInArrow(_shapes, "length long, prefix long, slot long")
     sizes = shapes.groupBy("length", "prefix", "slot").count()
     by_length = sizes.groupBy("length").agg(F.sum("count").alias("rows"))
     left = sizes.where("count > 1").join(by_length.where("rows > 1"), "length", "left_semi")
-    return row_bitmap(left, "slot")
+    return row_bitmap(written(left.select("slot"), "exact-survivors"), "slot")
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hash_all: bool = False) -> DataFrame:

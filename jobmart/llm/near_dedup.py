@@ -2,12 +2,15 @@
 
 Two small collections of bands are computed; the table keys are all pairs of a band of the first and a
 band of the second, so that HALF * HALF tables need 2 * HALF bands. Two sets of Jaccard similarity s
-meet in a table with probability (1 - (1 - s ** ROWS) ** HALF) ** 2: 0.99993 at 0.8, 0.02 at 0.1.
-
-Equal sets are one class and enter the search once. Within a table no pairs are listed: each class is
-compared to one central class first, and then classes in different components to pivots, in rounds,
-until every pair that shares a table is in one component, was compared, or is ruled out by exact
-bounds. So the search ends with the components of all candidate links without listing a group's pairs.
+meet in a table with probability (1 - (1 - s ** ROWS) ** HALF) ** 2: 0.9999 at 0.8, 0.72 at 0.5, 0.10 at 0.3.
+
+Equal sets are one class and enter the search once. Within a table no pairs are listed. Every class is compared
+to the most central class of each of its tables, its center, on full sets. What a class has more and less
+than a center is its difference; two classes around one center have a similarity that follows from
+the sizes of their differences and of what these share. So those near the center are linked with it, and a pair
+of which one is not can be linked only if both differences share more than a number of shingles that is known
+beforehand. A prefix join over the differences, rarest shingles first, finds the pairs that can, and those are
+compared on full sets. No pair that shares a table and may be linked is left out.
 """
 
 from __future__ import annotations
@@ -17,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobmart.llm.common import marked_rows, prepare, row_bitmap, row_hash, same, without_rows, written
+from jobmart.llm.common import discard, marked_rows, prepare, row_bitmap, row_hash, same, without_rows, written
 from jobmart.llm.components import components
 from jobmart.llm.words import hashes, words
 
@@ -28,11 +31,7 @@ from jobmart.llm.words import hashes, words
 SHINGLE_WORDS, PERCENT = 5, 80
 
 #: Bands in each of the two collections, and minhashes in a band.
-HALF, ROWS = 10, 2
-
-#: Pivots per table in the first round; each further round takes PIVOT_GROWTH times as many, so that
-#: rounds stay few. Pairs that are ruled out are not made, whatever the number of pivots.
-PIVOTS, PIVOT_GROWTH = 16, 32
+HALF, ROWS = 14, 3
 
 _U = np.uint64
 
@@ -46,7 +45,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_SEEDS = _mix(np.arange(1, 2 * HALF * ROWS + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
+_SEEDS = _mix(np.arange(1, 4 * HALF * ROWS + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
+
+#: Each minhash is the least of ``x * factor + shift`` over a set's hashes, which are scrambled already.
+_FACTORS, _SHIFTS = _SEEDS[::2] | _U(1), _SEEDS[1::2]
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -82,9 +84,9 @@ def bands(sets: list[np.ndarray]) -> np.ndarray:
     starts = np.cumsum([0, *map(len, sets)])[:-1]
     out = np.empty((len(sets), 2 * HALF), np.uint64)
     for band in range(2 * HALF):
-        key = np.full(len(sets), _SEEDS[band])
-        for seed in _SEEDS[band * ROWS:(band + 1) * ROWS]:
-            key = _mix(key + np.minimum.reduceat(_mix(values ^ seed), starts))
+        key = np.full(len(sets), _SHIFTS[band])
+        for k in range(band * ROWS, (band + 1) * ROWS):
+            key = _mix(key + np.minimum.reduceat(values * _FACTORS[k] + _SHIFTS[k], starts))
         out[:, band] = key
     return out
 
@@ -117,21 +119,21 @@ def _repeated(rows: DataFrame, key: str) -> DataFrame:
 
 
 def tables(classes: DataFrame) -> DataFrame:
-    """(bucket, one, two, node): the tensored tables, without entries that stand alone.
+    """(bucket, node): the tensored tables, without entries that stand alone.
 
-    ``one`` and ``two`` are the bands that make up the table's key. A band that nobody shares can be part
-    of no shared pair, so it is left out before pairs are formed.
+    A band that nobody shares can be part of no shared pair, so it is left out before pairs are formed.
     """
     band = classes.select("node", F.posexplode("bands").alias("k", "band"))
-    entry = F.struct("k", "band")
+    entry = F.col("band")
     left = _repeated(band, "band").groupBy("node").agg(  # HALF values at most in each
         F.collect_list(F.when(F.col("k") < HALF, entry)).alias("first"),
         F.collect_list(F.when(F.col("k") >= HALF, entry)).alias("second"),
     )
-    pairs = left.select("node", F.explode("first").alias("a"), "second") \
-        .select("node", "a", F.explode("second").alias("b")) \
-        .select(F.xxhash64("a.band", "b.band").alias("bucket"), F.col("a.k").alias("one"), F.col("b.k").alias("two"), "node")
-    return _repeated(written(pairs, "near-pairs"), "bucket")
+    pairs = left.select("node", F.explode("first").alias("a"), "second").select("node", "a", F.explode("second").alias("b"))
+    entries = written(pairs.select(F.xxhash64("a", "b").alias("bucket"), "node"), "near-entries")
+    members = written(_repeated(entries, "bucket"), "near-tables")
+    discard(entries)
+    return members
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, text: str, size: int, doc_id: str) -> DataFrame:
@@ -150,28 +152,41 @@ def full_sets(docs: DataFrame, classes: DataFrame, text: str, size: int, doc_id:
     return found.join(classes.select("row", "node"), "row").dropDuplicates(["node"]).select("node", "shingles")
 
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, common, all): sizes of the intersection and union of the pairs' full sets."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("left").alias("x"), F.size("right").alias("y"),
-                                                         F.size(F.array_intersect("left", "right")).alias("common"))
-    return both.select("a", "b", "common", (F.col("x") + F.col("y") - F.col("common")).alias("all"))
+def around_centers(members: DataFrame) -> DataFrame:
+    """(center, node): each class with the center of each of its tables, once.
 
-
-def _similar(percent: int) -> Column:
-    return 100 * F.col("common") >= percent * F.col("all")
+    A table's center is the class that meets most others in all its tables.
+    """
+    sizes = members.groupBy("bucket").count()
+    weights = members.join(sizes, "bucket").groupBy("node").agg(F.sum("count").alias("weight"))
+    best = members.join(weights, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("best"))
+    return members.join(best, "bucket").select(F.col("best.node").alias("center"), "node").where("node != center").distinct()
 
 
-def centers(members: DataFrame) -> DataFrame:
-    """(node, center): of all pivots in a node's tables the most central one, which may be itself.
+def differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(center, node, slack, height, apart): what each class has less and more than its center, on full sets.
 
-    A table's pivot is the node that meets most others in all its tables.
+    With c shingles in the center, l missing and e further ones in a class, two classes share
+    c - l - l' - e + the number of shingles in both differences. So for a similarity of ``percent`` the differences
+    must share (height + height' - slack) / (100 + percent) shingles, height being 100 l + percent e and
+    slack (100 - percent) c. The center itself has height 0.
     """
-    sizes = members.groupBy("bucket").count()
-    weights = members.join(sizes, "bucket").groupBy("node").agg(F.sum("count").alias("weight"))
-    best = members.join(weights, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("pivot"))
-    return members.join(best, "bucket").groupBy("node").agg(F.max("pivot").alias("pivot")).select("node", F.col("pivot.node").alias("center"))
+    middle = sets.select(F.col("node").alias("center"), F.col("shingles").alias("middle"))
+    both = pairs.join(middle, "center").join(sets, "node") \
+        .select("center", "node", F.size("middle").alias("c"), F.array_except("middle", "shingles").alias("less"),
+                F.array_except("shingles", "middle").alias("more"))
+    height = 100 * F.size("less").cast("long") + percent * F.size("more")
+    return both.select("center", "node", ((100 - percent) * F.col("c").cast("long")).alias("slack"), height.alias("height"),
+                       F.concat("less", "more").alias("apart"))
+
+
+def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) whose full sets are similar enough."""
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    both = pairs.join(left, "a").join(right, "b").select(
+        "a", "b", (F.size("left") + F.size("right")).cast("long").alias("n"), F.size(F.array_intersect("left", "right")).alias("common"))
+    return both.where((100 + percent) * F.col("common") >= percent * F.col("n")).select("a", "b")
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -180,62 +195,63 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     two = labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
     across = links.join(one, "a").join(two, "b").where("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     across = written(across, "near-bridges")
-    if across.isEmpty():
-        return labels
     further = components(across).select(F.col("node").alias("label"), F.col("label").alias("further"))
-    return written(labels.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label")), "near-labels")
-
+    merged = written(labels.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label")), "near-labels")
+    discard(across)
+    return merged
 
-def _first_shared(mine: str, other: str, start: int) -> Column:
-    """Index of the first band of a collection that two classes share."""
-    equal = F.zip_with(F.slice(mine, start + 1, HALF), F.slice(other, start + 1, HALF), lambda x, y: x == y)
-    return F.array_position(equal, True).cast("int") - 1 + start
 
+def possible(apart: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b): classes around one center, in different components, that may be linked.
 
-def linked(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, label) of ``nodes`` (node, n, bands): components of the verified links within ``members``.
-
-    First each class is compared to its center only, which settles most groups. In further rounds the
-    classes of a table that are in different components are compared to pivots. A pair is compared in
-    the first table it shares only, and not if the sizes or the distances to a common center rule a
-    link out: Jaccard distance is a metric, so |d(x, c) - d(y, c)| <= d(x, y).
+    Of such a pair at least the higher one is not linked with the center, so it probes with its prefix the
+    prefixes of all others. The rarest shingles of a difference come first; two differences that share k of
+    their shingles meet within the first (size - k + 1) of both, and at their first meeting have k - 1 more to
+    come. Shingles of one difference only take places, and travel no further.
     """
-    far = 1 - percent / 100 + 1e-9
-    center = written(centers(members), "near-centers")
-    pairs = center.where("node != center").select(F.col("node").alias("a"), F.col("center").alias("b"))
-    tested = written(compared(pairs, sets), "near-compared")
-    apart = tested.select(F.col("a").alias("node"), (1 - F.col("common") / F.col("all")).alias("apart"))
-    known = written(
-        nodes.join(center, "node").join(apart, "node", "left").withColumn("apart", F.coalesce("apart", F.lit(0.0))), "near-known"
-    )
-    labels = written(members.select("node", F.col("node").alias("label")).distinct(), "near-labels")
-    labels = _merged(labels, tested.where(_similar(percent)).select("a", "b"))
-    pending, pivots_per_table = members, PIVOTS
-    while True:
-        labelled = pending.join(labels, "node")
-        open_tables = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
-            .where("low < high").select("bucket")
-        labelled = written(labelled.join(open_tables, "bucket", "left_semi").join(known, "node"), "near-members")
-        part = F.pmod(F.xxhash64("node"), F.lit(pivots_per_table))
-        # High labels first: most of a table usually belongs to one component with a low label.
-        pivots = labelled.groupBy("bucket", part.alias("part")).agg(F.max(F.struct("label", "node")).alias("p")) \
-            .select("bucket", F.col("p.label").alias("p_label"), F.col("p.node").alias("pivot"))
-        about = known.select(*(F.col(c).alias(f"p_{c}") for c in known.columns))
-        pivots = written(pivots.join(about, pivots["pivot"] == about["p_node"]).drop("p_node"), "near-pivots")
-        if pivots.isEmpty():
-            return labels
-        possible = (F.col("label") != F.col("p_label")) & (100 * F.least("n", "p_n") >= percent * F.greatest("n", "p_n")) \
-            & ((F.col("center") != F.col("p_center")) | (F.abs(F.col("apart") - F.col("p_apart")) <= far)) \
-            & (F.col("node") != F.col("p_center")) & (F.col("pivot") != F.col("center")) \
-            & (_first_shared("bands", "p_bands", 0) == F.col("one")) & (_first_shared("bands", "p_bands", HALF) == F.col("two"))
-        pairs = labelled.join(pivots, "bucket").where(possible) \
-            .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        links = compared(written(pairs, "near-candidates"), sets).where(_similar(percent)).select("a", "b")
-        labels = _merged(labels, links)
-        # A pivot has been compared to all it was not yet joined with in its table.
-        pending = labelled.join(pivots.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti") \
-            .select(*members.columns)
-        pivots_per_table *= PIVOT_GROWTH
+    whole = 100 + percent
+    labelled = apart.join(labels, "node")
+    mixed = labelled.groupBy("center").agg(
+        F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.col("height") - F.col("slack")).alias("over"),
+    ).where("n > 1 AND low < high AND over > 0").select("center")
+    searched = labelled.join(mixed, "center", "left_semi")
+    searched = written(searched.withColumn("size", F.size("apart").cast("long")), "near-searched")
+    places = searched.select("center", "node", F.explode("apart").alias("shingle"))
+    counts = places.groupBy("center", "shingle").count().where("count > 1")
+    own = Window.partitionBy("center", "node")
+    ordered = places.join(counts, ["center", "shingle"]) \
+        .withColumns({"rank": F.row_number().over(own.orderBy("count", "shingle")), "shared": F.count("*").over(own)}) \
+        .join(searched.drop("apart"), ["center", "node"]) \
+        .withColumn("place", F.col("size") - F.col("shared") + F.col("rank"))
+    # A lower class meets one that is at least as high and higher than the slack; a probe one that is not too small.
+    least_met = F.ceil(F.greatest(F.col("height"), 2 * F.col("height") - F.col("slack")) / whole)
+    least_probed = F.ceil((F.col("height") - F.col("slack")) / 100)
+    ordered = written(ordered.select(
+        "center", "shingle", "node", "label", "slack", "height", "size", "place",
+        (F.col("place") <= F.col("size") - F.greatest(least_met, F.lit(1)) + 1).alias("met"),
+        ((F.col("height") > F.col("slack")) & (F.col("place") <= F.col("size") - F.greatest(least_probed, F.lit(1)) + 1)).alias("probes"),
+    ).where("met OR probes"), "near-prefixes")
+    low = ordered.where("met").select("center", "shingle", *(F.col(c).alias(f"low_{c}") for c in ("node", "label", "height", "size", "place")))
+    to_come = F.least(F.col("size") - F.col("place"), F.col("low_size") - F.col("low_place")) + 1
+    fits = (F.col("label") != F.col("low_label")) & (F.struct("height", "node") > F.struct("low_height", "low_node")) \
+        & (whole * to_come >= F.col("height") + F.col("low_height") - F.col("slack"))
+    pairs = ordered.where("probes").join(low, ["center", "shingle"]).where(fits)
+    pairs = written(pairs.select(F.least("node", "low_node").alias("a"), F.greatest("node", "low_node").alias("b")).distinct(), "near-candidates")
+    discard(searched, ordered)
+    return pairs
+
+
+def linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, label) of the ``members`` of tables: components of all verified links between classes that share one."""
+    pairs = written(around_centers(members), "near-centers")
+    apart = written(differences(pairs, sets, percent), "near-differences")
+    discard(pairs)
+    alone = sets.select("node", F.col("node").alias("label"))
+    near = _merged(alone, apart.where("height <= slack").select(F.col("center").alias("a"), F.col("node").alias("b")))
+    candidates = possible(apart, near, percent)
+    labels = _merged(near, similar(candidates, sets, percent))
+    discard(apart, near, candidates)
+    return labels
 
 
 def near_groups(
@@ -251,17 +267,18 @@ def near_groups(
     rows = written(signatures(docs, doc_id, text, size), "near-signatures")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     equal = rows.where("n_shingles > 0").groupBy("set_id").agg(
-        F.min(place).alias("low"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+        F.min(place).alias("low"), F.first("bands").alias("bands")
     )
     classes = written(
-        equal.select(F.monotonically_increasing_id().alias("node"), "set_id", "low", F.col("low.row").alias("row"), "n", "bands"),
+        equal.select(F.monotonically_increasing_id().alias("node"), "set_id", "low", F.col("low.row").alias("row"), "bands"),
         "near-classes",
     )
-    members = written(tables(classes), "near-tables")
+    members = tables(classes)
     candidates = classes.join(members.select("node").distinct(), "node", "left_semi")
-    candidates = written(candidates.select("node", "row", "n", "bands"), "near-nodes")
+    candidates = written(candidates.select("node", "row"), "near-nodes")
     sets = written(full_sets(docs, candidates, text, size, doc_id), "near-sets")
-    labels = linked(members, candidates.drop("row"), sets, percent)
+    labels = linked(members, sets, percent)
+    discard(members, candidates, sets)
     first = classes.join(labels, "node").groupBy("label").agg(F.min("low").alias("first"))
     # Landed, so that Spark can split the classes of a component that holds many.
     first = written(first, "near-first")

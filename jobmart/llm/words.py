@@ -10,9 +10,11 @@ import xxhash
 
 def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words ``[^\\x20\\x09-\\x0D]+`` of all texts one after another, A-Z lower-cased, and the row of each."""
+    if texts.offset:  # Arrow lower-cases the wrong bytes of a slice after a cast
+        texts = texts.take(pa.array(np.arange(len(texts))))
     lowered = pc.ascii_trim_whitespace(pc.ascii_lower(texts.fill_null("").cast(pa.large_string())))
     split = pc.ascii_split_whitespace(lowered)
-    flat, rows = split.flatten(), pc.list_parent_indices(split).to_numpy()
+    flat, rows = split.flatten(), np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
     real = pc.not_equal(flat, "")  # a text without words
     return flat.filter(real), rows[real.to_numpy(zero_copy_only=False)]
 

@@ -1,7 +1,9 @@
+import itertools
 import random
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 
 from jobmart.llm import near_dedup
@@ -71,15 +73,53 @@ def test_same_as_brute_force(copies, size):
     assert got.where("kept != (doc_id = component_id)").count() == 0
 
 
-def test_rounds_of_pivots(copies, monkeypatch):
-    # Weak bands: many classes that are not linked share tables and have to be told apart.
-    monkeypatch.setattr(near_dedup, "PIVOTS", 1)
-    monkeypatch.setattr(near_dedup, "PIVOT_GROWTH", 2)
+def test_weak_bands(copies):
+    # Single words at 60 percent: many classes that are not linked share tables and have to be told apart.
     rows = [tuple(r) for r in copies.collect()]
     got = near_groups(copies, size=1, percent=60)
     assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == expected(rows, 1, 60)
 
 
+def test_many_copies_just_under_the_bound(spark, monkeypatch):
+    """3,000 copies, each with 4 words of its own at 4 of 49 places whose shingles do not overlap.
+
+    Copies with 3 places in common have a similarity of 0.816, with 2 of 0.783, with none of 0.72.
+    """
+    rng, base = random.Random(9), prose(5, 200).split()
+    places, rows = [], []
+    for k in range(3000):
+        places.append(sorted(rng.sample(range(4, 200, 4), 4)))
+        own = list(base)
+        for p in places[-1]:
+            own[p] = f"own{k}x{p}"
+        rows.append((k, " ".join(own)))
+    of, seen = list(range(3000)), {}
+
+    def root(i):
+        while of[i] != i:
+            i = of[i]
+        return i
+
+    for k, own in enumerate(places):
+        for three in itertools.combinations(own, 3):
+            low, high = sorted((root(k), root(seen.setdefault(three, k))))
+            of[high] = low
+    want = {k: root(k) for k in range(3000)}
+    assert 100 < len(set(want.values())) < 3000
+    looked_at = []
+    keep = near_dedup.similar
+
+    def counted(pairs, sets, percent):
+        looked_at.append(pairs.count())
+        return keep(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "similar", counted)
+    got = near_groups(spark.createDataFrame(rows, "doc_id long, text string"), size=4)
+    found = dict(got.select("doc_id", "component_id").collect())
+    assert found == want
+    assert looked_at[0] < 3000 * 2999 / 2 / 5  # copies that share two places are hard to tell apart beforehand
+
+
 def test_odd_rows(odd_docs, clashing_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     want = expected(rows, 4)
@@ -110,3 +150,18 @@ def test_components_of_a_path(spark):
 
 def test_no_rows(no_docs):
     assert near_groups(no_docs).count() == drop_near_duplicates(no_docs).count() == 0
+
+
+def test_components_of_odd_edges(spark):
+    schema = "a long, b long"
+    assert components(spark.createDataFrame([], schema)).count() == 0
+    edges = spark.createDataFrame([(1, 1), (2, None), (None, 3), (None, None), (5, 4), (5, 4), (4, 5)], schema)
+    assert sorted(map(tuple, components(edges).collect())) == [(1, 1), (4, 4), (5, 4)]
+
+
+def test_words_of_a_slice(odd_docs):
+    texts = pa.array([r.text for r in odd_docs.collect()])
+    whole = near_dedup.shingle_sets(texts, 4)
+    for start in (1, 7):
+        part = near_dedup.shingle_sets(texts.slice(start), 4)
+        assert all((a == b).all() for a, b in zip(whole[start:], part, strict=True))
