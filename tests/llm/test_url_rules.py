@@ -1,0 +1,104 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from jobmart.llm.queries import SITES
+from jobmart.llm.url_rules import PATTERNS, allowed, indexed, judged, pattern_rule, rule_table, rules_of, site_rule
+
+URLS = [
+    "https://Example.ORG/es/1", "https://sub.example.org/en/12?x#y", "http://example.org/en/2", "http://example.org", "http://myexample.org/es/",
+    "http://example.com/fr/a", "http://example.com/de/a", "http://com/de/x", "http://xcom/de/x", "ftp://www.cheap-pills.net/x", "no url", None, "",
+    "://", "http://ads-track.example.net/a", "http://a.ads-track.net/robots.txt", "http://b.net/login", "http://b.net/login/help/x", "http://b.net/loginx",
+    "http://b.net/tag/x/page/2", "http://b.net/tag/page", "http://b.net/search?q=1", "http://b.net/feed/", "http://b.net/feed/x", "http://arxiv.org/login",
+    "http://ä.org/ö?ü", "http://user@example.org:80/es/", "a://b://example.org/es/", "http://b.net/?u=http://example.org/es/", "HTTP://B.NET/LOGIN",
+    "http://b.net/a\nb/login#x", "http://x-track.net/a/pixel.gif", "http://track.net/a/pixel.gif", "http://x-track.net/pix",
+]
+
+
+def parts(url):
+    found = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
+    return ("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in found[1]), found[2]) if found else ("", "")
+
+
+def judge(url, sites, patterns):
+    host, path = parts(url)
+    best = None
+    for action, rule in sites:
+        rule_host, rule_path = rule.split("/", 1)
+        if (host == rule_host or host.endswith(f".{rule_host}")) and path.startswith(f"/{rule_path}"):
+            key = (-len(rule), action == "allow", rule)
+            best = min(best, (key, rule, action)) if best else (key, rule, action)
+    if best:
+        return host, path, best[1], None, best[2]
+    fitting = [(a == "block", -len(p), p) for a, p in patterns if re.search(plain_regex(p), host + path)]
+    if fitting:
+        blocks, _, pattern = min(fitting)
+        return host, path, None, pattern, "block" if blocks else "allow"
+    return host, path, None, None, "allow"
+
+
+def plain_regex(pattern):
+    start = r"^(.*\.)?" if pattern.startswith("||") else "^" if pattern.startswith("|") else ""
+    body = pattern.removeprefix("||") if pattern.startswith("||") else pattern.removeprefix("|")
+    end, body = ("$" if body.endswith("|") else ""), body.removesuffix("|")
+    out = "".join({"*": r"[\s\S]*", "^": r"([^0-9A-Za-z]|\Z)"}.get(c, re.escape(c)) for c in body)
+    return start + out + end.replace("$", r"\Z")
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select("host", "path", "rule", "pattern", "verdict").collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def urls(spark):
+    return spark.createDataFrame([(k, u) for k, u in enumerate(URLS + URLS[:3])], "page_id long, url string")
+
+
+@pytest.mark.parametrize("sites, patterns", [
+    (SITES, PATTERNS), (SITES, []), ([], PATTERNS), ([], [("block", "*"), ("allow", "|b*login|"), ("allow", "1")]), ([], []),
+    ([("block", "org/e"), ("allow", "org/e"), ("allow", "B.net/")], []),
+])
+def test_same_as_brute_force(spark, urls, sites, patterns):
+    want = sorted((judge(u, [(a, r.replace("B.net", "b.net")) for a, r in sites], patterns) for u in URLS + URLS[:3]), key=str)
+    got = [(h, p, r and r.replace("B.net", "b.net"), *x) for h, p, r, *x in rows_of(judged(urls, rule_table(spark, rules_of(sites, patterns))))]
+    assert sorted(got, key=str) == want
+
+
+def test_rules_are_indexed_by_their_rarest_whole_token(spark):
+    assert site_rule("block", "example.org/en/1").tokens == ("example", "org", "en")  # 1 may go on
+    assert pattern_rule("block", "-track.*/pixel").tokens == ("track",)
+    assert pattern_rule("block", "/login^").tokens == ("login",)
+    assert pattern_rule("block", "ads*").tokens == ()
+    tokens = spark.createDataFrame([("example",)] * 5 + [("org",)] * 3 + [("en",)] * 4, "token string")
+    rules = rule_table(spark, [site_rule("block", "example.org/en/1"), pattern_rule("block", "x*"), pattern_rule("allow", "/new/en/")])
+    assert {r.rule: r.token for r in indexed(rules, tokens).collect()} == {"example.org/en/1": "org", "x*": "", "/new/en/": "new"}
+
+
+def test_only_candidates_run_their_expression(spark, urls):
+    """Rules that would fail to compile are never run, as no address has their token."""
+    rules = rule_table(spark, rules_of(SITES)).unionByName(spark.createDataFrame(
+        [(False, "block", "broken", "(", ["neverseen"])], "site boolean, action string, rule string, regex string, tokens array<string>"))
+    assert judged(urls, rules).count() == len(URLS) + 3
+
+
+def test_site_rules_have_no_wildcards():
+    with pytest.raises(ValueError):
+        site_rule("allow", "a*.org/")
+
+
+def test_further_columns_and_no_rows(spark, urls):
+    rules = rule_table(spark, rules_of(SITES))
+    clashing = urls.withColumns({c: F.lit("x") for c in ("host", "token", "rule", "_best", "site", "action", "best", "regex")})
+    assert rows_of(judged(clashing.drop("_best"), rules)) == rows_of(judged(urls, rules))
+    kept = allowed(clashing, rules)
+    assert kept.columns == clashing.columns
+    assert kept.count() == judged(urls, rules).where("verdict = 'allow'").count()
+    assert judged(urls.limit(0), rules).count() == allowed(urls.limit(0), rules).count() == 0
+    assert judged(urls, rules.limit(0)).where("verdict = 'allow' AND rule IS NULL").count() == len(URLS) + 3
+
+
+def test_one_address_holds_most_rows(spark):
+    many = spark.range(5000).selectExpr("id AS page_id", "if(id % 3 = 0, concat('http://h', id, '.net/'), 'http://www.example.org/es/1') AS url")
+    got = judged(many, rule_table(spark, rules_of(SITES)))
+    assert got.count() == 5000 and got.where("rule = 'example.org/es/'").count() == 3333
