@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from threading import get_ident
+
 from pyspark.sql import functions as F
 
 from jobmart.catalog.registry import Inputs, query
@@ -209,16 +211,18 @@ def enrich_lexicon_table(src: Inputs):
 
 
 def stand_in_model():
-    """A stand-in for a model client: refuses some texts and is busy once for others."""
-    told_to_wait = set()
+    """A stand-in for a model client: refuses some texts and is busy once for others, for each call anew.
+
+    A call's tries stay in one thread, so what a thread was told last belongs to its own call.
+    """
+    told_to_wait = {}
 
     def ask(text: str) -> str:
         if len(text) % 7 == 0:
             raise ValueError("content rejected")
-        if len(text) % 5 == 0 and text not in told_to_wait:
-            told_to_wait.add(text)
+        if len(text) % 5 == 0 and told_to_wait.pop(get_ident(), None) != text:
+            told_to_wait[get_ident()] = text
             raise RuntimeError("error 429: retry after 0 seconds")
-        told_to_wait.discard(text)
         return f'{{"Tools":["words{len(text.split(" "))}"],"WorkType":"Remote"}}'
 
     return ask
@@ -244,6 +248,12 @@ def enrich_map_partitions(src: Inputs):
     return _called(src)
 
 
+@query("enrich_equal_texts_once", _CALLED)
+def enrich_equal_texts_once(src: Inputs):
+    todo = jobs_flow.backlog(src.fixture("job_descriptions"), src.fixture("enriched_seed"))
+    return enrichment.call_model_once(todo, stand_in_model())
+
+
 @query("enrich_dead_letter", f"SELECT JobId, attempts, error FROM ({_CALLED}) WHERE status <> 'ok'")
 def enrich_dead_letter(src: Inputs):
     answers = tables.land(_called(src), src.work_dir("answers"))

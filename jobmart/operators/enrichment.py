@@ -157,6 +157,20 @@ def call_model(
     )
 
 
+def call_model_once(
+    backlog: DataFrame, ask: Callable[[str], str], key: str = "JobId", text: str = "JobDescription", **settings
+) -> DataFrame:
+    """As ``call_model``, but equal descriptions are sent once and each of their rows gets the answer.
+
+    Equal texts are put together before any shuffle, so a description that many jobs share is no large
+    group; the rows meet their answer in a plain join, which Spark can split.
+    """
+    rows = backlog.select(key, text, F.coalesce(F.sha2(F.col(text), 256), F.lit("")).alias("_digest"))
+    distinct = rows.groupBy("_digest").agg(F.first(text).alias(text))
+    answers = call_model(distinct, ask, "_digest", text, **settings)
+    return rows.select(key, "_digest").join(answers, "_digest").drop("_digest")
+
+
 def dead_letters(answers: DataFrame) -> DataFrame:
     return answers.filter(F.col("status") != "ok")
 

@@ -120,7 +120,7 @@ def update_enriched(
     enriched, failures = lake.table("silver.enriched"), lake.table("silver.enrich_failures")
     if ask is not None:
         todo = enrichment.not_given_up(jobs_flow.backlog(silver, enriched), failures, as_of)
-        called = enrichment.call_model(todo, ask, **(calls or {}))
+        called = enrichment.call_model_once(todo, ask, **(calls or {}))
         answers = tables.land(called, lake.new_path("runs.answers"))
         rows = enrichment.to_lists(enrichment.parse_answers(answers.select("JobId", "response")))
         if not rows.isEmpty():
@@ -152,7 +152,7 @@ def run_jobs_hour(
     ``company_pages`` are ``(url, html)`` of companies that were looked up, with ``fetched`` if the
     pages of several lookups come together; only those of the current hour's postings count. ``ask``
     answers a description with JSON; without it nothing is enriched. ``calls`` are further arguments of
-    ``enrichment.call_model``. ``rejects`` (line) are landed lines that could not be read; they are kept.
+    ``enrichment.call_model_once``. ``rejects`` (line) are landed lines that could not be read; they are kept.
     """
     if rejects is not None and not rejects.isEmpty():
         seen_at = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")

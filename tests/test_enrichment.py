@@ -139,6 +139,44 @@ def test_calls_are_spread(spark):
     assert enrichment.call_model(jobs, lambda text: "{}").rdd.getNumPartitions() == 4
 
 
+def test_equal_texts_are_asked_once(spark):
+    jobs = spark.createDataFrame(
+        [(k, "shared" if k % 3 else None if k % 2 else f"own {k}") for k in range(60)], "JobId BIGINT, JobDescription STRING")
+    made = spark.sparkContext.accumulator(0)
+
+    def ask(text):
+        made.add(1)
+        if text is None:
+            raise ValueError("no text")
+        return text
+
+    called = enrichment.call_model_once(jobs, ask, partitions=3)
+    got = {r.JobId: (r.response, r.status) for r in called.collect()}
+    assert made.value == 12  # 10 of their own, the shared one, the missing one
+    assert got == {
+        k: ("shared", "ok") if k % 3 else (None, "failed") if k % 2 else (f"own {k}", "ok") for k in range(60)}
+    assert enrichment.call_model_once(jobs.limit(0), ask).count() == 0
+
+
+def test_stand_in_tells_each_call_once():
+    from concurrent.futures import ThreadPoolExecutor
+
+    from jobmart.catalog.enrich import stand_in_model
+
+    ask = stand_in_model()
+
+    def attempts(text):
+        try:
+            ask(text)
+            return 1
+        except RuntimeError:
+            ask(text)
+            return 2
+
+    with ThreadPoolExecutor(8) as pool:
+        assert set(pool.map(attempts, ["12345"] * 4000)) == {2}
+
+
 def test_failures_wait_longer_each_time(spark):
     at = [datetime(2024, 1, 1, h) for h in range(12)]
     jobs = spark.createDataFrame([(1, "x")], "JobId BIGINT, JobDescription STRING")
