@@ -59,8 +59,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if args.ask:
         module, function = args.ask.split(":")
         ask = getattr(importlib.import_module(module), function)
-    noted = tables.land(readers.read_noted(spark, args.landing, JOB_LANDING), lake.new_path("runs.landed"))
-    landed, rejects = readers.readable(noted), readers.rejected(noted)
+    noted = tables.land(readers.read_rescued(spark, args.landing, JOB_LANDING), lake.new_path("runs.landed"))
+    landed, rejects = readers.readable(readers.with_new_columns(noted)), readers.rejected(noted)
     pages = spark.read.parquet(args.pages) if args.pages else None
     calls = {"partitions": args.call_tasks, "in_flight": args.calls_in_flight}
     run_jobs_hour(lake, landed, as_of, pages, ask, calls, rejects)

@@ -135,6 +135,19 @@ def enrichment_scalar_as_list(src: Inputs):
     )
 
 
+@query("enrichment_unknown_keys", """
+SELECT * FROM (WITH entries AS (
+  SELECT j, unnest(json_keys(j)) AS key FROM answers_json WHERE json_type(j) = 'OBJECT'),
+typed AS (
+  SELECT key, json_type(j, concat('$."', key, '"')) AS t FROM entries
+  WHERE key NOT IN ('Tools', 'Requirements', 'Offer', 'WorkType'))
+SELECT key, CASE t WHEN 'VARCHAR' THEN 'string' WHEN 'NULL' THEN 'null' WHEN 'BOOLEAN' THEN 'boolean'
+  WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END AS type, count(*) AS n
+FROM typed GROUP BY ALL)""")
+def enrichment_unknown_keys(src: Inputs):
+    return enrichment.unknown_keys(src.fixture("enrichment_response"))
+
+
 @query("enrichment_explode_wide", """
 SELECT JobId, Tools, Requirements, Offer, WorkType, status FROM answers_wide""")
 def enrichment_explode_wide(src: Inputs):
@@ -207,6 +220,41 @@ def enrich_lexicon_table(src: Inputs):
     return enrichment.match_lexicon_table(src.fixture("job_descriptions"), lexicon)
 
 
+# The first words of each benchmark text and, as other kinds, shorter beginnings of some of them.
+_PHRASES = """
+  SELECT 'Tools' AS kind, array_to_string((string_split_regex(lower(text), '[\\s,.;:!?()|]+'))[1:4], ' ') AS phrase FROM benchmark
+  UNION ALL
+  SELECT CASE WHEN item_id % 2 = 0 THEN 'Offer' ELSE 'Requirements' END,
+    array_to_string((string_split_regex(lower(text), '[\\s,.;:!?()|]+'))[1:1 + item_id % 3], ' ') FROM benchmark"""
+
+
+@query("enrich_lexicon_phrases", f"""
+SELECT * FROM (WITH RECURSIVE listed AS MATERIALIZED (
+  SELECT DISTINCT kind, list_filter(string_split(phrase, ' '), lambda w: w <> '') AS w FROM ({_PHRASES})),
+texts AS MATERIALIZED (
+  SELECT JobId, list_filter(string_split_regex(lower(JobDescription), '[\\s,.;:!?()|]+'), lambda w: w <> '') AS w
+  FROM job_descriptions),
+places AS (SELECT JobId, w, unnest(range(1, len(w) + 1)) AS i FROM texts),
+found AS MATERIALIZED (
+  SELECT JobId, i, max(len(l.w)) AS n FROM places p JOIN (SELECT DISTINCT w FROM listed WHERE len(w) > 0) l
+  ON p.w[i] = l.w[1] AND p.w[i:i + len(l.w) - 1] = l.w GROUP BY ALL),
+taken AS (
+  SELECT JobId, min(i) AS i, arg_min(n, i) AS n FROM found GROUP BY JobId
+  UNION ALL
+  SELECT t.JobId, f.i, f.n FROM taken t, LATERAL (
+    SELECT min(g.i) AS i, arg_min(g.n, g.i) AS n FROM found g WHERE g.JobId = t.JobId AND g.i >= t.i + t.n) f
+  WHERE f.i IS NOT NULL)
+SELECT t.JobId, CAST(i - 1 AS INTEGER) AS first_word, CAST(n AS INTEGER) AS n_words, array_to_string(x.w[i:i + n - 1], ' ') AS phrase, kind
+FROM taken t JOIN texts x USING (JobId) JOIN listed l ON l.w = x.w[i:i + n - 1])""")
+def enrich_lexicon_phrases(src: Inputs):
+    words = enrichment.words(F.col("text"))
+    items = src.table("benchmark")
+    shorter = F.when(F.col("item_id") % 2 == 0, "Offer").otherwise("Requirements")
+    phrases = items.select(F.lit("Tools").alias("kind"), F.array_join(F.slice(words, 1, 4), " ").alias("phrase")).unionByName(
+        items.select(shorter.alias("kind"), F.array_join(F.slice(words, 1, (F.col("item_id") % 3 + 1).cast("int")), " ").alias("phrase")))
+    return enrichment.match_phrases(src.fixture("job_descriptions"), phrases)
+
+
 # --- model calls ------------------------------------------------------------------------------
 
 

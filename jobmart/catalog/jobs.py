@@ -52,6 +52,35 @@ def append_evolving_schema(src: Inputs):
     return tables.read_evolving(src.spark, path)
 
 
+@query("landing_new_column", """
+SELECT JobId, ExtractionDatetime, CASE WHEN EmploymentType = 'Contract' AND ExtractionDatetime >= TIMESTAMP '2024-01-15'
+  THEN concat(JobFunction, ' pay') END AS Salary, CASE WHEN ExtractionDatetime >= TIMESTAMP '2024-01-15'
+  THEN CAST(length(JobTitle) AS VARCHAR) END AS TitleLength
+FROM jobs_raw""")
+def landing_new_column(src: Inputs):
+    """Later lines have fields that the landing schema does not know, one of them in some lines only."""
+    raw, path = src.fixture("jobs_raw"), src.work_dir("bronze")
+    pay = F.when(F.col("EmploymentType") == "Contract", F.concat("JobFunction", F.lit(" pay")))
+    later = _after(raw).withColumns({"Salary": pay, "TitleLength": F.length("JobTitle")})
+    for part in (_before(raw), later):
+        landing = src.work_dir("landing")
+        part.write.option("timestampNTZFormat", readers.NTZ_FORMAT).json(landing)
+        noted = tables.land(readers.read_rescued(src.spark, landing, JOB_LANDING), src.work_dir("landed"))
+        tables.append_evolving(readers.readable(readers.with_new_columns(noted)), path)
+    return tables.read_evolving(src.spark, path).select("JobId", TS, "Salary", "TitleLength")
+
+
+@query("landing_rescued_keys", """
+SELECT 'Salary' AS key, count(*) AS n FROM jobs_raw WHERE EmploymentType = 'Contract' HAVING count(*) > 0
+UNION ALL SELECT 'title-length', count(*) FROM jobs_raw WHERE JobTitle IS NOT NULL HAVING count(*) > 0""")
+def landing_rescued_keys(src: Inputs):
+    raw, landing = src.fixture("jobs_raw"), src.work_dir("landing")
+    pay = F.when(F.col("EmploymentType") == "Contract", F.concat("JobFunction", F.lit(" pay")))
+    raw.withColumns({"Salary": pay, "title-length": F.length("JobTitle")}) \
+        .write.option("timestampNTZFormat", readers.NTZ_FORMAT).json(landing)
+    return readers.rescued_keys(readers.read_rescued(src.spark, landing, JOB_LANDING))
+
+
 @query("union_evolving_schema", f"""
 SELECT {BRONZE}, CASE WHEN ExtractionDatetime >= TIMESTAMP '2024-01-15' THEN publishdatetime END
   AS publishdatetime FROM jobs_raw""")

@@ -46,6 +46,22 @@ def parse_answers(df: DataFrame, response: str = "response") -> DataFrame:
     )
 
 
+def unknown_keys(df: DataFrame, response: str = "response") -> DataFrame:
+    """``(key, type, n)``: keys of the answers that no column takes, with the type of their values and how many there are.
+
+    ``type`` is ``number``, ``string``, ``boolean``, ``array``, ``object`` or ``null``. Answers that are no JSON object have no keys, and
+    neither has an object that names one key twice.
+    """
+    parsed = df.select(F.try_parse_json(strip_space(F.col(response))).alias("_v"))
+    # Of another value than an object the rows would be its elements.
+    objects = parsed.filter(F.schema_of_variant("_v").startswith("OBJECT"))
+    entries = objects.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_v").outer()).select("key", "value"))
+    kind = F.split(F.schema_of_variant("value"), "[<(]").getItem(0)
+    named = F.when(kind == "VOID", "null").when(kind.isin("BIGINT", "DOUBLE", "DECIMAL"), "number").otherwise(F.lower(kind))
+    unknown = entries.filter(~F.col("key").isin(*LISTS, "WorkType"))
+    return unknown.groupBy("key", named.alias("type")).agg(F.count("*").alias("n"))
+
+
 def explode_wide(parsed: DataFrame) -> DataFrame:
     """Every combination of tool, requirement and offer of a job; an empty list counts as one NULL.
 
@@ -201,6 +217,50 @@ def match_lexicon(
     return found.select(key, *(hits(n).alias(n) for n in LISTS), work_type.alias("WorkType"))
 
 
+def phrase_trie(phrases: DataFrame) -> DataFrame:
+    """``(prefix, length, longest, kinds)`` of phrases ``(kind, phrase)`` of any number: the token trie as rows.
+
+    ``prefix`` are the first ``length`` words of phrases joined by a space, ``longest`` the most words of one that goes on from
+    there, ``kinds`` the kinds of the phrases that end there (empty within phrases).
+    """
+    listed = phrases.select("kind", F.array_remove(words(F.col("phrase")), "").alias("w")).filter(F.size("w") > 0)
+    nodes = listed.select("kind", F.size("w").alias("n"), "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("length"))
+    ends = F.when(F.col("length") == F.col("n"), F.col("kind"))
+    return nodes.groupBy(F.array_join(F.slice("w", 1, F.col("length")), " ").alias("prefix"), "length") \
+        .agg(F.max("n").alias("longest"), F.sort_array(F.collect_set(ends)).alias("kinds"))
+
+
+def match_phrases(df: DataFrame, phrases: DataFrame, key: str = "JobId", text: str = "JobDescription") -> DataFrame:
+    """``(key, first_word, n_words, phrase, kind)``: where phrases ``(kind, phrase)`` stand, a row for each kind of a phrase.
+
+    The longest phrase at a word wins, and then the leftmost of overlapping ones. Only words that begin a phrase
+    go on to longer runs, no longer than a phrase from there can be, and all meet the trie in plain joins on the
+    run: a first word that most texts hold is split by Spark's skew join. Words count from 0.
+    """
+    trie = phrase_trie(phrases)
+    spoken = df.select(key, F.array_remove(words(F.col(text)), "").alias("_w"))
+    begun = spoken.select(key, F.posexplode("_w").alias("first_word", "prefix")) \
+        .join(trie.filter("length = 1").select("prefix", "longest"), "prefix").select(key, "first_word", "longest")
+    # The runs are cut from the text's words again, which are not carried through the join above.
+    runs = spoken.join(begun.groupBy(key).agg(F.collect_list(F.struct("first_word", "longest")).alias("_at")), key) \
+        .select(key, "_w", F.explode("_at").alias("_at")) \
+        .select(key, "_at.first_word", F.slice("_w", F.col("_at.first_word") + 1, F.col("_at.longest")).alias("_run")) \
+        .select(key, "first_word", "_run", F.explode(F.sequence(F.lit(1), F.size("_run"))).alias("n_words")) \
+        .select(key, "first_word", "n_words", F.array_join(F.slice("_run", 1, F.col("n_words")), " ").alias("phrase"))
+    ends = trie.filter(F.size("kinds") > 0).select(F.col("prefix").alias("phrase"), "kinds")
+    longest = runs.join(ends, "phrase").groupBy(key, "first_word") \
+        .agg(F.max(F.struct("n_words", "phrase", "kinds")).alias("m")).select(key, F.struct("first_word", "m.*").alias("m"))
+    # A text's matches in order; one is taken if it begins after the end of the one taken last.
+    start = F.struct(F.lit(0).alias("free"), F.array().cast(
+        "array<struct<first_word:int,n_words:int,phrase:string,kinds:array<string>>>").alias("taken"))
+    taken = F.aggregate(F.sort_array(F.collect_list("m")), start, lambda so_far, m: F.when(
+        m["first_word"] >= so_far["free"], F.struct(
+            (m["first_word"] + m["n_words"]).alias("free"), F.concat(so_far["taken"], F.array(m)).alias("taken")),
+    ).otherwise(so_far))["taken"]
+    return longest.groupBy(key).agg(taken.alias("_taken")).select(key, F.inline("_taken")) \
+        .select(key, "first_word", "n_words", "phrase", F.explode("kinds").alias("kind"))
+
+
 def match_lexicon_table(
     df: DataFrame, lexicon: DataFrame, key: str = "JobId", text: str = "JobDescription"
 ) -> DataFrame:

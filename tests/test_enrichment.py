@@ -188,3 +188,29 @@ def test_failures_wait_longer_each_time(spark):
             failed = spark.createDataFrame([(1, None, "failed", "down")], "JobId BIGINT, response STRING, status STRING, error STRING")
             failures = spark.createDataFrame(enrichment.failures_after(failures, failed, now).collect(), ENRICH_FAILURES)
     assert asked == [0, 1, 3, 7]
+
+
+def test_unknown_keys(spark):
+    answers = ['{"Tools":["a"],"extra":1,"Extra":[2]}', '{"extra":1.5,"o":{"x":1},"n":null,"b":true,"s":"t"}', "[1, 2]", "7", "", None, "no json", '{"extra":"s"}']
+    df = spark.createDataFrame([(k, a) for k, a in enumerate(answers)], "JobId BIGINT, response STRING")
+    assert sorted(map(tuple, enrichment.unknown_keys(df).collect())) == [
+        ("Extra", "array", 1), ("b", "boolean", 1), ("extra", "number", 2), ("extra", "string", 1), ("n", "null", 1), ("o", "object", 1),
+        ("s", "string", 1)]
+    assert enrichment.unknown_keys(df.limit(0)).count() == 0
+
+
+def test_phrases(spark):
+    phrases = spark.createDataFrame(
+        [("Tools", "Power BI"), ("Tools", "power"), ("Tools", "azure data factory"), ("Offer", "data factory"), ("Offer", "factory job"),
+         ("Offer", "Power BI"), ("Tools", ""), ("Tools", None)], "kind STRING, phrase STRING")
+    jobs = spark.createDataFrame(
+        [(0, "We use Power BI, Azure Data Factory job"), (1, "data factory job"), (2, "power power bi power"), (3, None), (4, "azure data"),
+         (5, "power " * 3000)], "JobId BIGINT, JobDescription STRING")
+    got = enrichment.match_phrases(jobs, phrases)
+    assert sorted(tuple(r) for r in got.filter("JobId < 5").collect()) == [
+        (0, 2, 2, "power bi", "Offer"), (0, 2, 2, "power bi", "Tools"), (0, 4, 3, "azure data factory", "Tools"), (1, 0, 2, "data factory", "Offer"),
+        (2, 0, 1, "power", "Tools"), (2, 1, 2, "power bi", "Offer"), (2, 1, 2, "power bi", "Tools"), (2, 3, 1, "power", "Tools")]
+    assert got.filter("JobId = 5").count() == 3000
+    assert enrichment.match_phrases(jobs, phrases.limit(0)).count() == enrichment.match_phrases(jobs.limit(0), phrases).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan

@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobmart.functions import cleaning, followers
 from jobmart.operators import checks, dedup, merge, timerange
@@ -324,3 +325,27 @@ def test_popularity_labels(spark):
     df = spark.createDataFrame([(None,), (9,), (10,), (25,)], "n BIGINT")
     labels = df.select(report.popularity_label(F.col("n"), [10, 20]).alias("l")).collect()
     assert [r.l for r in labels] == ["unknown", "below 10", "from 10", "from 20"]
+
+
+def test_rescued_fields(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    lines = [
+        '{"id": 1, "name": "a", "Pay": "10", "nested": {"x": [1]}}', '{"id": 2, "pay": 11, "ID": 5, "gone": null}', "", "  ",
+        '{"id": "no number", "Pay": "lost"}', "not json", "[1, 2]", '{"id": 3, "odd name": true, "PAY": "12", "Pay": "13"}',
+    ]
+    (tmp_path / "part.json").write_text("\n".join(lines) + "\n")
+    noted = readers.read_rescued(spark, str(tmp_path), schema)
+    assert sorted(r.line for r in readers.rejected(noted).collect()) == sorted(lines[4:7])
+    found = readers.readable(readers.with_new_columns(noted))
+    assert found.columns == ["id", "name", "PAY", "nested"]
+    assert sorted(map(tuple, found.collect())) == [(1, "a", "10", '{"x":[1]}'), (2, None, "11", None), (3, None, "12", None)]
+    assert dict(map(tuple, readers.rescued_keys(noted).collect())) == {"Pay": 2, "pay": 1, "PAY": 1, "nested": 1, "odd name": 1}
+
+
+def test_keys_that_are_data_do_not_become_columns(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    (tmp_path / "part.json").write_text("\n".join(f'{{"id": {k}, "key{k}": 1}}' for k in range(readers.MOST_NEW_COLUMNS + 1)))
+    with pytest.raises(ValueError):
+        readers.with_new_columns(readers.read_rescued(spark, str(tmp_path), schema))
+    (tmp_path / "part.json").write_text("")
+    assert readers.with_new_columns(readers.read_rescued(spark, str(tmp_path), schema)).columns == ["id", readers.BROKEN]
