@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from jobmart.catalog.jobs import followers_upsert
 from jobmart.catalog.population import PERIOD, SEXES
 from jobmart.catalog.registry import Inputs, query
-from jobmart.operators import enrichment
+from jobmart.operators import enrichment, names
 from jobmart.plans import jobs_flow, population_flow, report
 
 
@@ -111,3 +113,39 @@ SELECT 'All', 'All', CAST(sum(coalesce(MenPopulation, 0) + coalesce(WomenPopulat
 FROM population_silver""")
 def population_by_gender(src: Inputs):
     return report.population_by_gender(_population(src))
+
+
+# Every fourth job's city loses its diacritics, a letter or gets a suffix.
+_WRITTEN = """CASE JobId % 4 WHEN 1 THEN translate(City, 'å', 'a') WHEN 2 THEN concat(left(City, 2), substring(City, 4))
+    WHEN 3 THEN concat(upper(City), ', kommun') ELSE City END"""
+
+
+def _folded_sql(column: str) -> str:
+    plain = f"trim(translate(lower(coalesce({column}, '')), '{names.MARKED}', '{names.PLAIN}'))"
+    return f"trim(regexp_replace(regexp_replace({plain}, '{names.SUFFIX}', ''), '[^a-z0-9_]+', ' ', 'g'))"
+
+
+@query("jobs_per_city_matched", f"""
+SELECT City, jobs, MatchedCity, MenPopulation, WomenPopulation, TotalPopulation FROM (
+  SELECT City, count(DISTINCT JobId) AS jobs FROM (SELECT JobId, {_WRITTEN} AS City FROM jobs_silver) GROUP BY City) c
+LEFT JOIN (
+  SELECT a, arg_min(b, (d, a <> b, b)) AS MatchedCity FROM (
+    SELECT DISTINCT a, b, levenshtein(fa, fb) AS d, least(length(fa), length(fb)) AS n
+    FROM (SELECT DISTINCT {_WRITTEN} AS a, {_folded_sql(_WRITTEN)} AS fa FROM jobs_silver),
+      (SELECT City AS b, {_folded_sql("City")} AS fb FROM population_silver)
+    WHERE fa <> '' AND fb <> '')
+  WHERE d = 0 OR d = 1 AND n >= 4 GROUP BY a) m ON c.City = m.a
+LEFT JOIN population_silver p ON p.City = MatchedCity""".replace("SELECT City, jobs,", "SELECT c.City, jobs,", 1))
+def jobs_per_city_matched(src: Inputs):
+    return report.jobs_per_city_matched(_silver(src).withColumn("City", F.expr(_WRITTEN)), _population(src))
+
+
+@query("company_popularity_as_of", """
+SELECT JobId, Nbr_of_followers AS followers,
+  CASE WHEN Nbr_of_followers IS NULL THEN 'unknown' WHEN Nbr_of_followers >= 100000 THEN
+    'from 100000' WHEN Nbr_of_followers >= 50000 THEN 'from 50000'
+    WHEN Nbr_of_followers >= 10000 THEN 'from 10000' ELSE 'below 10000' END AS popularity
+FROM jobs_silver ASOF LEFT JOIN (SELECT * FROM followers_raw WHERE Nbr_of_followers IS NOT NULL) f
+  ON CompanyLinkedinUrl = f.url AND ExtractionDatetime >= f.extraction_time""")
+def company_popularity_as_of(src: Inputs):
+    return report.job_popularity_as_of(_silver(src), src.fixture("followers_raw"), "ExtractionDatetime")

@@ -35,6 +35,7 @@ SCHEMAS = {
     "bronze.jobs": StructType([*JOB_BRONZE, StructField(DAY, DateType())]),
     "bronze.rejects": REJECTS,
     "bronze.followers": FOLLOWERS,
+    "bronze.follower_history": FOLLOWERS,
     "silver.jobs": StructType([*JOB_SILVER, StructField(jobs_flow.SEEN, TimestampNTZType()), StructField(JOB_DAY, DateType())]),
     "silver.followers": FOLLOWERS,
     "silver.enriched": ENRICHED_LISTS,
@@ -170,6 +171,8 @@ def run_jobs_hour(
         batch = extraction.company_followers(pages.join(fresh, "url", "left_semi"), seen)
         batch = tables.land(batch, lake.new_path("runs.followers"))
         if not batch.isEmpty():
+            # Every lookup stays, for what was known at a time; a repeated run adds equal rows, which change nothing.
+            tables.append_to_table(batch, lake.name("bronze.follower_history"))
             for table in ("bronze.followers", "silver.followers"):
                 lake.replace(table, jobs_flow.followers_after(lake.table(table), batch))
     silver = update_jobs(lake, landed, bronze, as_of)

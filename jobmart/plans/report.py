@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobmart.operators.asof import as_of_join
+from jobmart.operators.names import match_names
+
 # Lower bounds of the popularity groups, by followers.
 POPULARITY_BOUNDS = [10_000, 50_000, 100_000]
 
@@ -79,6 +82,23 @@ def jobs_per_city(silver: DataFrame, population: DataFrame) -> DataFrame:
     )
 
 
+def jobs_per_city_matched(silver: DataFrame, population: DataFrame) -> DataFrame:
+    """As ``jobs_per_city``, with ``MatchedCity``: the municipality that a city means although it is written another way."""
+    counts = jobs_by(silver, "City")
+    matched = match_names(counts, population, "City", "City").select(F.col("name").alias("City"), F.col("known").alias("MatchedCity"))
+    people = population.withColumnRenamed("City", "MatchedCity")
+    return counts.join(matched, "City", "left").join(people, "MatchedCity", "left").select(
+        "City", "jobs", "MatchedCity", "MenPopulation", "WomenPopulation", "TotalPopulation"
+    )
+
+
+def job_popularity_as_of(jobs: DataFrame, history: DataFrame, time: str, bounds: list[int] | None = None) -> DataFrame:
+    """``JobId``, the company's followers when the job was seen, by the follower history, and the group they make."""
+    found = as_of_join(jobs.select("JobId", "CompanyLinkedinUrl", time), history, "CompanyLinkedinUrl", time, "url", "extraction_time", "Nbr_of_followers")
+    return found.select(
+        "JobId", F.col("Nbr_of_followers").alias("followers"), popularity_label(F.col("Nbr_of_followers"), bounds or POPULARITY_BOUNDS).alias("popularity"))
+
+
 def population_by_gender(population: DataFrame) -> DataFrame:
     """Inhabitants by city and gender, per city, and in all (``All`` marks a sum)."""
     long = population.select("City", "MenPopulation", "WomenPopulation").unpivot(
