@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from jobmart.catalog.enrich import stand_in_model
-from jobmart.catalog.jobs import HOUR_AS_OF, SPLIT, TS, TWO_RUNS, TWO_RUNS_SQL
+from jobmart.catalog.jobs import HOUR_AS_OF, SPLIT, TS, TWO_RUNS, TWO_RUNS_SQL, _first
 from jobmart.catalog.pages import META_SQL, POST_SQL
 from jobmart.catalog.population import PERIOD, SEXES
 from jobmart.catalog.registry import Inputs, query
@@ -100,6 +100,21 @@ def hourly_flow_enriched(src: Inputs):
     return enrichment.explode_wide(_one_run(src).table("silver.enriched"))
 
 
+@query("hourly_flow_enriched_two_runs", f"""
+SELECT JobId, 'words2' AS Tools, CAST(NULL AS VARCHAR) AS Requirements, CAST(NULL AS VARCHAR) AS Offer, 'Remote' AS WorkType
+FROM ({TWO_RUNS_SQL}) now LEFT JOIN (
+  SELECT JobId, JobDescription AS before FROM {_first("SeenAt < TIMESTAMP '2024-01-15'")}) USING (JobId)
+WHERE length(JobDescription) % 7 <> 0 OR length(before) % 7 <> 0""")
+def hourly_flow_enriched_two_runs(src: Inputs):
+    """Jobs that retention takes between the runs lose their enriched rows; only their days are touched."""
+    lake, raw = _lake(src), src.fixture("jobs_raw")
+    cut = timerange.instant(raw, TS, SPLIT)
+    first, second = TWO_RUNS
+    run_jobs_hour(lake, raw.filter(F.col(TS) < cut), first, ask=stand_in_model())
+    run_jobs_hour(lake, raw.filter(F.col(TS) >= cut), second, ask=stand_in_model())
+    return enrichment.explode_wide(lake.table("silver.enriched"))
+
+
 _POPULATION = "SELECT City, MenPopulation, WomenPopulation, TotalPopulation FROM population_silver"
 
 

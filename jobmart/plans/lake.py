@@ -2,7 +2,7 @@
 
 Tables are Parquet files registered in the session's catalog. Bronze postings are appended by day of
 sighting. Silver jobs are kept by day of publication, and a run rewrites only the days whose jobs
-changed. Enriched jobs keep their lists in one row; ``operators.enrichment`` turns them into the wide or
+changed. Enriched jobs are kept by the same day, with their lists in one row; ``operators.enrichment`` turns them into the wide or
 long form on read. The other tables are replaced by writing a new version beside the old one and pointing the
 name at it.
 """
@@ -38,13 +38,13 @@ SCHEMAS = {
     "bronze.follower_history": FOLLOWERS,
     "silver.jobs": StructType([*JOB_SILVER, StructField(jobs_flow.SEEN, TimestampNTZType()), StructField(JOB_DAY, DateType())]),
     "silver.followers": FOLLOWERS,
-    "silver.enriched": ENRICHED_LISTS,
+    "silver.enriched": StructType([*ENRICHED_LISTS, StructField(JOB_DAY, DateType())]),
     "silver.enrich_failures": ENRICH_FAILURES,
     "silver.population": POPULATION_SILVER,
 }
 
 
-PARTITIONS = {"bronze.jobs": DAY, "silver.jobs": JOB_DAY}
+PARTITIONS = {"bronze.jobs": DAY, "silver.jobs": JOB_DAY, "silver.enriched": JOB_DAY}
 
 
 class Lake:
@@ -63,6 +63,11 @@ class Lake:
         return f"{self.prefix}{table}"
 
     def table(self, table: str) -> DataFrame:
+        """The rows of a table. The day by which enriched rows are kept says when to drop them, and is left out."""
+        stored = self.stored(table)
+        return stored.drop(JOB_DAY) if table == "silver.enriched" else stored
+
+    def stored(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
     def new_path(self, table: str) -> str:
@@ -115,8 +120,8 @@ def update_enriched(
 ) -> None:
     """Ask for the backlog, add what was answered, remember what failed, drop rows whose job is gone.
 
-    Nothing is written that does not change: answers are appended, and the tables are replaced only
-    if a row has to leave them.
+    Nothing is written that does not change: answers are appended to the day of their job, and of the days
+    whose jobs are gone a part is rewritten or, mostly, a whole one dropped. A list of days is all that comes to the driver.
     """
     enriched, failures = lake.table("silver.enriched"), lake.table("silver.enrich_failures")
     if ask is not None:
@@ -126,14 +131,24 @@ def update_enriched(
         rows = enrichment.to_lists(enrichment.parse_answers(answers.select("JobId", "response")))
         if not rows.isEmpty():
             # The backlog holds no job that has a row, so these are new.
-            tables.append_to_table(rows, lake.name("silver.enriched"))
+            dated = rows.join(lake.stored("silver.jobs").select("JobId", JOB_DAY), "JobId")
+            tables.append_to_table(dated, lake.name("silver.enriched"), JOB_DAY)
         failed = enrichment.failures_after(failures, answers, as_of)
         if not answers.isEmpty():
             lake.replace("silver.enrich_failures", failed)
-    for table in ("silver.enriched", "silver.enrich_failures"):
-        rows = lake.table(table)
-        if not merge.orphan_keys(rows, silver, jobs_flow.KEY).isEmpty():
-            lake.replace(table, merge.prune_orphans(rows, silver, jobs_flow.KEY))
+    stored = lake.stored("silver.enriched")
+    days = sorted(row[0] for row in merge.not_yet_in(stored, silver, jobs_flow.KEY).select(JOB_DAY).distinct().toLocalIterator())
+    if days:
+        stay = merge.prune_orphans(stored.filter(F.col(JOB_DAY).isin(days)), silver, jobs_flow.KEY)
+        name, path = lake.name("silver.enriched"), lake.new_path("silver.enriched")
+        before = tables.partition_locations(lake.spark, name)
+        tables.replace_days(stay.select(*stored.columns), name, path, JOB_DAY, days)
+        left = {row.partition for row in lake.spark.sql(f"SHOW PARTITIONS {name}").toLocalIterator()}
+        for gone in before.keys() - left:
+            tables.delete_folder(lake.spark, before[gone], lake.root)
+    failures = lake.table("silver.enrich_failures")
+    if not merge.orphan_keys(failures, silver, jobs_flow.KEY).isEmpty():
+        lake.replace("silver.enrich_failures", merge.prune_orphans(failures, silver, jobs_flow.KEY))
 
 
 def run_jobs_hour(
