@@ -62,7 +62,7 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     learn = docs.where(to_learn(4))
-    index = fit_toxicity(learn.select("doc_id").join(labels, "doc_id"), texts=learn)
+    index = fit_toxicity(labels, texts=learn)
     found = docs.select("doc_id", in_fold(4).alias("held_out"), toxicity_of(spark, index)(F.col("text")).alias("found"))
     return found.select("doc_id", "held_out", "found.score", "found.evidence") \
         .withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
