@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobmart.llm import suffix_tree
-from jobmart.llm.suffix_tree import DEPTH, END, Automaton, build, score_texts, symbols, window_counts
+from jobmart.llm.suffix_tree import DEPTH, END, score_texts, symbols
+from tests.llm import suffix_model
 from tests.llm.conftest import prose
+from tests.llm.suffix_model import Automaton, build, window_counts
 
 
 def tokens(text):
@@ -68,7 +70,7 @@ def one_by_one(model: Automaton, contents):
 def test_strides_and_states(corpus, monkeypatch):
     model = build(window_counts(corpus, "text", "learn")[0])
     texts = [r.text.encode() for r in corpus.limit(6).collect()] + [None, b"", b"\xff\x00 new", prose(5, 900).encode()]
-    monkeypatch.setattr(suffix_tree, "STRIDE", 37)
+    monkeypatch.setattr(suffix_model, "STRIDE", 37)
     np.testing.assert_allclose(model.score(texts), [one_by_one(model, t) for t in texts], rtol=1e-5)
 
 
