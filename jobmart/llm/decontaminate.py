@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobmart.llm.common import row_hash, same, without_rows
+from jobmart.llm.common import row_hash, same, without_rows, written
 from jobmart.llm.grams import ascii_words, complete, rolled
 
 #: Template words in a window; items of fewer words are searched by windows of SHORT_WINDOW words.
@@ -179,6 +179,7 @@ def leaks(
         found = some if found is None else found.unionByName(some)
     if found is None:
         return docs.sparkSession.createDataFrame([], LEAKS)
+    found = written(found, "leak-candidates")  # used more than once, and small next to the texts
     first, last = F.get(F.col("hits"), F.lit(0)), F.element_at("hits", -1)
     found = found.withColumn("coverage", F.size("hits") / F.col("n_windows")) \
         .withColumn("first_word", first["at"] + first["diagonal"]) \

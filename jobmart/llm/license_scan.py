@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jobmart.llm.common import row_hash, same
+from jobmart.llm.common import row_hash, same, written
 from jobmart.llm.grams import ascii_words, complete, rolled, word_hashes
 
 # Names and labels that count wherever they stand.
@@ -125,7 +125,7 @@ def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     with one id are told apart by their text; rows repeated in full get the same result each.
     """
     is_name = F.col("is_name")
-    found = spans(votes(docs, doc_id, text)).groupBy("doc_id", "row").agg(
+    found = spans(written(votes(docs, doc_id, text), "license-votes")).groupBy("doc_id", "row").agg(
         F.count(F.when(is_name, 1)).alias("n_base"),
         F.min(F.when(is_name, F.col("first"))).cast("long").alias("first_word"),
         F.max(F.when(is_name, F.col("first"))).cast("long").alias("last_word"),
