@@ -57,11 +57,78 @@ ENDS_PARAGRAPH = frozenset(
 #: Hold no blocks: the next block ends them if their end tag is left out.
 NO_BLOCKS = frozenset("button option".split())
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|textarea|title|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.S | re.I,
-)
+#: The beginning of a comment, a declaration or a tag; longer names go on among the attributes.
+_OPENING = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>\"']{0,63}))")
+_MARK = re.compile("[>\"']")
+_RAW_NAME = re.compile(r"(?:script|style|noscript|template|iframe|textarea|title|select)\b", re.I)
+
+#: Deeper elements are read as if they ended where they begin, as browsers do.
+DEEPEST = 512
+
+
+@dataclass
+class Tag:
+    """A tag, or (without a name) a comment, declaration or element with raw content."""
+
+    start: int
+    end: int
+    name: str = ""
+    closing: bool = False
+    attributes: str = ""
+
+
+def tags(page: str) -> Iterator[Tag]:
+    """All tags in order, in time that grows with the page alone.
+
+    A tag ends at the next ``>`` outside quotes; a ``<`` without one is text. Where a search for the end has
+    failed is remembered by the quotes it met outside of others, as any later search that meets one fails too.
+    """
+    last, at = page.rfind(">"), 0
+    dead: set[int] = set()
+    looked_from = mark_at = -1
+
+    def end_of(place: int) -> int | None:
+        nonlocal looked_from, mark_at
+        met = []
+        while True:
+            if not looked_from <= place <= mark_at:
+                mark = _MARK.search(page, place)
+                looked_from, mark_at = place, mark.start() if mark else len(page)
+            k = mark_at
+            if k < len(page) and page[k] == ">":
+                return k + 1
+            close = page.find(page[k], k + 1) if k < len(page) and k not in dead else -1
+            if close < 0:
+                dead.update([*met, k])
+                return None
+            met.append(k)
+            place = close + 1
+
+    while opening := _OPENING.search(page, at):
+        start = opening.start()
+        if opening[1]:
+            end = page.find("-->", opening.end())
+            at = end + 3 if end >= 0 else len(page)
+            yield Tag(start, at)
+        elif start > last:
+            # Nothing ends any more, but a comment may still begin.
+            at = page.find("<!--", start)
+            if at < 0:
+                return
+        elif opening[2]:
+            at = page.index(">", start) + 1
+            yield Tag(start, at)
+        elif not opening[3] and (raw := _RAW_NAME.match(opening[4])):
+            closes = re.compile(rf"</{raw[0]}\s*>", re.I).search(page, page.index(">", start) + 1)
+            at = closes.end() if closes else len(page)
+            yield Tag(start, at)
+        elif (end := end_of(opening.end())) is not None:
+            yield Tag(start, end, opening[4].lower(), bool(opening[3]), page[opening.end():end - 1])
+            at = end
+        else:
+            at = start + 1
+
+
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+|[0-9]+")
 
@@ -86,9 +153,10 @@ def blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page in order. Broken, nested and unclosed markup is read as it comes."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    # For each open element: whether it or one around it is hidden, and is one that holds no blocks.
+    within: list[tuple[bool, bool]] = []
     pieces: list[str] = []
     linked, in_link = 0, 0
-    path: tuple[tuple[str, tuple[str, ...]], ...] = ()
     page, at = page or "", 0
 
     def close() -> None:
@@ -96,47 +164,49 @@ def blocks(page: str | None) -> list[Block]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                out.append(Block(text, path, linked / max(1, sum(map(len, pieces)))))
+                out.append(Block(text, tuple(stack), linked / max(1, sum(map(len, pieces)))))
             pieces.clear()
         linked = 0
 
+    def cut(depth: int) -> None:
+        del stack[depth:], within[depth:]
+
     def hidden() -> bool:
-        return any(tag in HIDDEN for tag, _ in path)
-
-    for tag in _TAG.finditer(page):
-        name = (tag[3] or "").lower()
-        if stack and stack[-1][0] == "head" and (page[at:tag.start()].strip() or name and not tag[2] and name not in IN_HEAD):
-            stack.pop()
-            path = tuple(stack)
-        if tag.start() > at and not hidden():
-            pieces.append(page[at:tag.start()])
-            linked += (tag.start() - at) * (in_link > 0)
-        at = tag.end()
+        return bool(within) and within[-1][0]
+
+    for tag in tags(page):
+        name = tag.name
+        if stack and stack[-1][0] == "head" and (page[at:tag.start].strip() or name and not tag.closing and name not in IN_HEAD):
+            cut(len(stack) - 1)
+        if tag.start > at and not hidden():
+            pieces.append(page[at:tag.start])
+            linked += (tag.start - at) * (in_link > 0)
+        at = tag.end
         if not name:
             continue
         if name == "a":
-            in_link = 0 if tag[2] else 1
+            in_link = 0 if tag.closing else 1
         if name == "br":
             pieces.append(" ")
         if name in INLINE or name == "br":
             continue
         close()
-        if tag[2]:
+        if tag.closing:
             open_at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             if open_at is not None:
-                del stack[open_at:]
+                cut(open_at)
         else:
             ended = SELF_CLOSING.get(name, set()) | ({"p"} if name in ENDS_PARAGRAPH else set())
-            if name in ENDS_PARAGRAPH or name in SELF_CLOSING or name in NO_BLOCKS:
-                open_at = next((k for k, (of, _) in enumerate(stack) if of in NO_BLOCKS), len(stack))
-                del stack[open_at:]
+            if within and within[-1][1] and (name in ENDS_PARAGRAPH or name in SELF_CLOSING or name in NO_BLOCKS):
+                cut(next(k for k, (_, none) in enumerate(within) if none))
             while stack and stack[-1][0] in ended:
-                stack.pop()
-            if name not in VOID and not (tag[4] or "").endswith("/"):
-                stack.append((name, _names(tag[4])))
-        path = tuple(stack)
+                cut(len(stack) - 1)
+            if name not in VOID and not tag.attributes.endswith("/") and len(stack) < DEEPEST:
+                around = within[-1] if within else (False, False)
+                stack.append((name, _names(tag.attributes)))
+                within.append((around[0] or name in HIDDEN, around[1] or name in NO_BLOCKS))
     if stack and stack[-1][0] == "head" and page[at:].strip():
-        path = path[:-1]
+        cut(len(stack) - 1)
     if not hidden():
         pieces.append(page[at:])
     close()

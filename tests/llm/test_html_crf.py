@@ -1,11 +1,13 @@
 import itertools
 import random
+import re
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from jobmart.llm.html_crf import Block, Chain, blocks, fit, main_text, train
+from jobmart.llm.html_crf import Block, Chain, blocks, fit, main_text, tags, train
 
 
 def page(k: int) -> str:
@@ -122,3 +124,33 @@ def test_pages_without_landmark_teach_nothing(spark):
     rows = [(k, page(k)) for k in range(400)] + [(k, page(k).replace("article", "main").replace("<p>", "<p class='late'>")) for k in range(400, 800)]
     table = spark.createDataFrame(rows, "page_id long, html string").coalesce(4)
     assert "named=late" in fit(table).index
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<a " * 350_000 + ">", '<a "' * 250_000 + ">", "<a '\"" * 200_000 + " > x", "<!" * 500_000, "<div>" * 200_000, "</p>" * 250_000,
+    "<a" * 500_000 + ' "', "<script>" * 125_000, "<!--" * 250_000, '<p x="' * 160_000 + "<b>", "<p>" * 300_000, "<button>" * 120_000, "<" * 1_000_000,
+])
+def test_broken_pages_take_linear_time(page):
+    began = time.process_time()
+    blocks(page)
+    assert time.process_time() - began < 4
+
+
+def test_unclosed_tags_are_text():
+    text = lambda page: [b.text for b in blocks(page)]
+    assert text("1 < 2 and <b>3</b> > 2 <p>next") == ["1 < 2 and 3 > 2", "next"]
+    assert text("<p>one</p> <a href='x>y") == ["one", "<a href='x>y"]
+    assert text("<p title=\"a>b\">one</p><p title='\">'>two</p>") == ["one", "two"]
+    assert text("a <!-- b > c") == ["a"] and text("a <b <!-- c") == ["a <b"] and text("<title>x <p>y") == []
+
+
+def test_same_tags_as_one_regular_expression():
+    """The tags of small random pages against the quadratic expression for them."""
+    whole = re.compile(
+        r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|textarea|title|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+        r"|<(/?)([a-zA-Z][^\s/>\"']*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+    rng = random.Random(8)
+    for _ in range(4000):
+        page = "".join(rng.choices(["<", ">", "a", "<p", "/", " ", '"', "'", "=", "<!--", "-->", "<!", "title", "</title>", "x", "<title>"], k=rng.randint(1, 14)))
+        want = [(m.start(), m.end(), (m[3] or "").lower(), bool(m[2]), m[4] or "") for m in whole.finditer(page)]
+        assert [(g.start, g.end, g.name, g.closing, g.attributes) for g in tags(page)] == want, page
