@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from jobmart.catalog.registry import Inputs, query
 from jobmart.functions import cleaning
-from jobmart.operators import checks, dedup, merge, timerange
+from jobmart.operators import checks, dedup, intervals, merge, timerange
 from jobmart.plans import jobs_flow
 from jobmart.schemas import FOLLOWERS, JOB_BRONZE, JOB_LANDING, JOB_SILVER
 from jobmart.sources import readers, tables
@@ -376,3 +376,47 @@ def followers_batch_upsert(src: Inputs):
 SELECT url, Nbr_of_followers, extraction_time FROM followers_raw WHERE batch = 1""")
 def empty_batch_noop(src: Inputs):
     return merge.upsert(_batch(src, 1), readers.empty_table(src.spark, FOLLOWERS), ["url"])
+
+
+@query("landing_quality", """
+SELECT 'rows' AS check, count(*) AS n FROM jobs_raw
+UNION ALL SELECT 'null JobTitle', count(*) FROM jobs_raw WHERE JobTitle IS NULL
+UNION ALL SELECT 'null NbrOfApplicants', count(*) FROM jobs_raw WHERE NbrOfApplicants IS NULL
+UNION ALL SELECT 'null SeniorityLevel', count(*) FROM jobs_raw WHERE SeniorityLevel IS NULL
+UNION ALL SELECT 'id is no number', count(*) FROM jobs_raw WHERE TRY_CAST(JobId AS BIGINT) IS NULL
+UNION ALL SELECT 'no publish time', count(*) FROM jobs_raw WHERE TRY_CAST(publishdatetime AS TIMESTAMP) IS NULL""")
+def landing_quality(src: Inputs):
+    """Counted in the write that lands the batch."""
+    landing = src.work_dir("landing")
+    src.fixture("jobs_raw").write.option("timestampNTZFormat", readers.NTZ_FORMAT).json(landing)
+    watched, seen = checks.observed(readers.read_landing(src.spark, landing, JOB_LANDING), ["JobTitle", "NbrOfApplicants", "SeniorityLevel"], {
+        "id is no number": cleaning.to_id(F.col("JobId")).isNull(),
+        "no publish time": F.col("publishdatetime").try_cast("timestamp_ntz").isNull(),
+    })
+    tables.land(watched, src.work_dir("landed"))
+    return checks.counts_of(src.spark, seen)
+
+
+_CHANGING = ["NbrOfApplicants", "JobTitle", "SeniorityLevel"]
+_SAME = " AND ".join(f"{c} IS NOT DISTINCT FROM lag({c}) OVER in_time" for c in _CHANGING)
+
+
+@query("job_intervals", f"""
+SELECT JobId, {", ".join(_CHANGING)}, greatest(valid_from, TIMESTAMP '2024-01-10 00:00:00') AS valid_from, valid_to, last_seen
+FROM (
+  SELECT *, lead(valid_from) OVER (PARTITION BY JobId ORDER BY valid_from) AS valid_to FROM (
+    SELECT JobId, run, {", ".join(f"any_value({c}) AS {c}" for c in _CHANGING)}, min(SeenAt) AS valid_from, max(SeenAt) AS last_seen
+    FROM (SELECT *, sum(begins) OVER (PARTITION BY JobId ORDER BY SeenAt) AS run FROM (
+      SELECT *, CASE WHEN lag(SeenAt) OVER in_time IS NOT NULL AND {_SAME} THEN 0 ELSE 1 END AS begins
+      FROM (SELECT *, row_number() OVER (PARTITION BY JobId, SeenAt ORDER BY {", ".join(f"{c} NULLS FIRST" for c in _CHANGING)}) AS rn
+        FROM jobs_clean WHERE JobId IS NOT NULL)
+      WHERE rn = 1 WINDOW in_time AS (PARTITION BY JobId ORDER BY SeenAt)))
+    GROUP BY JobId, run))
+WHERE valid_to IS NULL OR valid_to > TIMESTAMP '2024-01-10 00:00:00'""")
+def job_intervals(src: Inputs):
+    """Two batches folded one after the other, then cut at what retention keeps."""
+    raw = src.fixture("jobs_raw")
+    before, after = (jobs_flow.sightings(part) for part in (_before(raw), _after(raw)))
+    first = tables.land(intervals.change_intervals(before, ["JobId"], _CHANGING, jobs_flow.SEEN), src.work_dir("intervals"))
+    both = intervals.intervals_after(first, after, ["JobId"], _CHANGING, jobs_flow.SEEN)
+    return intervals.since(both, datetime(2024, 1, 10))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
-from jobmart.catalog.jobs import followers_upsert
+from jobmart.catalog.jobs import RETENTION_AS_OF, TS, followers_upsert
 from jobmart.catalog.population import PERIOD, SEXES
 from jobmart.catalog.registry import Inputs, query
-from jobmart.operators import enrichment, names
+from jobmart.functions import cleaning
+from jobmart.operators import daily_counts, enrichment, names, timerange
 from jobmart.plans import jobs_flow, population_flow, report
+from jobmart.sources import tables
 
 
 def _silver(src: Inputs):
@@ -149,3 +153,20 @@ FROM jobs_silver ASOF LEFT JOIN (SELECT * FROM followers_raw WHERE Nbr_of_follow
   ON CompanyLinkedinUrl = f.url AND ExtractionDatetime >= f.extraction_time""")
 def company_popularity_as_of(src: Inputs):
     return report.job_popularity_as_of(_silver(src), src.fixture("followers_raw"), "ExtractionDatetime")
+
+
+@query("jobs_by_tool_incremental", """
+SELECT value, count(DISTINCT JobId) AS jobs
+FROM answers_long JOIN (SELECT JobId, SeenAt FROM jobs_clean WHERE SeenAt >= TIMESTAMP '2024-01-10') USING (JobId)
+WHERE kind = 'Tools' GROUP BY 1""")
+def jobs_by_tool_incremental(src: Inputs):
+    """Jobs that were seen on days that retention holds, per tool: two runs that share a day, then an expiry."""
+    raw, path = src.fixture("jobs_raw"), src.work_dir("tool_parts")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    tools = enrichment.explode_long(_parsed(src)).filter(F.col("kind") == "Tools").select("JobId", "value")
+    seen = raw.select(cleaning.to_id(F.col("JobId")).alias("JobId"), F.to_date(TS).alias("day"), TS)
+    noon = timerange.instant(raw, TS, datetime(2024, 1, 15, 12))
+    for n, run in enumerate((seen.filter(F.col(TS) < noon), seen.filter(F.col(TS) >= noon))):
+        daily_counts.add_rows(run.drop(TS).join(tools, "JobId"), name, f"{path}/{n}", "day", ["value"], "JobId")
+    tables.expire_days(src.spark, name, RETENTION_AS_OF, day="day")
+    return daily_counts.distinct_counts(src.spark.table(name), ["value"], "jobs")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,3 +27,19 @@ def require_not_null(df: DataFrame, required: list[str]) -> DataFrame:
 def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     """Keys that occur more than once, with their count."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
+
+
+def observed(df: DataFrame, required: list[str], rules: dict[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """The same rows, counted while they are written: all, NULLs per required column, rows that meet each rule.
+
+    The counts belong to the first action on the returned rows, so write these rows and read them with
+    ``counts_of`` afterwards: no second scan.
+    """
+    seen = Observation(f"checks-{uuid.uuid4().hex}")
+    counts = {f"null {c}": F.col(c).isNull() for c in required} | (rules or {})
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count_if(c).alias(n) for n, c in counts.items())), seen
+
+
+def counts_of(spark: SparkSession, seen: Observation) -> DataFrame:
+    """(check, n) of an observed write, a row for each check."""
+    return spark.createDataFrame(sorted(seen.get.items()), "check string, n long")
