@@ -11,7 +11,7 @@ from jobmart.functions import cleaning
 from jobmart.operators import checks, dedup, intervals, merge, timerange
 from jobmart.plans import jobs_flow
 from jobmart.schemas import FOLLOWERS, JOB_BRONZE, JOB_LANDING, JOB_SILVER
-from jobmart.sources import readers, tables
+from jobmart.sources import buckets, readers, tables
 
 HOUR_AS_OF = datetime(2024, 1, 30, 23, 30)
 RETENTION_AS_OF = datetime(2024, 2, 10)
@@ -280,18 +280,30 @@ def _first(where: str) -> str:
   FROM jobs_clean WHERE JobId IS NOT NULL AND {where}) WHERE rn = 1)"""
 
 
-@query("jobs_upsert", f"""
+_UPSERT = f"""
 SELECT {SILVER} FROM {_first("SeenAt >= TIMESTAMP '2024-01-15'")}
 UNION ALL
 SELECT {SILVER} FROM {_first("SeenAt < TIMESTAMP '2024-01-15'")}
 WHERE JobId NOT IN (
-  SELECT JobId FROM jobs_clean WHERE JobId IS NOT NULL AND SeenAt >= TIMESTAMP '2024-01-15')""")
+  SELECT JobId FROM jobs_clean WHERE JobId IS NOT NULL AND SeenAt >= TIMESTAMP '2024-01-15')"""
+
+
+@query("jobs_upsert", _UPSERT)
 def jobs_upsert(src: Inputs):
     raw = src.fixture("jobs_raw")
     target, source = jobs_flow.one_per_job(_before(raw)), jobs_flow.one_per_job(_after(raw))
     return merge.upsert(target, source, ["JobId"])
 
 
+@query("jobs_upsert_bucketed", _UPSERT)
+def jobs_upsert_bucketed(src: Inputs):
+    raw, path = src.fixture("jobs_raw"), src.work_dir("jobs_bucketed")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    target, source = jobs_flow.one_per_job(_before(raw)), jobs_flow.one_per_job(_after(raw))
+    buckets.write_bucketed(target, name, f"{path}/0", ["JobId"], 8)
+    return buckets.upsert_bucketed(name, source, f"{name}_next", f"{path}/1", ["JobId"], 8)
+
+
 # Bronze at the second run has lost what was 31 days old by then, so a job's first sighting may be a
 # later one than silver holds; silver then follows bronze.
 TWO_RUNS = (datetime(2024, 1, 15), datetime(2024, 2, 4))
