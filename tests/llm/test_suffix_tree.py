@@ -126,3 +126,14 @@ def test_a_rare_context_stays_in_a_large_corpus(spark):
     assert 2e-6 * places > 3
     # Three of "q", each "z", "v", "k" and the end after it: the first letter only is a surprise.
     assert got[2000] > math.log10(3 / places) - 1.5
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_windows_are_counted_and_looked_up_by_sorting(n):
+    codes = np.random.default_rng(3).integers(0, 1 << 55, 700)[np.arange(n) ** 2 % 700]
+    known, times = suffix_tree.counted(codes)
+    assert dict(zip(known.tolist(), times.tolist())) == Counter(codes.tolist())
+    assert (np.diff(known) > 0).all()
+    log = np.arange(len(known), dtype=np.float32)
+    found = suffix_tree.looked_up(codes, known, log)
+    assert found.dtype == float and (known[found.astype(int)] == codes).all()
