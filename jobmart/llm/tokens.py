@@ -27,10 +27,15 @@ LEADING_SPACE = f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+"
 #: Such a piece with no white space but one blank before it.
 ONE_SPACE = f" ?[^{WHITE_SPACE}]+"
 
-#: White space is dropped: vocabularies with word ends.
-WORDS_ONLY = "[^\t\n\x0b\x0c\r ]+"
+#: White space is dropped and letters part from other characters: vocabularies with word ends. Letters that begin a
+#: word are a piece of their own if ASCII punctuation follows, which nothing joins to them; a quote may (``'s``).
+WORDS_ONLY = "[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[!-&(-/:-@\\[-`{-~])|[^\t\n\x0b\x0c\r ]+"
 NO_BAR = "[^|]+"
 
+#: A text without these may be lower-cased before a tokenizer that composes it (NFC) and lower-cases it itself:
+#: no other character composes with one before it, or becomes several.
+UNFOLDED = "[\\u0130\\u0300-\\U0010ffff]"
+
 
 @dataclass(frozen=True)
 class Encoding:
@@ -45,6 +50,8 @@ class Encoding:
     joins: str
     #: Pieces kept per worker; when more have been seen, the memory is emptied and filled anew.
     remembered: int = 1_200_000
+    #: For tokenizers that lower-case: a text is lower-cased first, so that fewer pieces differ, unless it holds one of these.
+    unfolded: str | None = None
 
 
 class Encoder:
@@ -62,6 +69,7 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.between = encoding.between
         self.joins = re.compile(encoding.joins).fullmatch
+        self.unfolded = re.compile(encoding.unfolded).search if encoding.unfolded else None
         (self.between_id,) = self._ids(encoding.between)
 
     def _ids(self, text: str) -> list[int]:
@@ -87,6 +95,8 @@ class Encoder:
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Per text the bytes of its ids, the end id included; a missing text is an empty one."""
+        if self.unfolded:
+            texts = [t if not t or self.unfolded(t) else t.lower() for t in texts]
         cut = [self.cut(t) if t else [] for t in texts]
         if len(self.known) > self.remembered:
             self.known.clear()

@@ -2,10 +2,11 @@
 
 import public_tokenizers
 
-from jobmart.llm.tokens import LEADING_SPACE, NO_BAR, ONE_SPACE, WORDS_ONLY, Encoding
+from jobmart.llm.tokens import LEADING_SPACE, NO_BAR, ONE_SPACE, UNFOLDED, WORDS_ONLY, Encoding
 
 STORE_ENCODING = Encoding(
-    public_tokenizers.path("word_bpe_49k.json"), WORDS_ONLY, end_id=1, between=" | ", joins=NO_BAR
+    public_tokenizers.path("word_bpe_49k.json"), WORDS_ONLY, end_id=1, between=" | ", joins=NO_BAR,
+    unfolded=UNFOLDED,
 )
 PACKING_ENCODING = Encoding(
     public_tokenizers.path("byte_bpe_50k.json"), LEADING_SPACE, end_id=0, between="\n", joins=ONE_SPACE

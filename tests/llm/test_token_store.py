@@ -30,6 +30,25 @@ def test_pieces_give_the_ids_of_the_whole_text(encoding):
         assert np.frombuffer(ids, "<u4").tolist() == t.encode(text or "", add_special_tokens=False).ids + [encoding.end_id]
 
 
+def test_case_and_punctuation_make_no_pieces_of_their_own():
+    import random
+
+    encode = Encoder(STORE_ENCODING)
+    encode(["Word word WORD word, Word. (word) word...", "ÄHRE ähre, Ähre!"])
+    assert {"word", "ähre"} <= set(encode.known) and not {"Word", "word,", "Word.", "Ähre!"} & set(encode.known)
+    rng = random.Random(5)
+    low = [chr(c) for c in range(0x300) if chr(c) != "|"]
+    texts = [*low, *("".join(rng.choices(low, k=12)) for _ in range(4000))]
+    marks = [*"aEJjßÉ=<.,'!)", "\u030c", "\u0338", "\u0301", "\u0130", "'s", "'S."]
+    texts += ["".join(rng.choices(marks, k=6)) for _ in range(4000)]
+    for text, ids in zip(texts, encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == plain_ids(encode.tokenizer, text), ascii(text)
+
+
+def plain_ids(tokenizer, text):
+    return tokenizer.encode(text, add_special_tokens=False).ids + [STORE_ENCODING.end_id]
+
+
 def test_small_memory_changes_nothing():
     import dataclasses
 
