@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from jobmart.functions.cleaning import WORK_TYPES, is_known_work_type, strip_space, work_type_or_default
 
 LISTS = ["Tools", "Requirements", "Offer"]
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _ANSWER = "Tools STRING, Requirements STRING, Offer STRING, WorkType STRING, _bad STRING"
 
 
@@ -124,6 +125,10 @@ def failures_after(failures: DataFrame, answers: DataFrame, as_of: datetime) ->
     return failures.join(answers.select("JobId"), "JobId", "left_anti").unionByName(news)
 
 
+#: Descriptions that a task holds at once: bounds a worker's memory, whatever the number of rows a task has.
+CALLED_ROWS = 200
+
+
 def call_model(
     backlog: DataFrame,
     ask: Callable[[str], str],
@@ -164,7 +169,10 @@ def call_model(
                 answers.insert(0, key, batch[key].to_numpy())
                 yield answers
 
-    tasks = partitions or int(backlog.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    conf = backlog.sparkSession.conf
+    if int(conf.get(_BATCH)) > CALLED_ROWS or int(conf.get(_BATCH)) <= 0:
+        conf.set(_BATCH, str(CALLED_ROWS))
+    tasks = partitions or int(conf.get("spark.sql.shuffle.partitions"))
     # A stated number is kept by adaptive execution, which would otherwise join tasks by their bytes.
     todo = backlog.select(key, text).repartition(tasks, key)
     key_type = backlog.schema[key].dataType.simpleString()

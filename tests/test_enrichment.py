@@ -214,3 +214,17 @@ def test_phrases(spark):
     assert enrichment.match_phrases(jobs, phrases.limit(0)).count() == enrichment.match_phrases(jobs.limit(0), phrases).count() == 0
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_a_task_holds_few_descriptions_at_once(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "10000")
+        todo = spark.range(1000).selectExpr("id AS JobId", "concat('text ', id) AS JobDescription")
+        answers = enrichment.call_model(todo, lambda text: text, partitions=1)
+        sizes = answers.mapInPandas(lambda batches: (b.assign(n=len(b))[["n"]] for b in batches), "n int").distinct().collect()
+        assert max(r.n for r in sizes) <= enrichment.CALLED_ROWS
+        assert answers.filter("response = concat('text ', JobId) AND status = 'ok'").count() == 1000
+    finally:
+        spark.conf.set(key, before)
