@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,6 +20,17 @@ def keep_one(df: DataFrame, key: list[str], order_by: str, keep: str = "first")
     return ranked.filter(F.col("_rn") == 1).drop("_rn")
 
 
+def candidates(df: DataFrame, key: list[str], time: Column, keep: str = "first") -> DataFrame:
+    """The rows of every key at its earliest (or latest) ``time``, all of them if several share it.
+
+    ``keep_one`` of these is ``keep_one`` of all rows, so what is costly per row can wait until here. As there, a
+    key is cut down within each task before the shuffle.
+    """
+    order = time.asc_nulls_first() if keep == "first" else time.desc_nulls_last()
+    ranked = df.withColumn("_rank", F.rank().over(Window.partitionBy(*key).orderBy(order)))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
 def distinct_keys(df: DataFrame, *key: str) -> DataFrame:
     """The set of keys, partially reduced before the shuffle."""
     return df.select(*key).distinct()

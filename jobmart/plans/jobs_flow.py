@@ -21,17 +21,21 @@ KEY = ["JobId"]
 SEEN, TIME = "SeenAt", "ExtractionDatetime"
 
 
+def _seen(bronze: DataFrame) -> tuple[Column, str]:
+    """When a posting was seen, and the type of that."""
+    time_type = bronze.schema[TIME].dataType.simpleString()
+    if time_type == "string":
+        return F.col(TIME).try_cast("timestamp_ntz"), "timestamp_ntz"
+    return F.col(TIME), time_type
+
+
 def clean_jobs(bronze: DataFrame) -> DataFrame:
     """Silver columns plus ``SeenAt``, the bronze time that first-seen dedup orders by.
 
     The id becomes a number before anything groups by it, so ``'7'`` and ``'007'`` are one job.
     ``publishdatetime`` is optional in the feed.
     """
-    seen = F.col(TIME)
-    time_type = bronze.schema[TIME].dataType.simpleString()
-    if time_type == "string":
-        time_type = "timestamp_ntz"
-        seen = seen.try_cast(time_type)
+    seen, time_type = _seen(bronze)
     published: Column = F.lit(None).cast("string")
     if "publishdatetime" in bronze.columns:
         published = F.col("publishdatetime")
@@ -53,9 +57,15 @@ def sightings(bronze: DataFrame) -> DataFrame:
     return clean_jobs(bronze).filter(F.col("JobId").isNotNull())
 
 
+def edge_sightings(bronze: DataFrame, keep: str = "first") -> DataFrame:
+    """The sightings that may be a job's first (or last): those at its earliest time. Only these are cleaned."""
+    numbered = bronze.withColumn("JobId", cleaning.to_id(F.col("JobId"))).filter(F.col("JobId").isNotNull())
+    return sightings(dedup.candidates(numbered, KEY, _seen(bronze)[0], keep))
+
+
 def one_per_job(bronze: DataFrame, keep: str = "first") -> DataFrame:
     """Cleaned postings, one row per job: the first sighting still held in bronze."""
-    return dedup.keep_one(sightings(bronze), KEY, SEEN, keep).drop(SEEN)
+    return dedup.keep_one(edge_sightings(bronze, keep), KEY, SEEN, keep).drop(SEEN)
 
 
 def lost_jobs(silver: DataFrame, as_of: datetime) -> DataFrame:
@@ -75,8 +85,8 @@ def changed_jobs(silver: DataFrame, landed: DataFrame, bronze: DataFrame, as_of:
     are all that the others need.
     """
     lost = lost_jobs(silver, as_of)
-    older = sightings(lookup_jobs(bronze, lost))
-    fresh = sightings(timerange.retain(landed, TIME, as_of))
+    older = edge_sightings(lookup_jobs(bronze, lost))
+    fresh = edge_sightings(timerange.retain(landed, TIME, as_of))
     found = dedup.keep_one(fresh.unionByName(older), KEY, SEEN)
     held = lookup.with_key(silver, found, KEY).join(lost, KEY, "left_anti").select(*found.columns)
     pool = found.withColumn("_new", F.lit(True)).unionByName(held.withColumn("_new", F.lit(False)))

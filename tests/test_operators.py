@@ -349,3 +349,18 @@ def test_keys_that_are_data_do_not_become_columns(spark, tmp_path):
         readers.with_new_columns(readers.read_rescued(spark, str(tmp_path), schema))
     (tmp_path / "part.json").write_text("")
     assert readers.with_new_columns(readers.read_rescued(spark, str(tmp_path), schema)).columns == ["id", readers.BROKEN]
+
+
+def test_only_candidates_for_the_first_sighting_are_cleaned(spark):
+    rows = [(str(i % 40) if i % 3 else f"00{i % 40}", f"t{i % 7}", None if i % 90 == 7 else datetime(2024, 1, 1 + i % 11 // 3)) for i in range(900)]
+    rows += [("x7", "bad id", datetime(2024, 1, 1)), (None, "no id", datetime(2024, 1, 1))]
+    named = spark.createDataFrame(rows, "JobId string, JobTitle string, ExtractionDatetime timestamp_ntz")
+    others = [f.name for f in JOB_BRONZE if f.name not in named.columns]
+    raw = named.withColumns({c: F.lit("N/A") for c in others})
+    for keep in ("first", "last"):
+        for bronze in (raw, raw.withColumn("ExtractionDatetime", F.col("ExtractionDatetime").cast("string"))):
+            want = dedup.keep_one(jobs_flow.sightings(bronze), jobs_flow.KEY, jobs_flow.SEEN, keep).drop(jobs_flow.SEEN)
+            assert sorted(map(str, jobs_flow.one_per_job(bronze, keep).collect())) == sorted(map(str, want.collect()))
+    # The company address is cleaned by an expression that stands above the cut down to one time a job.
+    plan = jobs_flow.one_per_job(raw.withColumn("CompanyLinkedinUrl", F.concat("JobTitle", F.lit("?"))))._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.index("regexp_extract") < plan.index("_rank")
