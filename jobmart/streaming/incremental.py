@@ -77,8 +77,7 @@ def start_job_upserts(stream: DataFrame, out: str, checkpoint: str) -> Streaming
     folder. ``current_jobs`` settles jobs that occur in several batches.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        valid = jobs_flow.clean_jobs(batch).filter(F.col("JobId").isNotNull())
-        rows = dedup.keep_one(valid, jobs_flow.KEY, jobs_flow.SEEN)
+        rows = dedup.keep_one(jobs_flow.edge_sightings(batch), jobs_flow.KEY, jobs_flow.SEEN)
         rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return (
